@@ -7,7 +7,7 @@ from tidemill.plans import logistics as g
 
 declare(
     stock="""SELECT p_size AS warehouse_id, p_partkey AS product_id, TIMESTAMP '2001-11-04 00:00:00' AS timestamp,
-               CAST(p_retailprice AS BIGINT) AS stock_level, 20 * p_size + 400 AS reorder_point, p_type AS location FROM {part}""",
+               CAST(floor(p_retailprice) AS BIGINT) AS stock_level, 20 * p_size + 400 AS reorder_point, p_type AS location FROM {part}""",
     unit_sales="""SELECT l_orderkey AS sale_id, p_size AS warehouse_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) - 1 AS quantity_sold,
                l_shipdate AS timestamp FROM {lineitem} JOIN {part} ON l_partkey = p_partkey""",
     trucks="""SELECT o_orderkey AS truck_id, o_orderpriority AS truck_model, 5 + o_orderkey % 20 AS capacity_tons, o_orderstatus AS current_location
@@ -39,7 +39,7 @@ check("q17_inventory_status", "stock", oracle="""
     SELECT warehouse_id, product_id, stock_level, reorder_point, location, timestamp AS last_update,
       if(stock_level <= reorder_point, 'Reorder Needed', 'Stock Sufficient') AS reorder_status FROM stock""")(g.inventory_status)
 
-_NOW = F.lit("2001-10-01 00:00:00").cast("timestamp_ntz")
+_NOW = "2001-10-01 00:00:00"
 _RECENT = """SELECT warehouse_id, product_id, sum(quantity_sold)::BIGINT AS total_quantity_sold, max(timestamp) AS last_sale
     FROM unit_sales WHERE timestamp > TIMESTAMP '2001-10-01' - INTERVAL 7 DAY GROUP BY ALL"""
 check("q18_recent_sales", "unit_sales", oracle=_RECENT)(lambda s: g.recent_sales(s, _NOW))

@@ -40,6 +40,13 @@ def span(interval: str) -> Column:
     return F.expr(f"INTERVAL '{micros(interval) / 1_000_000:.6f}' SECOND")
 
 
+def moment(as_of: Column | str | None = None) -> Column:
+    """The "now" of a moving filter: the clock unless a time is given."""
+    if as_of is None:
+        return F.current_timestamp()
+    return F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
+
+
 def event_micros(ts: ColumnLike) -> Column:
     """Event time as an exact long, so that frames and buckets use integers."""
     return F.unix_micros(as_col(ts).cast("timestamp"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.scalar import (
-    event_micros, grid_id, haversine_km, int_div, round_numeric, span,
+    event_micros, grid_id, haversine_km, int_div, moment, round_numeric, span,
 )
 from tidemill.operators import count_where, latest_by
 
@@ -22,14 +22,13 @@ def inventory_status(inventory: DataFrame) -> DataFrame:
         F.col("timestamp").alias("last_update"))
 
 
-def recent_sales(sales: DataFrame, as_of: Column | None = None, within: str = "7 days") -> DataFrame:
+def recent_sales(sales: DataFrame, as_of: Column | str | None = None, within: str = "7 days") -> DataFrame:
     """Units sold and last sale per warehouse and product in the moving window."""
-    now = as_of if as_of is not None else F.current_timestamp()
-    return sales.filter(F.col("timestamp") > now - span(within)).groupBy("warehouse_id", "product_id").agg(
+    return sales.filter(F.col("timestamp") > moment(as_of) - span(within)).groupBy("warehouse_id", "product_id").agg(
         F.sum("quantity_sold").alias("total_quantity_sold"), F.max("timestamp").alias("last_sale"))
 
 
-def demand_forecast(inventory: DataFrame, sales: DataFrame, as_of: Column | None = None,
+def demand_forecast(inventory: DataFrame, sales: DataFrame, as_of: Column | str | None = None,
                     within: str = "7 days") -> DataFrame:
     """Days of stock left at the recent pace (whole days; 0 where nothing sold, NULL where unknown)."""
     sold = F.col("weekly_sales")

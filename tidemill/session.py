@@ -33,6 +33,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidemill")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.streaming.metricsEnabled", "false")
