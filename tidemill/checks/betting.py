@@ -5,13 +5,13 @@ from tidemill.plans import betting as b
 
 declare(
     positions="""SELECT p_partkey AS position_id, p_brand AS league, p_name AS position_name, 1.0E0 * p_size AS stake_amount,
-                   200.0E0 * p_size AS max_risk, floor(p_retailprice) AS fair_value FROM {part}""",
-    odds="""SELECT l_partkey AS position_id, 'b' || l_suppkey % 5 AS bookmaker, floor(l_extendedprice / 40) AS market_price,
+                   200.0E0 * p_size AS max_risk, CAST(floor(p_retailprice) AS DOUBLE) AS fair_value FROM {part}""",
+    odds="""SELECT l_partkey AS position_id, 'b' || l_suppkey % 5 AS bookmaker, CAST(floor(l_extendedprice / 40) AS DOUBLE) AS market_price,
               l_linenumber AS volume, l_shipdate AS timestamp FROM {lineitem}""",
-    bettors="""SELECT c_custkey AS user_id, c_name AS username, c_mktsegment AS risk_tolerance, floor(c_acctbal) AS avg_bet_size FROM {customer}""",
+    bettors="""SELECT c_custkey AS user_id, c_name AS username, c_mktsegment AS risk_tolerance, CAST(floor(c_acctbal) AS DOUBLE) AS avg_bet_size FROM {customer}""",
     bets="""SELECT o_custkey AS user_id, o_orderkey AS position_id, CASE o_orderstatus WHEN 'F' THEN 'Win' WHEN 'O' THEN 'Loss' ELSE 'Open' END AS result,
-              floor(o_totalprice / 1000) - 260 AS profit_loss FROM {orders}""",
-    stakes="""SELECT o_custkey AS user_id, floor(o_totalprice / 100) AS stake_amount FROM {orders}""",
+              CAST(floor(o_totalprice / 1000) - 260 AS DOUBLE) AS profit_loss FROM {orders}""",
+    stakes="""SELECT o_custkey AS user_id, CAST(floor(o_totalprice / 100) AS DOUBLE) AS stake_amount FROM {orders}""",
 )
 
 _OVERVIEW = """SELECT position_id, position_name, league, stake_amount, max_risk, fair_value, market_price,

@@ -11,7 +11,7 @@ declare(
     restocks="""SELECT l_partkey AS product_id, l_shipdate + (l_orderkey % 1440) * INTERVAL '1' MINUTE AS restock_time,
         CAST(l_quantity AS BIGINT) * 2 AS quantity_restocked FROM {lineitem} WHERE l_returnflag = 'R' AND l_partkey % 9 > 0""",
     web_clicks="""SELECT l_partkey AS product_id, l_shipdate + (l_suppkey % 24) * INTERVAL '1' HOUR AS event_time, l_linestatus AS event_type FROM {lineitem}""",
-    offers="""SELECT l_partkey AS product_id, 'k' || l_suppkey % 4 AS competitor, CAST(900 + (l_extendedprice / l_quantity) / 20 AS DECIMAL(12,2)) AS competitor_price,
+    offers="""SELECT l_partkey AS product_id, 'k' || l_suppkey % 4 AS competitor, CAST(900 + floor((l_extendedprice / l_quantity) / 20) AS DECIMAL(12,2)) AS competitor_price,
         l_shipdate AS ts FROM {lineitem} WHERE l_partkey % 5 > 0""",
     product_orders="""SELECT l_orderkey AS order_id, l_partkey AS product_id, l_shipdate + INTERVAL '12' HOUR AS order_time,
         CAST(l_quantity AS BIGINT) AS quantity FROM {lineitem} WHERE l_linestatus = 'O'""",

@@ -24,7 +24,7 @@ check("q26_checkin_departed", "passengers", oracle=f"""SELECT {_SHOW} FROM passe
     lambda p: t.checkin_open(p, "2000-01-01 00:00:00", ahead=False))
 _MEALS = """SELECT c.flight_id, c.flight_number, c.class, count(*) AS checked_in_passengers, available_meals,
     if(count(*) * 0.95 > available_meals, 'Meal Shortage', 'Sufficient Meals') AS meal_status
-    FROM checkins c LEFT JOIN meals m ON m.flight_id = c.flight_id AND m.class = c.class GROUP BY ALL"""
+    FROM checkins c LEFT JOIN meals m ON m.flight_id = c.flight_id AND m.class = c.class GROUP BY 1, 2, 3, available_meals"""
 check("q27_meal_status", "checkins", "meals", oracle=_MEALS)(t.meal_status)
 check("q28_meal_shortages", "checkins", "meals", oracle=f"SELECT * FROM ({_MEALS}) WHERE meal_status = 'Meal Shortage'")(t.meal_shortages)
 
