@@ -20,7 +20,7 @@ check("q77_team_figures", "match_stats", oracle=f"""SELECT {_W}, sum(elimination
     lambda m: g.team_figures(m, "1 day"))
 check("q78_mental_states", "match_stats", oracle=f"""SELECT {_W}, mental_state, count(*) AS samples, sum(eliminations)::BIGINT AS kills, {_D.format('avg(accuracy)')} AS avg_accuracy_pct,
     {_D.format('sum(headshot_kills) / nullif(sum(eliminations), 0)')} AS hs_per_kill, {_D.format('sum(time_survived) / 60 / count(*)')} AS avg_survival_min,
-    {_D.format('avg(player_rank)')} AS avg_placement FROM match_stats GROUP BY window_start, window_end, mental_state""")(lambda m: g.mental_states(m, "1 day"))
+    {_D.format('avg(player_rank)')} AS avg_placement FROM match_stats GROUP BY window_start, mental_state""")(lambda m: g.mental_states(m, "1 day"))
 check("q79_impact_leaders", "match_stats", oracle=f"""WITH h AS (SELECT window_start, window_end, player_name, sum(eliminations)::BIGINT AS elims, sum(assists)::BIGINT AS ast,
       sum(headshot_kills)::BIGINT AS hs, sum(damage_dealt)::BIGINT AS dmg, elims * 2 + ast + hs * 0.5::DOUBLE + dmg / 1000 AS impact_score FROM {_HOP} GROUP BY window_start, window_end, player_name)
     SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY impact_score DESC, player_name) AS rn FROM h QUALIFY rn <= 3""")(

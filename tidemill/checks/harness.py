@@ -76,7 +76,7 @@ def plain(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
-        elif isinstance(f.dataType, T.TimestampType):
+        elif isinstance(f.dataType, (T.TimestampType, T.DateType)):
             c = c.cast("timestamp_ntz")
         out.append(c.alias(f.name))
     return df.select(*out)

@@ -48,7 +48,7 @@ check("q109_cost_by_risk", "risk_rows", oracle="""
 _ROLL = "count(*) AS transactions, sum(quantity)::BIGINT AS units, sum(total_amount)::DOUBLE AS revenue, sum(profit_amount)::DOUBLE AS profit"
 for _name, _keys, _more in (
     ("by_category", "product_category", ", profit / revenue AS margin"), ("by_channel", "sales_channel", ""),
-    ("by_region_and_day", "region, date", ""), ("by_segment", "customer_segment", ", revenue / transactions AS average_order"),
+    ("by_region_and_day", "region, date::TIMESTAMP AS date", ""), ("by_segment", "customer_segment", ", revenue / transactions AS average_order"),
     ("by_payment", "payment_method", ""),
 ):
     check(f"q110_sales_{_name}", "topic_sales", oracle=f"SELECT {_keys}, {_ROLL}{_more} FROM topic_sales GROUP BY ALL")(
