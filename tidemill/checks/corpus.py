@@ -20,8 +20,16 @@ _VEC = f"""SELECT file_name, {_CELL} AS cell, count(*)::DOUBLE AS n FROM (SELECT
 # Each document's vector as (cell, weight) rows, so that both engines can compare it.
 check("q96_document_embeddings", "files", oracle=_VEC)(
     lambda f: c.document_embeddings(f).select("file_name", F.posexplode("embedding").alias("cell", "n")).filter("n > 0"))
-check("q96_failed_embeddings", "files", oracle=f"""SELECT file_name, NULL::VARCHAR AS embedding FROM files WHERE len({_WORDS.format('content')}) = 0""")(
-    lambda f: c.failed_embeddings(f).withColumn("embedding", F.to_json("embedding")))
+
+
+def _refuses_long(text):
+    if len(text) > 5000:
+        raise ValueError("too long for the service")
+    return [1.0]
+
+
+check("q96_failed_embeddings", "files", oracle="SELECT file_name, NULL::VARCHAR AS embedding FROM files WHERE length(content) > 5000")(
+    lambda f: c.failed_embeddings(f, _refuses_long).withColumn("embedding", F.to_json("embedding")))
 
 _COS = """list_sum(list_transform(list_zip({a}, {b}), lambda x: x[1]::DOUBLE * x[2]::DOUBLE))
    / sqrt(list_sum(list_transform({a}, lambda x: x::DOUBLE * x::DOUBLE)) * list_sum(list_transform({b}, lambda x: x::DOUBLE * x::DOUBLE)))"""

@@ -30,10 +30,10 @@ def nearest(vectors: DataFrame, question: Column | Sequence[float], id_column: s
             vector_column: str = "embedding", k: int = 10) -> DataFrame:
     """The ``k`` rows closest to a question vector (a column such as a scalar subquery, or numbers)."""
     if isinstance(question, Column):
-        similarity = cosine_similarity(vector_column, question)
+        scored = vectors.withColumn("_q", question).select(
+            id_column, cosine_similarity(vector_column, "_q").alias("similarity"))
     else:
-        similarity = cosine_to(question)(F.col(vector_column))
-    scored = vectors.select(id_column, similarity.alias("similarity"))
+        scored = vectors.select(id_column, cosine_to(question)(F.col(vector_column)).alias("similarity"))
     return top_k(scored, [F.col("similarity").desc_nulls_last(), F.asc(id_column)], k)
 
 
