@@ -15,10 +15,10 @@ declare(
        UNION ALL SELECT 'u', 100000000 + o_orderkey, o_orderkey, o_custkey, 'accepted', o_orderkey % 2, o_orderdate, CAST(NULL AS TIMESTAMP), o_orderdate + INTERVAL '1' HOUR FROM {orders} WHERE o_orderstatus <> 'P'
        UNION ALL SELECT 'u', 200000000 + o_orderkey, o_orderkey, o_custkey, 'picked_up', o_orderkey % 2, o_orderdate, o_orderdate + INTERVAL '5' MINUTE, o_orderdate + INTERVAL '2' HOUR FROM {orders} WHERE o_orderstatus = 'F'
        UNION ALL SELECT 'd', 300000000 + o_orderkey, o_orderkey, o_custkey, 'picked_up', 0, o_orderdate, CAST(NULL AS TIMESTAMP), o_orderdate + INTERVAL '3' HOUR FROM {orders} WHERE o_orderkey % 50 = 0""",
-    card_feed="""SELECT 'c' AS op, l_orderkey * 10 + l_linenumber AS seq, l_orderkey * 10 + l_linenumber AS transaction_id, l_suppkey AS account_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
-         'pending' AS tran_status, false AS is_fraud_suspect FROM {lineitem}
-       UNION ALL SELECT 'u', 1000000000 + l_orderkey * 10 + l_linenumber, l_orderkey * 10 + l_linenumber, l_suppkey, CAST(l_extendedprice AS DECIMAL(18,2)),
-         CASE WHEN l_returnflag = 'R' THEN 'reversed' ELSE 'posted' END, l_returnflag = 'R' FROM {lineitem} WHERE l_returnflag <> 'N'""",
+    card_feed="""SELECT 'c' AS op, o_orderkey AS seq, o_orderkey AS transaction_id, o_custkey AS account_id, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+         'pending' AS tran_status, false AS is_fraud_suspect FROM {orders}
+       UNION ALL SELECT 'u', 1000000000 + o_orderkey, o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)),
+         CASE WHEN o_orderstatus = 'F' THEN 'reversed' ELSE 'posted' END, o_orderstatus = 'F' FROM {orders} WHERE o_orderstatus <> 'P'""",
     accounts="SELECT c_custkey AS account_id, c_mktsegment AS account_type, CAST(c_acctbal AS DECIMAL(18,2)) AS balance, 'active' AS account_status, TIMESTAMP '2025-08-01 00:00:00' AS updated_at FROM {customer}",
     account_updates="""SELECT c_custkey + 500 AS account_id, c_mktsegment AS account_type, CAST(c_acctbal AS DECIMAL(18,2)) + v AS balance, 'frozen' AS account_status,
         TIMESTAMP '2025-08-02 00:00:00' + v * INTERVAL '1' HOUR AS updated_at FROM {customer} CROSS JOIN (SELECT n_nationkey AS v FROM {nation} WHERE n_nationkey < 2)""",

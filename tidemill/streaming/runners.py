@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemill.operators.changes import INSERT, UPDATE_INSERT, diff_results
@@ -93,7 +94,7 @@ class MaintainedView:
         for name, rows in batches.items():
             scoped = self._scoped(name, rows)
             scoped.write.mode("overwrite").parquet(f"{self._base(name)}/batch={batch_id}")
-            frames[name] = spark.read.schema(scoped.schema.add("batch", "bigint")).parquet(self._base(name)).filter(
+            frames[name] = spark.read.schema(T.StructType([*scoped.schema.fields, T.StructField("batch", T.LongType())])).parquet(self._base(name)).filter(
                 F.col("batch") <= batch_id)
             if self.scope:
                 # Read the written rows: the micro-batch source is not scanned again.
