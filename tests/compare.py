@@ -45,6 +45,12 @@ def _canon(df: pd.DataFrame) -> pd.DataFrame:
     return df.iloc[key.sort_values(list(key.columns), kind="stable").index if len(df.columns) else []].reset_index(drop=True)
 
 
+def same(p, q) -> bool:
+    if not isinstance(p, (tuple, list)) and not isinstance(q, (tuple, list)) and (pd.isna(p) or pd.isna(q)):
+        return bool(pd.isna(p) and pd.isna(q))
+    return bool(p == q)
+
+
 def compare(got: pd.DataFrame, want: pd.DataFrame) -> str:
     """'' when equal, a message starting with '~' when only the last float digits differ."""
     if sorted(got.columns) != sorted(want.columns):
@@ -67,7 +73,7 @@ def compare(got: pd.DataFrame, want: pd.DataFrame) -> str:
                     i = int(np.argmax(~np.isclose(x, y, rtol=1e-9, atol=1e-9, equal_nan=True)))
                     return f"{c}: {a[i]!r} != {b[i]!r} at {got.iloc[i].to_dict()}"
         else:
-            bad = [i for i, (p, q) in enumerate(zip(a, b)) if not (p == q or (pd.isna(p) and pd.isna(q)))]
+            bad = [i for i, (p, q) in enumerate(zip(a, b)) if not same(p, q)]
             if bad:
                 return f"{c}: {a[bad[0]]!r} != {b[bad[0]]!r} ({len(bad)} rows) at {got.iloc[bad[0]].to_dict()}"
     return note

@@ -89,11 +89,11 @@ declare(json_rows="""SELECT event_id, '[{{"n": ' || event_id || ', "tag": "' ||
     '{{"flight": {{"number": "' || event_id % 90 || '", "codeshared": ' || CASE WHEN event_id % 3 = 0 THEN '{{"airline": "x' || user_id || '"}}' ELSE 'null' END || '}}, "airline": {{"name": "air' || user_id % 9 || '"}}}}' AS flight FROM {events}""")
 check("f14_json_rows", "json_rows", oracle="SELECT event_id, (i->>'n')::BIGINT AS n, i->>'tag' AS tag FROM (SELECT event_id, unnest(from_json(items, '[\"JSON\"]')) AS i FROM json_rows)")(
     lambda j: semi.explode_json_array(j, "items", "struct<n:bigint,tag:string>").select("event_id", "item.n", "item.tag"))
-check("f15_json_number", "json_rows", oracle="SELECT event_id, coalesce(doc->'a'->>'$numberLong', doc->>'a')::BIGINT AS a FROM json_rows")(
+check("f15_json_number", "json_rows", oracle='''SELECT event_id, coalesce(doc->'a'->>'$."$numberLong"', doc->>'a')::BIGINT AS a FROM json_rows''')(
     lambda j: j.select("event_id", semi.json_number("doc", "a").alias("a")))
 check("f16_parse_time", E, oracle="SELECT event_id, date_trunc('second', ts) AS iso, date_trunc('minute', ts) AS patterned FROM events")(
     lambda e: e.withColumns({"a": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "b": F.date_format("ts", "dd/MM/yyyy HH:mm")}).select(
-        "event_id", F.to_timestamp("a").alias("iso"), F.to_timestamp("b", F.lit("dd/MM/yyyy HH:mm")).alias("patterned")))
+        "event_id", F.to_timestamp("a").alias("iso"), F.to_timestamp("b", "dd/MM/yyyy HH:mm").alias("patterned")))
 check("f17_time_zone", E, oracle="SELECT date_trunc('day', ts + INTERVAL 8 HOUR) AS local_day, count(*) AS n FROM events GROUP BY 1")(
     lambda e: e.groupBy(F.date_trunc("day", F.from_utc_timestamp(F.col("ts").cast("timestamp"), "Asia/Shanghai")).alias("local_day")).agg(F.count("*").alias("n")))
 check("f18_contains_any", "supplier", oracle="SELECT s_suppkey FROM supplier WHERE lower(s_name) LIKE '%er#00000001%' OR s_nationkey::VARCHAR LIKE '%er#00000001%'")(

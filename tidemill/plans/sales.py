@@ -52,7 +52,7 @@ def net_purchases(constant: DataFrame, varying: DataFrame) -> DataFrame:
 
 def outgoing_per_window(varying: DataFrame, size: str = "1 minute", pattern: str | None = None) -> DataFrame:
     """Outgoing totals per window of a time that arrives as text."""
-    parsed = F.to_timestamp("ts", F.lit(pattern)) if pattern else F.to_timestamp("ts")
+    parsed = F.to_timestamp("ts", pattern) if pattern else F.to_timestamp("ts")
     return tumble(varying.withColumn("ts", parsed), "ts", size).groupBy("window_end").agg(
         F.sum("quant_out").alias("quant_out"), F.sum("tot_amnt_out").alias("tot_amnt_out"))
 
