@@ -41,7 +41,12 @@ def _canon(df: pd.DataFrame) -> pd.DataFrame:
             df[c] = df[c].map(lambda x: None if x is None else tuple(np.asarray(x).tolist()))
         if _kind(df[c]) == "time":
             df[c] = df[c].astype("datetime64[us]")
-    key = df.apply(lambda col: col.map(lambda x: f"{x:.6g}" if isinstance(x, float) else str(x)))
+    def text(x):
+        if not isinstance(x, (tuple, list)) and pd.isna(x):
+            return ""
+        return f"{float(x):.6g}" if isinstance(x, (int, float, np.number)) and not isinstance(x, (bool, np.bool_)) else str(x)
+
+    key = df.apply(lambda col: col.map(text, na_action=None))
     return df.iloc[key.sort_values(list(key.columns), kind="stable").index if len(df.columns) else []].reset_index(drop=True)
 
 
