@@ -23,6 +23,7 @@ TABLES = (
 )
 
 INPUTS: dict[str, str] = {}
+_SCHEMAS: dict[str, T.StructType] = {}  # schema per file, so that it is inferred once
 
 
 class Check(NamedTuple):
@@ -62,7 +63,10 @@ def _refs(text: str) -> list[str]:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A sample table, or an input derived from it."""
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        path = f"{sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = spark.read.parquet(path).schema
+        return spark.read.schema(_SCHEMAS[path]).parquet(path)
     text = INPUTS[name]
     return spark.sql(text, **{ref: load(spark, sf_dir, ref) for ref in _refs(text)})
 

@@ -20,8 +20,9 @@ declare(
        UNION ALL SELECT 'u', 1000000000 + o_orderkey, o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)),
          CASE WHEN o_orderstatus = 'F' THEN 'reversed' ELSE 'posted' END, o_orderstatus = 'F' FROM {orders} WHERE o_orderstatus <> 'P'""",
     accounts="SELECT c_custkey AS account_id, c_mktsegment AS account_type, CAST(c_acctbal AS DECIMAL(18,2)) AS balance, 'active' AS account_status, TIMESTAMP '2025-08-01 00:00:00' AS updated_at FROM {customer}",
-    account_updates="""SELECT c_custkey + 500 AS account_id, c_mktsegment AS account_type, CAST(c_acctbal AS DECIMAL(18,2)) + v AS balance, 'frozen' AS account_status,
-        TIMESTAMP '2025-08-02 00:00:00' + v * INTERVAL '1' HOUR AS updated_at FROM {customer} CROSS JOIN (SELECT n_nationkey AS v FROM {nation} WHERE n_nationkey < 2)""",
+    account_updates="""SELECT c_custkey + 500 AS account_id, c_mktsegment AS account_type, CAST(c_acctbal AS DECIMAL(18,2)) AS balance, 'frozen' AS account_status,
+        TIMESTAMP '2025-08-02 00:00:00' AS updated_at FROM {customer}
+      UNION ALL SELECT c_custkey + 500, c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2)) + 1, 'closed', TIMESTAMP '2025-08-02 01:00:00' FROM {customer} WHERE c_custkey % 2 = 0""",
 )
 
 check("q105_order_documents", "order_feed", oracle="""

@@ -31,7 +31,7 @@ check("q86_recent_features", "sensors", "cameras", oracle=_RECENT)(_recent)
 check("q86_flow_history", "flow", oracle="SELECT * FROM flow WHERE datetime >= TIMESTAMP '2024-01-29 12:00:00' - INTERVAL 3 HOUR")(
     lambda f: t.flow_history(f, "2024-01-29 12:00:00"))
 check("q87_next_flow", "sensors", "cameras", oracle=f"""
-    SELECT road_id, max(window_start) AS datetime, arg_max(vehicle_count, window_start) AS traffic_flow, arg_max(avg_speed_kph, window_start) AS avg_speed_kph,
+    SELECT road_id, max(window_start) AS datetime, arg_max(vehicle_count, window_start) AS traffic_flow, arg_max_null(avg_speed_kph, window_start) AS avg_speed_kph,
       round(if(count(avg_speed_kph) = 5, avg(vehicle_count), NULL), 6) AS predicted_flow_next_minute
     FROM (SELECT * FROM ({_RECENT}) QUALIFY row_number() OVER (PARTITION BY road_id ORDER BY window_start DESC) <= 5) GROUP BY road_id""")(
     lambda s, c: t.next_flow(_recent(s, c)).withColumn("predicted_flow_next_minute", F.round("predicted_flow_next_minute", 6)))

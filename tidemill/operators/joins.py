@@ -23,6 +23,10 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     Work is cut into (key, time slot), so a hot key spreads over many tasks;
     the state that crosses a slot border is one carry row per (key, slot).
     ``tie`` orders right rows of equal time.  ``how`` is ``left`` or ``inner``.
+
+    Choose ``slot`` so that the rows of the hottest key fit a task per slot and
+    most slots hold many rows.  The right side is read twice, so hand over a
+    stored table when it is expensive to compute.
     """
     width = micros(slot)
     lhs = left.withColumn("_us", event_micros(left_ts)).withColumn("_slot", _slot(F.col("_us"), width))
@@ -30,14 +34,16 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
         right.select(*keys, event_micros(right_ts).alias("_us"),
                      F.struct(*[F.col(c) for c in tie], F.lit(0)).alias("_tie"),
                      F.struct(*[F.col(c) for c in payload]).alias("_hit"))
-        .filter(F.col("_us").isNotNull())
+        .na.drop(subset=[*keys, "_us"])  # a NULL key or time never matches
         .withColumn("_slot", _slot(F.col("_us"), width))
     )
-    # Last right row of every slot, then the latest one from an earlier slot.
-    closing = rhs.groupBy(*keys, "_slot").agg(
-        F.max_by("_hit", F.struct("_us", "_tie")).alias("_hit"))
-    touched = lhs.select(*keys, "_slot").distinct().withColumn("_hit", F.lit(None).cast(rhs.schema["_hit"].dataType))
-    slots = closing.unionByName(touched).groupBy(*keys, "_slot").agg(F.first("_hit", ignorenulls=True).alias("_hit"))
+    # Last right row of every slot any side touches, then the latest one of an
+    # earlier slot: one row per (key, slot) with the row to start from.
+    rank = F.when(F.col("_hit").isNotNull(), F.struct("_us", "_tie"))
+    slots = (
+        rhs.unionByName(lhs.select(*keys, "_slot"), allowMissingColumns=True)
+        .groupBy(*keys, "_slot").agg(F.max_by("_hit", rank).alias("_hit"))
+    )
     before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     carry = slots.select(*keys, "_slot", F.last("_hit", ignorenulls=True).over(before).alias("_hit"))
     carry = carry.filter(F.col("_hit").isNotNull())

@@ -62,10 +62,10 @@ def stock_rule_prices(status: DataFrame) -> DataFrame:
         round_numeric(_rule_price(), 2).alias("new_price"))
 
 
-def sales_at_price(purchases: DataFrame, prices: DataFrame) -> DataFrame:
+def sales_at_price(purchases: DataFrame, prices: DataFrame, slot: str = "1 day") -> DataFrame:
     """Units and takings per product at the price in force when each sale happened."""
     sold = asof_join(purchases, prices, ["product_id"], "purchase_time", "inventory_window",
-                     ["product_name", "new_price"])
+                     ["product_name", "new_price"], slot=slot)
     return sold.groupBy("product_id", "product_name").agg(
         F.sum("quantity_purchased").alias("total_purchased"),
         F.sum(F.col("new_price") * F.col("quantity_purchased")).alias("total_profit"))
@@ -79,13 +79,13 @@ def excess_inventory(status: DataFrame, size: str = "5 minutes") -> DataFrame:
         F.col("current_inventory") > F.col("reorder_level") * 1.5, "Excess").otherwise("Normal"))
 
 
-def demand_elasticity(purchases: DataFrame, prices: DataFrame, status: DataFrame) -> DataFrame:
+def demand_elasticity(purchases: DataFrame, prices: DataFrame, status: DataFrame, slot: str = "1 day") -> DataFrame:
     """Units and revenue per product and price.
 
     Each sale counts once per stock row of its product.  That factor is the
     product's row count, so it is multiplied in and the pairs are never built.
     """
-    sold = asof_join(purchases, prices, ["product_id"], "purchase_time", "inventory_window", ["new_price"], how="inner")
+    sold = asof_join(purchases, prices, ["product_id"], "purchase_time", "inventory_window", ["new_price"], how="inner", slot=slot)
     per_price = sold.groupBy("product_id", "new_price").agg(
         F.sum("quantity_purchased").alias("_units"),
         F.sum(F.col("quantity_purchased") * F.col("new_price")).alias("_revenue"))
@@ -159,9 +159,9 @@ def enriched_prices(status: DataFrame, clicks: DataFrame, offers: DataFrame, siz
     )
 
 
-def order_revenue(orders: DataFrame, prices: DataFrame, inventory: DataFrame) -> DataFrame:
+def order_revenue(orders: DataFrame, prices: DataFrame, inventory: DataFrame, slot: str = "1 day") -> DataFrame:
     """Units and estimated revenue per product at the final price in force (no price: no revenue)."""
-    priced = asof_join(orders, prices, ["product_id"], "order_time", "inventory_window", ["final_price"])
+    priced = asof_join(orders, prices, ["product_id"], "order_time", "inventory_window", ["final_price"], slot=slot)
     totals = priced.groupBy("product_id").agg(
         F.sum("quantity").alias("total_orders"), F.sum(F.col("final_price") * F.col("quantity")).alias("revenue_estimate"))
     names = inventory.groupBy("product_id").agg(F.max("product_name").alias("product_name"))
