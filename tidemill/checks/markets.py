@@ -6,19 +6,19 @@ from tidemill.checks.harness import check, declare
 from tidemill.plans import markets as m
 
 declare(
-    ticks="""SELECT user_id % 20 AS asset_id, ts AS timestamp, floor(value) + 10.0E0 AS price, event_id % 90 AS volume,
+    ticks="""SELECT user_id AS asset_id, ts AS timestamp, floor(value) + 10.0E0 AS price, event_id % 90 AS volume,
                floor(value) + 9.0E0 AS bid_price, floor(value) + 10.0E0 + event_id % 4 AS ask_price FROM {events}""",
-    sector_context="""SELECT user_id % 20 AS asset_id, ts + INTERVAL '5' MINUTE AS timestamp, event_type AS sector,
+    sector_context="""SELECT user_id AS asset_id, ts + INTERVAL '5' MINUTE AS timestamp, event_type AS sector,
                CAST(event_id % 13 AS DOUBLE) AS sector_performance, CAST(event_id % 7 AS DOUBLE) AS sentiment_score
                FROM {events} WHERE event_type <> 'error'""",
     trades="""SELECT event_id AS trade_id, user_id % 20 AS asset_id, ts AS timestamp, value AS price,
                 CAST(floor(value) AS BIGINT) AS volume FROM {events}""",
     quotes="""SELECT user_id % 20 AS asset_id, ts AS timestamp, floor(value) + 5.0E0 AS price, 1.0E0 * (event_id % 3) AS bid_price,
                 1.0E0 * (event_id % 2) AS ask_price, CAST(floor(value) AS BIGINT) AS rolling_volume FROM {events}""",
-    book="""SELECT ts AS ts_event, 'S' || user_id % 5 AS symbol, 'X' AS exchange, CASE WHEN event_id % 2 = 0 THEN 'bid' ELSE 'ask' END AS side,
+    book="""SELECT ts AS ts_event, 'S' || user_id AS symbol, 'X' || user_id % 3 AS exchange, CASE WHEN event_id % 2 = 0 THEN 'bid' ELSE 'ask' END AS side,
               100.0E0 + event_id % 3 AS price, 990 + event_id % 40 AS size,
               CASE event_type WHEN 'click' THEN 'add' WHEN 'error' THEN 'trade' ELSE 'cancel' END AS event_type FROM {events}""",
-    best="""SELECT ts + INTERVAL '30' SECOND AS ts_event, 'S' || event_id % 5 AS symbol, 'X' AS exchange,
+    best="""SELECT ts + INTERVAL '30' SECOND AS ts_event, 'S' || user_id AS symbol, 'X' || user_id % 3 AS exchange,
               100.0E0 + event_id % 2 AS bid_px_00, 101.0E0 + event_id % 2 AS ask_px_00 FROM {events}""",
 )
 
@@ -26,7 +26,7 @@ _FRAME = "(PARTITION BY asset_id ORDER BY timestamp RANGE BETWEEN INTERVAL '6 ho
 _PRICE = f"""SELECT asset_id, timestamp, round((avg(price) OVER {_FRAME})::DECIMAL(38,10), 2) AS average_price,
    round((avg(ask_price - bid_price) OVER {_FRAME})::DECIMAL(38,10), 2) AS bid_ask_spread FROM ticks"""
 _VOL = f"SELECT asset_id, timestamp, round((stddev_samp(price) OVER {_FRAME})::DECIMAL(38,10), 2) AS rolling_volatility FROM ticks"
-_NEAR = "BETWEEN {0}.timestamp - INTERVAL '20 minutes' AND {0}.timestamp + INTERVAL '20 minutes'"
+_NEAR = "BETWEEN {0}.timestamp - INTERVAL '3 hours' AND {0}.timestamp + INTERVAL '3 hours'"
 _ENRICHED = f"""ap AS ({_PRICE}), rv AS ({_VOL}), enriched AS (
    SELECT r.asset_id, average_price::DOUBLE AS average_price, (r.price - average_price::DOUBLE) / average_price::DOUBLE * 100 AS price_change,
       bid_ask_spread::DOUBLE AS bid_ask_spread, rolling_volatility::DOUBLE AS rolling_volatility, sector_performance, sentiment_score, r.timestamp
@@ -36,7 +36,7 @@ _ENRICHED = f"""ap AS ({_PRICE}), rv AS ({_VOL}), enriched AS (
 
 
 def _enriched(t, c):
-    return m.enriched_ticks(t, c, "6 hours", "20 minutes")
+    return m.enriched_ticks(t, c, "6 hours", "3 hours")
 
 
 check("q6_price_and_spread", "ticks", oracle=f"SELECT * REPLACE (average_price::DOUBLE AS average_price, bid_ask_spread::DOUBLE AS bid_ask_spread) FROM ({_PRICE})")(
@@ -72,13 +72,13 @@ check("q12_quiet_tight_spread", "quotes", oracle=f"""
 
 _CLOSE = "((side = 'bid' AND abs(price - bid_px_00) < 0.01 * bid_px_00) OR (side = 'ask' AND abs(price - ask_px_00) < 0.01 * ask_px_00))"
 check("q76_spoofing_alerts", "book", "best", oracle=f"""
-    SELECT time_bucket(INTERVAL '1 hour', o.ts_event) AS window_start, o.symbol, o.exchange, count(*) AS num_cancellations
+    SELECT time_bucket(INTERVAL '1 day', o.ts_event) AS window_start, o.symbol, o.exchange, count(*) AS num_cancellations
     FROM book o JOIN best b ON b.symbol = o.symbol AND b.exchange = o.exchange
-      AND b.ts_event BETWEEN o.ts_event - INTERVAL '2 hours' AND o.ts_event
+      AND b.ts_event BETWEEN o.ts_event - INTERVAL '2 days' AND o.ts_event
     WHERE event_type = 'cancel' AND size > 1000 AND {_CLOSE} GROUP BY ALL HAVING num_cancellations > 1""")(
-    lambda o, b: m.spoofing_alerts(o, b, "1 hour", "2 hours"))
+    lambda o, b: m.spoofing_alerts(o, b, "1 day", "2 days"))
 check("q76_spoofing_alerts_latest_quote", "book", "best", oracle=f"""
-    SELECT time_bucket(INTERVAL '6 hours', o.ts_event) AS window_start, o.symbol, o.exchange, count(*) AS num_cancellations
+    SELECT time_bucket(INTERVAL '5 days', o.ts_event, TIMESTAMP '1970-01-01') AS window_start, o.symbol, o.exchange, count(*) AS num_cancellations
     FROM book o ASOF JOIN best b ON b.symbol = o.symbol AND b.exchange = o.exchange AND o.ts_event >= b.ts_event
     WHERE event_type = 'cancel' AND size > 1000 AND {_CLOSE} GROUP BY ALL HAVING num_cancellations > 1""")(
-    lambda o, b: m.spoofing_alerts(o, b, "6 hours", quote="latest"))
+    lambda o, b: m.spoofing_alerts(o, b, "5 days", quote="latest"))

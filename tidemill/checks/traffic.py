@@ -41,7 +41,7 @@ check("q87_forecast_errors", "flow", oracle="""
     lambda f: t.forecast_errors(f, "traffic_flow", "predicted_flow_next_minute"))
 check("x8_sequences", "sensors", "cameras", oracle=f"""
     WITH r AS (SELECT min(vehicle_count) AS a, max(vehicle_count) AS b, min(avg_speed_kph) AS c, max(avg_speed_kph) AS d FROM ({_F})),
-      s AS (SELECT road_id, window_start, (vehicle_count - a)::DOUBLE / (b - a) AS f, coalesce((avg_speed_kph - c) / (d - c), 0) AS g FROM ({_F}), r),
+      s AS (SELECT road_id, window_start, (vehicle_count - a)::DOUBLE / (b - a) AS f, (avg_speed_kph - c) / (d - c) AS g FROM ({_F}), r),
       p AS (SELECT road_id, window_start, f AS y, lag(f, 5) OVER w AS f5, lag(g, 5) OVER w AS g5, lag(f, 1) OVER w AS f1, lag(g, 1) OVER w AS g1
             FROM s WINDOW w AS (PARTITION BY road_id ORDER BY window_start))
     SELECT road_id, window_start, round(y, 9) AS y, round(f5, 9) AS f5, round(g5, 9) AS g5, round(f1, 9) AS f1, round(g1, 9) AS g1 FROM p WHERE f5 IS NOT NULL""")(

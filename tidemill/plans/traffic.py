@@ -47,8 +47,9 @@ def feature_ranges(features: DataFrame) -> DataFrame:
 
 def _scaled(column: str, ranges: DataFrame) -> Column:
     low, high = (ranges.select(f"{n}_{column}").scalar() for n in ("lo", "hi"))
-    # A constant feature scales to 0, as min-max scalers do.
-    return F.coalesce(F.try_divide(F.col(column) - low, (high - low).cast("double")), F.lit(0.0))
+    # A constant feature scales to 0, as min-max scalers do; a missing value stays missing.
+    scaled = F.coalesce(F.try_divide(F.col(column) - low, (high - low).cast("double")), F.lit(0.0))
+    return F.when(F.col(column).isNotNull(), scaled)
 
 
 def sequences(features: DataFrame, steps: int = 5, ranges: DataFrame | None = None) -> DataFrame:
