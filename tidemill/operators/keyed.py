@@ -16,3 +16,9 @@ def key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def key_filter(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose keys occur in ``wanted`` (NULL matches NULL)."""
+    renamed = wanted.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+    return df.join(renamed, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys], "left_semi")

@@ -5,13 +5,33 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.changes import DELETE_CODES, UPDATE_INSERT
 from tidemill.operators.latest import latest_by
 
 
+PART = "_part"
+
+
+def bucket_of(columns: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+
+
+def write_clustered(rows: DataFrame, path: str, cluster_by: Sequence[str], buckets: int) -> None:
+    """Overwrite a folder, split by the hash bucket of ``cluster_by``.
+
+    The rebalance hint gathers a bucket into few files and lets AQE split the
+    bucket of a hot key over several tasks.
+    """
+    if cluster_by:
+        rows = rows.withColumn(PART, bucket_of(cluster_by, buckets)).hint("rebalance", PART)
+        rows.write.mode("overwrite").partitionBy(PART).parquet(path)
+    else:
+        rows.write.mode("overwrite").parquet(path)
+
+
 class KeyedTable:
     """A parquet folder that takes keyed changes and reads as the current table.
 
@@ -19,10 +39,18 @@ class KeyedTable:
     batch that is run again replaces itself: at-least-once delivery becomes
     exactly-once.  Readers fold the changes per key; ``compact`` bounds that
     fold with a snapshot.  On a lake catalog use ``merge_into`` instead.
+
+    ``cluster_by`` (columns of the rows) spreads the files over ``buckets``
+    folders by hash, so that a reader who knows the touched buckets skips the
+    rest.
     """
 
-    def __init__(self, path: str, keys: Sequence[str]):
+    def __init__(self, path: str, keys: Sequence[str], cluster_by: Sequence[str] = (), buckets: int = 16):
         self.path, self.keys = path.rstrip("/"), list(keys)
+        self.cluster_by, self.buckets = list(cluster_by), buckets
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        write_clustered(rows, f"{self.path}/{folder}", self.cluster_by, self.buckets)
 
     def apply(self, rows: DataFrame, batch_id: int, order: Sequence[str] = ()) -> None:
         """Store the last row per key of one batch; ``op`` defaults to an upsert."""
@@ -30,32 +58,37 @@ class KeyedTable:
             rows = rows.withColumn("op", F.lit(UPDATE_INSERT))
         if order:
             rows = latest_by(rows, self.keys, order)
-        rows.write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
+        self._write(rows, f"changes/batch={batch_id}")
 
-    def changes(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        """Change rows with their ``batch``, or None when nothing was written."""
+    def _load(self, spark: SparkSession, folder: str, parts: Sequence[int] | None) -> DataFrame | None:
         try:
-            rows = spark.read.parquet(f"{self.path}/changes")
+            rows = spark.read.parquet(f"{self.path}/{folder}")
         except AnalysisException:
             return None
-        return rows if before is None else rows.filter(F.col("batch") < before)
+        if self.cluster_by:
+            rows = (rows if parts is None else rows.filter(F.col(PART).isin(list(parts)))).drop(PART)
+        return rows
 
-    def _snapshot(self, spark: SparkSession, before: int | None) -> tuple[DataFrame, int] | None:
-        try:
-            rows = spark.read.parquet(f"{self.path}/snapshot")
-        except AnalysisException:
+    def changes(self, spark: SparkSession, before: int | None = None, parts: Sequence[int] | None = None) -> DataFrame | None:
+        """Change rows with their ``batch``, or None when nothing was written."""
+        rows = self._load(spark, "changes", parts)
+        return rows if rows is None or before is None else rows.filter(F.col("batch") < before)
+
+    def _snapshot(self, spark: SparkSession, before: int | None, parts: Sequence[int] | None) -> tuple[DataFrame, int] | None:
+        rows = self._load(spark, "snapshot", parts)
+        if rows is None:
             return None
         if before is not None:
             rows = rows.filter(F.col("upto") < before)
         newest = rows.agg(F.max("upto")).first()[0]
         return None if newest is None else (rows.filter(F.col("upto") == newest).drop("upto"), newest)
 
-    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        """Current rows, optionally as of just before a batch."""
-        rows = self.changes(spark, before)
+    def read(self, spark: SparkSession, before: int | None = None, parts: Sequence[int] | None = None) -> DataFrame | None:
+        """Current rows, optionally as of just before a batch and of some buckets only."""
+        rows = self.changes(spark, before, parts)
         if rows is None:
             return None
-        snapshot = self._snapshot(spark, before)
+        snapshot = self._snapshot(spark, before, parts)
         if snapshot:
             base, upto = snapshot
             rows = rows.filter(F.col("batch") > upto).unionByName(
@@ -67,7 +100,7 @@ class KeyedTable:
         rows = self.changes(spark)
         last = None if rows is None else rows.agg(F.max("batch")).first()[0]
         if last is not None:
-            self.read(spark).write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={last}")
+            self._write(self.read(spark), f"snapshot/upto={last}")
 
 
 def merge_into(table: str, source: str, keys: Sequence[str], columns: Sequence[str]) -> str:

@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemill.operators.changes import INSERT, UPDATE_INSERT, diff_results
-from tidemill.sinks.keyed import KeyedTable
+from tidemill.operators.keyed import key_filter
+from tidemill.sinks.keyed import PART, KeyedTable, write_clustered
 
 Handler = Callable[[DataFrame], None]
 
@@ -61,26 +62,50 @@ class MaintainedView:
 
     ``compute``  the batch plan; takes one DataFrame per input, by name
     ``keys``     key of a result row
-    ``scope``    columns that every input and the result share and that bound
+    ``scope``    columns that the inputs and the result share and that bound
                  the effect of a row (a user, an asset, a day).  Only touched
                  scopes are recomputed; an empty scope recomputes everything,
                  as a global ranking needs.
-    ``derive``   adds the scope columns to an input that lacks them
+    ``shared``   inputs without the scope columns, such as small dimensions; a
+                 new row there recomputes everything
+    ``derive``   adds the scope columns to an input that names them otherwise
+
+    Base rows and results lie in hash buckets of the scope, so a batch reads
+    only the buckets it touches.
     """
 
     def __init__(self, path: str, compute: Callable[..., DataFrame], keys: Sequence[str], scope: Sequence[str] = (),
-                 derive: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
-                 on_change: Handler | None = None, compact_every: int = 0):
+                 shared: Sequence[str] = (), derive: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
+                 on_change: Handler | None = None, compact_every: int = 0, buckets: int = 16):
         self.path, self.compute = path.rstrip("/"), compute
-        self.keys, self.scope = list(keys), list(scope)
-        self.derive, self.on_change, self.compact_every = dict(derive or {}), on_change, compact_every
-        self.table = KeyedTable(f"{self.path}/result", keys)
-
-    def _base(self, name: str) -> str:
-        return f"{self.path}/base/{name}"
-
-    def _scoped(self, name: str, rows: DataFrame) -> DataFrame:
-        return self.derive[name](rows) if name in self.derive else rows
+        self.keys, self.scope, self.shared = list(keys), list(scope), set(shared)
+        self.derive, self.on_change = dict(derive or {}), on_change
+        self.compact_every, self.buckets = compact_every, buckets
+        self.table = KeyedTable(f"{self.path}/result", keys, self.scope, buckets)
+
+    def _add(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Write the batch to the base table of an input; return all its rows up to the batch."""
+        rows = self.derive[name](rows) if name in self.derive else rows
+        cluster = [] if name in self.shared else self.scope
+        base = f"{self.path}/base/{name}"
+        write_clustered(rows, f"{base}/batch={batch_id}", cluster, self.buckets)
+        extra = [T.StructField("batch", T.LongType())] + ([T.StructField(PART, T.IntegerType())] if cluster else [])
+        schema = T.StructType([*rows.schema.fields, *extra])
+        return rows.sparkSession.read.schema(schema).parquet(base).filter(F.col("batch") <= batch_id)
+
+    def _touched(self, frames: Mapping[str, DataFrame], batch_id: int) -> tuple[DataFrame, list[int]] | None:
+        """Scopes with new rows and their buckets; None when everything must be recomputed."""
+        fresh = {n: df.filter(F.col("batch") == batch_id) for n, df in frames.items()}
+        if not self.scope or any(not fresh[n].isEmpty() for n in self.shared):
+            return None
+        scopes = None
+        for name, df in fresh.items():
+            if name not in self.shared:
+                part = df.select(*self.scope, PART)
+                scopes = part if scopes is None else scopes.unionByName(part)
+        scopes = scopes.distinct()
+        parts = [r[0] for r in scopes.select(PART).distinct().collect()]  # at most ``buckets`` numbers
+        return scopes.drop(PART), parts
 
     def process(self, batches: Mapping[str, DataFrame], batch_id: int) -> None:
         """Add one micro-batch per input and bring the result up to date.
@@ -89,30 +114,24 @@ class MaintainedView:
         and the old result is read as of just before the batch.
         """
         spark = next(iter(batches.values())).sparkSession
-        touched = None
-        frames = {}
-        for name, rows in batches.items():
-            scoped = self._scoped(name, rows)
-            scoped.write.mode("overwrite").parquet(f"{self._base(name)}/batch={batch_id}")
-            frames[name] = spark.read.schema(T.StructType([*scoped.schema.fields, T.StructField("batch", T.LongType())])).parquet(self._base(name)).filter(
-                F.col("batch") <= batch_id)
-            if self.scope:
-                # Read the written rows: the micro-batch source is not scanned again.
-                fresh = frames[name].filter(F.col("batch") == batch_id).select(*self.scope).distinct()
-                touched = fresh if touched is None else touched.union(fresh)
-        if touched is not None:
-            touched = touched.distinct()
-        within = lambda df: df if touched is None else df.join(touched, self.scope, "left_semi")
-        result = self.compute(**{n: within(df).drop("batch") for n, df in frames.items()})
-        old = self.table.read(spark, before=batch_id)
-        if old is None:
-            changes = result.withColumn("op", F.lit(INSERT))
-        else:
-            changes = diff_results(within(old), result, self.keys)
+        frames = {name: self._add(name, rows, batch_id) for name, rows in batches.items()}
+        touched = self._touched(frames, batch_id)
+
+        def within(df: DataFrame, shared: bool = False) -> DataFrame:
+            if touched is None or shared:
+                return df.drop("batch", PART)
+            df = df.filter(F.col(PART).isin(touched[1])) if PART in df.columns else df
+            return key_filter(df, touched[0], self.scope).drop("batch", PART)
+
+        result = self.compute(**{n: within(df, n in self.shared) for n, df in frames.items()})
+        old = self.table.read(spark, before=batch_id, parts=None if touched is None else touched[1])
+        changes = result.withColumn("op", F.lit(INSERT)) if old is None else diff_results(within(old), result, self.keys)
         self.table.apply(changes, batch_id)
         if self.on_change:
-            written = self.table.changes(spark).filter(F.col("batch") == batch_id).drop("batch")
-            self.on_change(written.filter(F.col("op").isin(INSERT, UPDATE_INSERT)))
+            written = self.table.changes(spark)
+            if written is not None:
+                written = written.filter(F.col("batch") == batch_id).drop("batch")
+                self.on_change(written.filter(F.col("op").isin(INSERT, UPDATE_INSERT)))
         if self.compact_every and batch_id and batch_id % self.compact_every == 0:
             self.table.compact(spark)
 
