@@ -1,13 +1,13 @@
 """Every maintained view: random splits into batches end where one batch query ends."""
 
 import random
-from functools import reduce
 
 import pytest
+from compare import compare
 from pyspark.sql import functions as F
 
 from tidemill.checks import load_all
-from tidemill.checks.harness import load
+from tidemill.checks.harness import load, plain
 from tidemill.plans import ledger
 from tidemill.streaming.catalog import VIEWS
 
@@ -65,9 +65,8 @@ def test_splits_do_not_matter(spark, sf, tmp_path, name):
     for i in range(batches):
         part = {n: df.filter(F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), F.lit(batches)) == i) for n, df in frames.items()}
         stored.process(part, i)
-    got, want = stored.read(spark), view.plan(**frames, **options)
-    got = got.select(want.columns)
-    doubles = [c for c, t in want.dtypes if t == "double"]
-    got, want = (reduce(lambda d, c: d.withColumn(c, F.round(c, 6)), doubles, d) for d in (got, want))
-    assert want.count() > 0
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    want = plain(view.plan(**frames, **options))
+    got = plain(stored.read(spark)).select(want.columns).toPandas()
+    assert len(got) > 0
+    verdict = compare(got, want.toPandas())
+    assert verdict == "" or verdict.startswith("~digits"), verdict

@@ -211,3 +211,10 @@ def test_embedding_retries_then_null(spark):
 
     df = spark.createDataFrame([("ok",), ("bad",), (None,)], "t string")
     assert [r[0] for r in df.select(text_embedding("t", flaky)).collect()] == [[2.0], None, None]
+
+
+def test_distinct_per_kind(spark):
+    from tidemill.operators import distinct_per_kind
+    rows = [("a", "x", 1, 5), ("a", "x", 1, 7), ("a", "y", 1, 2), ("a", "x", 2, None), ("a", "x", None, 1), (None, "y", 3, 4), ("b", None, 3, 4)]
+    got = distinct_per_kind(spark.createDataFrame(rows, "k string, kind string, id int, v int"), ["k"], "kind", "id", {"xs": "x", "ys": "y"}, {"total": ("x", "v")})
+    assert collect(got) == sorted([("a", 2, 1, 13), (None, 0, 1, 0), ("b", 0, 0, 0)], key=repr)

@@ -35,3 +35,18 @@ def test_plan_scales(spark, sf, name):
 
 def test_names_are_plain():
     assert not [n for n in CHECKS if n.startswith("op") or "pipeline" in n]
+
+
+@pytest.mark.parametrize("name", ["q111_headline_signals", "q96_document_embeddings", "x5_scored_once"])
+def test_python_runs_once_per_row(spark, sf, name):
+    """The score is used twice in the result but computed by one Arrow step."""
+    plan = run(spark, sf, name)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1, plan
+
+
+def test_filters_and_columns_reach_the_scan(spark, sf):
+    plan = run(spark, sf, "q76_spoofing_alerts")._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in plan and "props" not in plan
+    plan = run(spark, sf, "p6_between")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_quantity,10.0)" in plan and "LessThanOrEqual(l_quantity,20.0)" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan

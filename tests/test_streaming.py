@@ -1,6 +1,7 @@
 """A stream must end where the batch query ends, in any order and any split."""
 
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from tidemill.streaming.runners import MaintainedView, start_native
 from tidemill.streaming.views import ViewGraph
 
 
+small_view = partial(MaintainedView, buckets=4)
+
+
 def land(spark, df, path, parts, seed):
     """Write the rows as ``parts`` files in random order, one write per file."""
     rows = df.collect()
@@ -45,7 +49,7 @@ def test_native_windows(spark, sf, tmp_path, parts, seed):
 def test_maintained_rolling_frame(spark, sf, tmp_path, parts, seed):
     ticks = events(spark, sf).select((F.col("user_id") % 5).alias("asset_id"), F.col("ts").alias("timestamp"), "value").select(
         "asset_id", "timestamp", F.floor("value").cast("double").alias("price"), F.lit(1.0).alias("bid_price"), F.lit(2.0).alias("ask_price"))
-    view = MaintainedView(str(tmp_path / "v"), lambda ticks: markets.price_and_spread(ticks, "2 days"), ["asset_id", "timestamp"], ["asset_id"], compact_every=2)
+    view = small_view(str(tmp_path / "v"), lambda ticks: markets.price_and_spread(ticks, "2 days"), ["asset_id", "timestamp"], ["asset_id"], compact_every=2)
     view.start({"ticks": land(spark, ticks, str(tmp_path / "in"), parts, seed)}, str(tmp_path / "c")).awaitTermination()
     same(view.read(spark), markets.price_and_spread(ticks, "2 days"))
 
@@ -60,7 +64,7 @@ def test_maintained_join_with_changing_dimension(spark, tmp_path):
         return visits.join(known, "user_id", "left").groupBy("user_id", "name").agg(F.count(F.lit(1)).alias("n"))
 
     seen = []
-    view = MaintainedView(str(tmp_path / "v"), compute, ["user_id"], ["user_id"], on_change=lambda df: seen.extend(r.op for r in df.collect()))
+    view = small_view(str(tmp_path / "v"), compute, ["user_id"], ["user_id"], on_change=lambda df: seen.extend(r.op for r in df.collect()))
     view.process({"visits": visits.filter("page_id = 'p0'"), "users": users.filter("version = 1")}, 0)
     view.process({"visits": visits.filter("page_id <> 'p0'"), "users": users.filter("version = 9")}, 1)
     view.process({"visits": visits.limit(0), "users": users.filter("version > 1")}, 2)
@@ -73,7 +77,7 @@ def test_two_streams_into_one_view(spark, sf, tmp_path):
     orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_custkey").alias("user_id"), "o_totalprice")
     plan = lambda clicks, orders: clicks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).join(
         orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("m")), "user_id", "full")
-    view = MaintainedView(str(tmp_path / "v"), plan, ["user_id"], ["user_id"])
+    view = small_view(str(tmp_path / "v"), plan, ["user_id"], ["user_id"])
     streams = {"clicks": land(spark, e, str(tmp_path / "a"), 3, 1), "orders": land(spark, orders, str(tmp_path / "b"), 2, 2)}
     view.start(streams, str(tmp_path / "c")).awaitTermination()
     same(view.read(spark), plan(e, orders))
@@ -84,7 +88,7 @@ def test_global_ranking_takes_rows_back(spark, tmp_path):
     df = spark.createDataFrame([("a", 5), ("b", 4), ("c", 1)], "k string, n int")
     more = spark.createDataFrame([("c", 9)], "k string, n int")
     plan = lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n")).orderBy(F.desc("n")).limit(2)
-    view = MaintainedView(str(tmp_path / "v"), plan, ["k"])
+    view = small_view(str(tmp_path / "v"), plan, ["k"])
     view.process({"rows": df}, 0)
     assert sorted(r.k for r in view.read(spark).collect()) == ["a", "b"]
     view.process({"rows": more}, 1)
@@ -93,7 +97,7 @@ def test_global_ranking_takes_rows_back(spark, tmp_path):
 
 def test_a_batch_may_be_processed_again(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
-    view = MaintainedView(str(tmp_path / "v"), lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n")), ["k"], ["k"])
+    view = small_view(str(tmp_path / "v"), lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n")), ["k"], ["k"])
     for batch_id in (0, 0, 1, 1, 1):
         view.process({"rows": df}, batch_id)
     assert sorted(tuple(r) for r in view.read(spark).collect()) == [("a", 2), ("b", 4)]
@@ -141,6 +145,6 @@ def test_view_graph(spark):
 def test_visits_replay_keeps_counts(spark, tmp_path):
     lines = spark.createDataFrame([(i % 3, i % 5, f"2023-06-13T10:{i:02d}:00") for i in range(30)], "page_id int, user_id int, t string").select(
         "page_id", "user_id", F.col("t").cast("timestamp_ntz").alias("timestamp"))
-    view = MaintainedView(str(tmp_path / "v"), lambda visits: web.page_visits(visits), ["page_id"], ["page_id"])
+    view = small_view(str(tmp_path / "v"), lambda visits: web.page_visits(visits), ["page_id"], ["page_id"])
     view.start({"visits": land(spark, lines, str(tmp_path / "in"), 4, 7)}, str(tmp_path / "c")).awaitTermination()
     same(view.read(spark), web.page_visits(lines))

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from tidemill.checks.harness import check, declare
-from tidemill.functions.text import lexicon_scorer
-from tidemill.functions.vectors import cosine_similarity
+from tidemill.functions.text import lexicon_scorer, sentiment
+from tidemill.functions.vectors import cosine_similarity, text_embedding
 from tidemill.plans import corpus as c
 
 declare(
@@ -67,3 +67,13 @@ check("q111_headline_signals", "news", oracle=f"""
     SELECT doc_id, headline, round(if(s = 0, 0, s / sqrt(s * s + 15)), 9) AS sentiment_score, CASE WHEN s / sqrt(s * s + 15) > 0.05 THEN 'BUY'
       WHEN s / sqrt(s * s + 15) < -0.05 THEN 'SELL' ELSE 'HOLD' END AS signal FROM s""")(
     lambda n: c.headline_signals(n, lexicon_scorer(SAMPLE_LEXICON)).withColumn("sentiment_score", F.round("sentiment_score", 9)))
+
+check("x2_sentiment", "news", oracle=f"""
+    WITH t AS (SELECT doc_id, coalesce({_WORDS.format('headline')}, []) AS ws FROM news), s AS (SELECT doc_id, {_S} AS s FROM t)
+    SELECT doc_id, round(if(s = 0, 0, s / sqrt(s * s + 15)), 9) AS score FROM s""")(
+    lambda n: n.select("doc_id", F.round(sentiment("headline", lexicon_scorer(SAMPLE_LEXICON)), 9).alias("score")))
+check("x4_text_embedding", "files", oracle=f"""
+    SELECT file_name, count(DISTINCT {_CELL}) AS cells, count(*) AS words FROM (SELECT file_name, unnest({_WORDS.format('content')}) AS w FROM files) GROUP BY 1""")(
+    lambda f: f.select("file_name", text_embedding("content").alias("v")).select(
+        "file_name", F.size(F.filter("v", lambda x: x > 0)).alias("cells"),
+        F.aggregate("v", F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("words")))

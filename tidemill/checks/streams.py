@@ -56,7 +56,7 @@ def native(spark, plan, keys, *frames, mode="update"):
 
 def maintained(spark, compute, keys, scope, derive=None, **frames):
     """Final state of a maintained view over replayed frames."""
-    view = MaintainedView(scratch_dir(spark, "view"), compute, keys, scope, derive)
+    view = MaintainedView(scratch_dir(spark, "view"), compute, keys, scope, derive=derive, buckets=4)
     with small_state(spark):
         view.start({n: as_stream(spark, f) for n, f in frames.items()}, scratch_dir(spark, "checkpoint")).awaitTermination()
     return view.read(spark)
@@ -267,7 +267,7 @@ check("st12_latest_state", E, wants_spark=True, oracle="SELECT DISTINCT ON (user
 
 def _delivered_twice(spark, e):
     """Every batch is processed twice, as after a lost driver; the result must not notice."""
-    view = MaintainedView(scratch_dir(spark, "view"), lambda events: _per_user(events), ["user_id"], ["user_id"], compact_every=2)
+    view = MaintainedView(scratch_dir(spark, "view"), lambda events: _per_user(events), ["user_id"], ["user_id"], compact_every=2, buckets=4)
 
     def handler(batch, batch_id):
         view.process({"events": batch}, batch_id)

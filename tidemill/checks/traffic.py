@@ -47,3 +47,6 @@ check("x8_sequences", "sensors", "cameras", oracle=f"""
     SELECT road_id, window_start, round(y, 9) AS y, round(f5, 9) AS f5, round(g5, 9) AS g5, round(f1, 9) AS f1, round(g1, 9) AS g1 FROM p WHERE f5 IS NOT NULL""")(
     lambda s, c: t.sequences(_features(s, c)).select("road_id", "window_start", F.round("y", 9).alias("y"),
         *[F.round(F.col("x")[i][j], 9).alias(n) for n, i, j in (("f5", 0, 0), ("g5", 0, 1), ("f1", 4, 0), ("g1", 4, 1))]))
+check("x9_error_metrics", "flow", oracle="""
+    SELECT avg((traffic_flow - avg_speed_kph) ** 2) AS mse, sqrt(avg((traffic_flow - avg_speed_kph) ** 2)) AS rmse, avg(abs(traffic_flow - avg_speed_kph)) AS mae FROM flow""")(
+    lambda f: t.forecast_errors(f, "traffic_flow", "avg_speed_kph"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +27,23 @@ def distinct_where(condition: Column, value: ColumnLike) -> Column:
     return F.count_distinct(F.when(condition, as_col(value)))
 
 
+def distinct_per_kind(df: DataFrame, keys: Sequence[str], kind: str, item: str, counts: Mapping[str, str],
+                      sums: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Distinct ``item`` per kind, one column each, and sums over one kind, per key.
+
+    Several conditional distinct counts in one aggregate make Spark copy every
+    row once per count.  An item has one kind per row, so one grouping by
+    (key, kind, item) answers all of them, and a hot key is spread by item.
+    ``counts`` maps a result column to a kind, ``sums`` to (kind, column).
+    """
+    sums = dict(sums or {})
+    once = df.groupBy(*keys, F.col(kind).alias("_kind"), F.col(item).alias("_item")).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_s_{n}") for n, (_, c) in sums.items()])
+    return once.groupBy(*keys).agg(
+        *[F.count_if((F.col("_kind") == k) & F.col("_item").isNotNull()).alias(n) for n, k in counts.items()],
+        *[zero_filled(F.sum(F.when(F.col("_kind") == k, F.col(f"_s_{n}")))).alias(n) for n, (k, _) in sums.items()])
+
+
 def first_by(value: ColumnLike, *order: ColumnLike) -> Column:
     """FIRST_VALUE(value ORDER BY order) as an aggregate."""
     return F.min_by(as_col(value), F.struct(*[as_col(o) for o in order]))

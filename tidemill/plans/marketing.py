@@ -6,26 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.scalar import ratio
-from tidemill.operators import distinct_where, sum_where, tumble
+from tidemill.operators import distinct_per_kind, distinct_where, sum_where, tumble
 
 
-def _count_of(kind: str) -> Column:
-    return distinct_where(F.col("event_type") == kind, "event_id")
+# Result column per kind of event.
+FUNNEL = {"impressions": "impression", "clicks": "click", "conversions": "conversion"}
 
 
-def _conversion_revenue() -> Column:
-    return sum_where(F.col("event_type") == "conversion", "amount")
+def _funnel(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct events per kind and conversion revenue."""
+    return distinct_per_kind(rows, keys, "event_type", "event_id", FUNNEL, {"revenue": ("conversion", "amount")})
 
 
 def campaign_performance(events: DataFrame, campaigns: DataFrame, size: str = "5 minutes") -> DataFrame:
     """Impressions, clicks, conversions, revenue and rates per campaign and window."""
     named = campaigns.select("campaign_id", "campaign_name", "campaign_type")
-    out = (
-        tumble(events, "timestamp", size).join(named, "campaign_id")
-        .groupBy("window_start", "window_end", "campaign_id", "campaign_name", "campaign_type")
-        .agg(_count_of("impression").alias("impressions"), _count_of("click").alias("clicks"),
-             _count_of("conversion").alias("conversions"), _conversion_revenue().alias("revenue"))
-    )
+    rows = tumble(events, "timestamp", size).join(named, "campaign_id")
+    out = _funnel(rows, ["window_start", "window_end", "campaign_id", "campaign_name", "campaign_type"])
     return out.withColumns({"ctr": ratio("clicks", "impressions"), "conversion_rate": ratio("conversions", "clicks")})
 
 
@@ -33,8 +30,9 @@ def channel_attribution(events: DataFrame, size: str = "5 minutes") -> DataFrame
     """Users, conversions, revenue and order value per channel, source, medium and window."""
     out = tumble(events, "timestamp", size).groupBy(
         "window_start", "window_end", "channel_type", "utm_source", "utm_medium").agg(
-        F.count_distinct("user_id").alias("unique_users"), _count_of("conversion").alias("conversions"),
-        _conversion_revenue().alias("revenue"))
+        F.count_distinct("user_id").alias("unique_users"),
+        distinct_where(F.col("event_type") == "conversion", "event_id").alias("conversions"),
+        sum_where(F.col("event_type") == "conversion", "amount").alias("revenue"))
     return out.withColumn("avg_order_value", ratio("revenue", "conversions"))
 
 
@@ -43,13 +41,9 @@ def ab_test_results(events: DataFrame, campaigns: DataFrame, variants: DataFrame
     """Results per test campaign and variant; only events that carry a variant count."""
     tests = campaigns.filter(F.col("campaign_type") == "ab_test").select("campaign_id", "campaign_name")
     arms = variants.select("variant_id", "variant_name", "variant_type")
-    out = (
-        tumble(events.filter(F.col("variant_id").isNotNull()), "timestamp", size)
-        .join(tests, "campaign_id").join(arms, "variant_id")
-        .groupBy("window_start", "window_end", "campaign_id", "campaign_name", "variant_name", "variant_type")
-        .agg(_count_of("impression").alias("impressions"), _count_of("click").alias("clicks"),
-             _count_of("conversion").alias("conversions"), _conversion_revenue().alias("revenue"))
-    )
+    rows = tumble(events.filter(F.col("variant_id").isNotNull()), "timestamp", size).join(tests, "campaign_id").join(
+        arms, "variant_id")
+    out = _funnel(rows, ["window_start", "window_end", "campaign_id", "campaign_name", "variant_name", "variant_type"])
     return out.withColumn("conversion_rate", ratio("conversions", "clicks"))
 
 

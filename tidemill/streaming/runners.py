@@ -71,12 +71,13 @@ class MaintainedView:
     ``derive``   adds the scope columns to an input that names them otherwise
 
     Base rows and results lie in hash buckets of the scope, so a batch reads
-    only the buckets it touches.
+    only the buckets it touches.  More ``buckets`` mean finer reads and more,
+    smaller files per batch.
     """
 
     def __init__(self, path: str, compute: Callable[..., DataFrame], keys: Sequence[str], scope: Sequence[str] = (),
                  shared: Sequence[str] = (), derive: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
-                 on_change: Handler | None = None, compact_every: int = 0, buckets: int = 16):
+                 on_change: Handler | None = None, compact_every: int = 0, buckets: int = 256):
         self.path, self.compute = path.rstrip("/"), compute
         self.keys, self.scope, self.shared = list(keys), list(scope), set(shared)
         self.derive, self.on_change = dict(derive or {}), on_change
