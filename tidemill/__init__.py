@@ -12,3 +12,11 @@ Layout
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the Python workers by value, so executors
+# need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.scalar import round_numeric
+from tidemill.functions.scalar import event_micros, micros, round_numeric
 from tidemill.operators import asof_join, key_join, latest_by, tumble
 
 # Stock bands and price rules.
@@ -18,24 +18,33 @@ BUSY_FACTOR, UNDERCUT_FACTOR, FLOOR_FACTOR = Decimal("1.02"), Decimal("0.99"), D
 
 
 def minute_deltas(purchases: DataFrame, restocks: DataFrame, size: str = "1 minute") -> DataFrame:
-    """Units bought and restocked per product and window; a missing side is zero."""
-    out_flow = tumble(purchases, "purchase_time", size).groupBy("product_id", "window_start").agg(
-        F.sum("quantity_purchased").alias("total_purchased"))
-    in_flow = tumble(restocks, "restock_time", size).groupBy("product_id", "window_start").agg(
-        F.sum("quantity_restocked").alias("total_restocked"))
-    # A full join on both keys: USING already coalesces them.
-    return out_flow.join(in_flow, ["product_id", "window_start"], "full").select(
-        "product_id", "window_start", F.coalesce("total_purchased", F.lit(0)).alias("total_purchased"),
-        F.coalesce("total_restocked", F.lit(0)).alias("total_restocked"))
+    """Units bought and restocked per product and window; a missing side is zero.
+
+    A full join of two aggregates, done as one aggregate over the union of the
+    two flows: one shuffle and no join.  Rows without a product never match in
+    a join, so they stay apart by side.
+    """
+    def flow(df: DataFrame, ts: str, bought, restocked) -> DataFrame:
+        return tumble(df, ts, size).select("product_id", "window_start", bought.cast("bigint").alias("_out"),
+                                           restocked.cast("bigint").alias("_in"))
+
+    none = F.lit(None)
+    both = flow(purchases, "purchase_time", F.col("quantity_purchased"), none).withColumn("_side", F.lit(0)).unionByName(
+        flow(restocks, "restock_time", none, F.col("quantity_restocked")).withColumn("_side", F.lit(1)))
+    apart = F.when(F.col("product_id").isNull(), F.col("_side")).alias("_apart")
+    return both.groupBy("product_id", "window_start", apart).agg(
+        F.coalesce(F.sum("_out"), F.lit(0)).alias("total_purchased"),
+        F.coalesce(F.sum("_in"), F.lit(0)).alias("total_restocked")).drop("_apart")
 
 
 def stock_status(inventory: DataFrame, purchases: DataFrame, restocks: DataFrame, size: str = "1 minute") -> DataFrame:
     """Stock level over time per product, in bands.
 
     The running totals read one row per product and window, so a hot product
-    costs one task no more than the number of windows.
+    costs one task no more than the number of windows.  The merge join leaves
+    the rows partitioned by product, as the running totals need them.
     """
-    deltas = minute_deltas(purchases, restocks, size)
+    deltas = minute_deltas(purchases, restocks, size).hint("merge")
     upto = Window.partitionBy("product_id").orderBy("window_start")
     flow = F.coalesce("total_restocked", F.lit(0)) - F.coalesce("total_purchased", F.lit(0))
     level = F.col("current_inventory")
@@ -138,9 +147,7 @@ def lowest_competitor_price(offers: DataFrame) -> DataFrame:
 def enriched_prices(status: DataFrame, clicks: DataFrame, offers: DataFrame, size: str = "1 minute",
                     horizon: str = "15 minutes", busy: int = BUSY_CLICKS) -> DataFrame:
     """Final price: stock rule, raised on busy demand, cut under a competitor, floored at half base."""
-    from tidemill.functions.scalar import micros
-
-    recent = Window.partitionBy("product_id").orderBy(F.unix_micros(F.col("window_start").cast("timestamp"))).rangeBetween(
+    recent = Window.partitionBy("product_id").orderBy(event_micros("window_start")).rangeBetween(
         -micros(horizon), 0)
     demand = clicks_per_window(clicks, size).select(
         "product_id", F.col("window_start").alias("inventory_window"), F.sum("clicks").over(recent).alias("clicks_15m"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators import count_where, exact_median, key_join, sum_where, top_n, tumble
@@ -94,8 +94,6 @@ def referrer_activity(logs: DataFrame, size: str = "1 minute", classes=None) ->
 
 def status_distribution(logs: DataFrame, size: str = "1 minute") -> DataFrame:
     """Status codes per window with cumulative count and percentage."""
-    from pyspark.sql import Window
-
     counted = tumble(logs, "request_timestamp", size).groupBy("status_code", "window_start", "window_end").agg(
         F.count("status_code").alias("count_status_code"), F.avg("response_time").alias("avg_response_time"))
     whole = Window.partitionBy("window_start", "window_end")
