@@ -110,6 +110,30 @@ def test_moving_filter_lets_rows_leave(spark, tmp_path):
     assert got("2024-01-06 00:00:00") == [1, 2] and got("2024-01-08 00:00:00") == [2] and got("2024-02-01 00:00:00") == []
 
 
+def test_refresh_follows_the_clock(spark, tmp_path):
+    sales = spark.createDataFrame([(1, 1, 5, "2024-01-01 00:00:00"), (1, 2, 3, "2024-01-05 00:00:00")], "warehouse_id int, product_id int, quantity_sold int, t string").select(
+        "warehouse_id", "product_id", "quantity_sold", F.col("t").cast("timestamp_ntz").alias("timestamp"))
+    now = ["2024-01-06 00:00:00"]
+    view = small_view(str(tmp_path / "v"), lambda sales: logistics.recent_sales(sales, now[0]), ["warehouse_id", "product_id"])
+    shown = lambda: sorted(r.product_id for r in view.read(spark).collect())
+    view.process({"sales": sales}, 0)
+    assert shown() == [1, 2]
+    now[0] = "2024-01-09 00:00:00"
+    view.refresh(spark, ["sales"])
+    assert shown() == [2]
+    view.process({"sales": sales.withColumns({"product_id": F.lit(7), "timestamp": F.lit("2024-01-08 00:00:00").cast("timestamp_ntz")}).limit(1)}, 1)
+    assert shown() == [2, 7]
+
+
+def test_compaction_may_be_repeated(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "t"), ["k"], ["k"], 4)
+    for i in range(3):
+        table.apply(spark.createDataFrame([(i, i * 10)], "k int, v int"), i)
+        table.compact(spark)
+        table.compact(spark)
+    assert sorted(tuple(r) for r in table.read(spark).collect()) == [(0, 0), (1, 10), (2, 20)]
+
+
 def test_keyed_table_compaction_and_deletes(spark, tmp_path):
     table = KeyedTable(str(tmp_path / "t"), ["k"])
     assert table.read(spark) is None

@@ -95,13 +95,22 @@ class KeyedTable:
                 base.withColumns({"op": F.lit(UPDATE_INSERT), "batch": F.lit(upto)}))
         return latest_by(rows, self.keys, ["batch"]).filter(~F.col("op").isin(*DELETE_CODES)).drop("op", "batch")
 
+    def last_batch(self, spark: SparkSession) -> int | None:
+        rows = self.changes(spark)
+        return None if rows is None else rows.agg(F.max("batch")).first()[0]
+
     def compact(self, spark: SparkSession) -> None:
         """Write the current rows as a snapshot; later reads start from it."""
-        rows = self.changes(spark)
-        last = None if rows is None else rows.agg(F.max("batch")).first()[0]
-        if last is not None:
+        last = self.last_batch(spark)
+        newest = self._snapshot(spark, None, None)
+        # A snapshot that is up to date stays: it must not be overwritten while it is read.
+        if last is not None and (newest is None or newest[1] < last):
             self._write(self.read(spark), f"snapshot/upto={last}")
 
+    def replace(self, spark: SparkSession, rows: DataFrame) -> None:
+        """Make ``rows`` (computed from elsewhere) the whole current table."""
+        self._write(rows, f"snapshot/upto={self.last_batch(spark)}")
+
 
 def merge_into(table: str, source: str, keys: Sequence[str], columns: Sequence[str]) -> str:
     """MERGE statement of an upsert into a lake table (needs a catalog that supports it)."""

@@ -136,6 +136,19 @@ class MaintainedView:
         if self.compact_every and batch_id and batch_id % self.compact_every == 0:
             self.table.compact(spark)
 
+    def refresh(self, spark: SparkSession, inputs: Sequence[str]) -> None:
+        """Recompute the result from the stored base rows.
+
+        For views that change with the clock alone, where rows must leave the
+        result although nothing new arrives.  Call it between batches.
+        """
+        last = self.table.last_batch(spark)
+        frames = {}
+        for name in inputs:
+            rows = spark.read.parquet(f"{self.path}/base/{name}").filter(F.col("batch") <= last)
+            frames[name] = rows.drop("batch", PART)
+        self.table.replace(spark, self.compute(**frames))
+
     def start(self, streams: Mapping[str, DataFrame], checkpoint: str, every: str | None = None) -> StreamingQuery:
         """Follow one or more streams.  Several are tagged and unioned into one query."""
         schemas = {n: s.schema for n, s in streams.items()}
