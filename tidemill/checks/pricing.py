@@ -2,6 +2,7 @@
 
 from tidemill.checks.harness import check, declare
 from tidemill.plans import pricing as p
+from tidemill.session import stored
 
 declare(
     product_inventory="""SELECT p_partkey AS product_id, p_name AS product_name, 5 + p_size AS stock_level, CAST(p_size AS BIGINT) AS reorder_threshold,
@@ -47,15 +48,24 @@ def _prices(i, b, r):
     return p.stock_rule_prices(_status(i, b, r))
 
 
+def _sales(i, b, r):
+    return p.sales_at_price(b, p.stock_rule_prices(stored(_status(i, b, r))), "365 days")
+
+
+def _elasticity(i, b, r):
+    status = stored(_status(i, b, r))
+    return p.demand_elasticity(b, p.stock_rule_prices(status), status, "365 days")
+
+
 check("q29_stock_status", *_BASE, oracle=f"WITH {_CTE} SELECT * REPLACE (base_price::DOUBLE AS base_price) FROM status")(_status)
 check("q30_stock_rule_prices", *_BASE, oracle=f"WITH {_CTE} SELECT * REPLACE (base_price::DOUBLE AS base_price, new_price::DOUBLE AS new_price) FROM prices")(_prices)
-check("q31_sales_at_price", *_BASE, oracle=f"WITH {_CTE} {_SALES}")(lambda i, b, r: p.sales_at_price(b, _prices(i, b, r), "365 days"))
+check("q31_sales_at_price", *_BASE, oracle=f"WITH {_CTE} {_SALES}")(_sales)
 check("q32_excess_inventory", *_BASE, oracle=f"""WITH {_CTE} SELECT product_id, product_name,
       time_bucket(INTERVAL '5 days', inventory_window, TIMESTAMP '1970-01-01') AS window_start, sum(current_inventory)::BIGINT AS current_inventory,
       avg(reorder_threshold) AS reorder_level, if(sum(current_inventory) > 1.5 * avg(reorder_threshold), 'Excess', 'Normal') AS inventory_status
     FROM status WHERE inventory_window IS NOT NULL GROUP BY ALL""")(lambda *a: p.excess_inventory(_status(*a), "5 days"))
 check("q33_demand_elasticity", *_BASE, oracle=f"WITH {_CTE} {_ELASTIC}")(
-    lambda i, b, r: p.demand_elasticity(b, _prices(i, b, r), _status(i, b, r), "365 days"))
+    _elasticity)
 check("q34_latest_prices", *_BASE, oracle=f"""WITH {_CTE} SELECT DISTINCT ON (product_id) product_id, product_name, inventory_window,
       base_price::DOUBLE AS base_price, new_price::DOUBLE AS new_price FROM prices ORDER BY product_id, inventory_window DESC""")(
     lambda *a: p.latest_prices(_prices(*a)))
@@ -64,11 +74,11 @@ check("q34_latest_stock", *_BASE, oracle=f"""WITH {_CTE} SELECT DISTINCT ON (pro
     lambda *a: p.latest_stock(_status(*a)))
 check("q34_revenue_by_price", *_BASE, oracle=f"""WITH {_CTE} SELECT product_id, product_name, price_range, total_quantity AS total_quantity_sold,
       total_revenue FROM ({_ELASTIC})""")(
-    lambda i, b, r: p.revenue_by_price(p.demand_elasticity(b, _prices(i, b, r), _status(i, b, r), "365 days")))
+    lambda *a: p.revenue_by_price(_elasticity(*a)))
 check("q34_profit_ranking", *_BASE, oracle=f"WITH {_CTE} SELECT product_id::VARCHAR AS product_id, total_profit FROM ({_SALES})")(
-    lambda i, b, r: p.profit_ranking(p.sales_at_price(b, _prices(i, b, r), "365 days")))
+    lambda *a: p.profit_ranking(_sales(*a)))
 check("q34_units_ranking", *_BASE, oracle=f"WITH {_CTE} SELECT product_id::VARCHAR AS product_id, total_purchased FROM ({_SALES})")(
-    lambda i, b, r: p.profit_ranking(p.sales_at_price(b, _prices(i, b, r), "365 days"), "total_purchased"))
+    lambda *a: p.profit_ranking(_sales(*a), "total_purchased"))
 
 check("q57_minute_deltas", "purchases", "restocks", oracle=_DELTAS)(lambda b, r: p.minute_deltas(b, r, "1 day"))
 check("q58_live_stock", *_BASE, oracle=f"""WITH {_CTE} SELECT product_id, inventory_window, current_inventory, stock_level_category FROM status""")(
@@ -101,4 +111,4 @@ check("q62_order_revenue", *_BASE, "web_clicks", "offers", "product_orders", ora
     FROM product_orders o ASOF LEFT JOIN (SELECT * FROM final WHERE inventory_window IS NOT NULL) f
       ON f.product_id = o.product_id AND o.order_time >= f.inventory_window
     LEFT JOIN product_inventory i ON i.product_id = o.product_id GROUP BY o.product_id""")(
-    lambda i, b, r, c, o, q: p.order_revenue(q, _final(i, b, r, c, o), i, "365 days"))
+    lambda i, b, r, c, o, q: p.order_revenue(q, stored(_final(i, b, r, c, o)), i, "365 days"))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may be changed on a live session.  Skew handling is forced on:
 # a hot key is expected, and one more exchange is cheaper than one huge task.
@@ -56,3 +56,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="tidemill-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For a view that several later steps read, such as the right side of an
+    as-of join: it is computed once and survives the loss of an executor.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, "stored")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
