@@ -9,12 +9,13 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.session import stored
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch] | None],
-                schema: str, start: Callable[[], object] | None = None) -> DataFrame:
+                schema: str | T.StructType, start: Callable[[], object] | None = None) -> DataFrame:
     """Run ``fn`` on each Arrow batch of ``df``; ``start`` builds what the batches of a task share.
 
     ``fn`` gets (batch) or (batch, shared) and returns a batch, an iterable of
@@ -37,6 +38,11 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | I
     return df.mapInArrow(run, schema)
 
 
+def with_id(named: DataFrame, more: str) -> T.StructType:
+    """Schema of the column ``id`` of ``named``, whatever its type, and further columns given as text."""
+    return T.StructType([named.schema["id"], *T.StructType.fromDDL(more).fields])
+
+
 def worker_store(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, shared by its tasks.
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import map_batches
+from tidemill.llm.common import map_batches, with_id
 
 UNDETERMINED = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd multipliers that spread the bits
@@ -180,5 +180,4 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
             [batch.column(0), pa.array([x[0] for x in found], pa.string()),
              pa.array([x[1] for x in found], pa.float64())], ["id", "lang_pred", "score"])
 
-    kind = named.schema["id"].dataType.simpleString()
-    return map_batches(named, run, f"id {kind}, lang_pred string, score double", lambda: LanguageModel(**shared.value))
+    return map_batches(named, run, with_id(named, "lang_pred string, score double"), lambda: LanguageModel(**shared.value))

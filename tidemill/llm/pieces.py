@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import struct
+import zlib
 from collections.abc import Iterator
 from itertools import chain, groupby, islice
 
@@ -13,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import map_batches, worker_store
+from tidemill.llm.common import map_batches, with_id, worker_store
 
 SPACE = "▁"
 # Fixed values of the model file format.
@@ -379,8 +380,6 @@ def load(model_file: str) -> Transducer:
 
 def _compiled(model: bytes) -> Transducer:
     """The worker's transducer of a model, compiled once per worker."""
-    import zlib
-
     store, key = worker_store("pieces"), zlib.crc32(model)
     if key not in store:
         store.clear()
@@ -411,8 +410,7 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([ids_of, lists, pa.array(back, pa.bool_(), mask=gone)], ["id", "ids", "round_trip"])
 
     named = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    kind = named.schema["id"].dataType.simpleString()
-    return map_batches(named, run, f"id {kind}, ids array<int>, round_trip boolean", lambda: _compiled(shared.value))
+    return map_batches(named, run, with_id(named, "ids array<int>, round_trip boolean"), lambda: _compiled(shared.value))
 
 
 def decode_ids(encoded: DataFrame, model_file: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
@@ -425,5 +423,4 @@ def decode_ids(encoded: DataFrame, model_file: str, id_col: str = "id", ids_col:
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["id", "text"])
 
     named = encoded.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids"))
-    kind = named.schema["id"].dataType.simpleString()
-    return map_batches(named, run, f"id {kind}, text string", lambda: _compiled(shared.value))
+    return map_batches(named, run, with_id(named, "text string"), lambda: _compiled(shared.value))

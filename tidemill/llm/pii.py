@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from typing import NamedTuple
 
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import map_batches
+from tidemill.llm.common import map_batches, with_id
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("iban", "local_phone", "ssn")
@@ -191,7 +190,7 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
             [batch.column(0), pa.array(rows, kind), pa.array(masked, pa.string())], ["id", "spans", "masked"])
 
     named = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return map_batches(named, run, f"id {named.schema['id'].dataType.simpleString()}, spans {SPANS}, masked string")
+    return map_batches(named, run, with_id(named, f"spans {SPANS}, masked string"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -205,7 +204,3 @@ def digest(found: DataFrame) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     return found.select(F.col("id").alias("doc_id"), *[count(k) for k in BASE_KINDS],
                         F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import annforest, langid, neardup, pieces, pii, simhash, warc
+from tidemill.llm import annforest, langid, mixing, neardup, passages, pieces, pii, simhash, toxicity, warc
 from tidemill.session import scratch_dir, tune
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -15,6 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxic_chain(docs: DataFrame, labels: DataFrame) -> toxicity.Chain:
+    """Junk first, then toxicity, which is fed the probability of junk."""
+    return toxicity.train(docs, labels, {"junk": F.col("quality") == 0, "toxic": F.col("toxic") == 1})
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = toxic_chain(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, chain)
+    return scored.select(F.col("id").alias("doc_id"), F.col("junk").alias("p_junk"), F.col("toxic").alias("p_toxic"),
+                         (F.col("junk") > chain.cuts[0]).alias("junk"), (F.col("toxic") > chain.cuts[1]).alias("toxic"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.pii_spans(table(spark, sf_dir, "documents")))
 
@@ -36,6 +49,23 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id").withColumnRenamed("ref_id", "ref_doc_id")
+
+
+def labelled_domains(labels: DataFrame) -> DataFrame:
+    """Domain of each labelled document: junk, toxic or prose."""
+    return labels.select("doc_id", F.when(F.col("quality") == 0, "junk").when(F.col("toxic") == 1, "toxic")
+                         .when(F.col("quality") == 1, "prose").alias("domain"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = mixing.fit(docs, labelled_domains(table(spark, sf_dir, "labels")))
+    mixed = mixing.mix(docs, model, {"prose": 0.90, "junk": 0.08, "toxic": 0.02})
+    return mixed.withColumnRenamed("id", "doc_id").drop("text_hash")
+
+
 def op8_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
@@ -87,5 +117,7 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN k USING (payload_digest, payload_bytes)
 """
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_simhash, op4_pieces, op5_nearest, op8_embedding_neardup, op9_language, op10_warc)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_pii, op3_simhash, op4_pieces, op5_nearest, op6_passages, op7_mixing, op8_embedding_neardup,
+    op9_language, op10_warc)}
 ORACLE = {"op8_embedding_neardup": OP8_SQL, "op10_warc": OP10_SQL}
