@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tidemill.session import stored
 
 BUCKETS = 8192  # per kind of feature
-SPACE = "[ \\x09-\\x0D]+"
 
 
 class Classifier(NamedTuple):
@@ -25,14 +24,19 @@ class Classifier(NamedTuple):
 
 
 def _words(docs: DataFrame, *more: str) -> DataFrame:
-    """A row per word ``w`` of the column ``text``, with the number of words ``n``; no word: one row with an empty one."""
-    words = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), f"^{SPACE}|{SPACE}$", ""), SPACE)
-    return (docs.select(*more, words.alias("words"))
-            .select(*more, F.when(F.col("words")[0] == "", 0).otherwise(F.size("words")).alias("n"), F.explode("words").alias("w")))
+    """A row per word ``w`` of the column ``text``, cut at space and \\x09-\\x0D; ``parts`` is the number of rows.
+
+    Leading, trailing and repeated space gives empty words, which callers count as none.
+    """
+    line = F.coalesce("text", F.lit(""))
+    for space in "\t\n\x0b\x0c\r":
+        line = F.replace(line, F.lit(space), F.lit(" "))
+    return (docs.select(*more, F.split(line, " ").alias("words"))
+            .select(*more, F.size("words").alias("parts"), F.explode("words").alias("w")))
 
 
 def _front() -> Column:
-    return F.pmod(F.xxhash64(F.lower(F.substring("w", 1, 4))), F.lit(BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(F.substring("w", 1, 4)), F.lit(BUCKETS)).cast("int")
 
 
 def _back() -> Column:
@@ -56,7 +60,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
     ids = (labelled.select(F.col(f"`{label_id}`").cast("long").alias("id"), F.col(f"`{domain_col}`").cast("string").alias("domain"))
            .dropna().groupBy("id").agg(F.min("domain").alias("domain")))
     ids = ids.join(named.select("id").distinct(), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(most_rows)
-    words = _words(named.join(F.broadcast(ids), "id"), "domain").where("n > 0")  # at most most_rows ids
+    words = _words(named.join(F.broadcast(ids), "id"), "domain").where("w <> ''")  # at most most_rows ids
     cells = words.select("domain", F.explode(F.array(F.struct(F.lit(0).alias("kind"), _front().alias("b")),
                                                      F.struct(F.lit(1).alias("kind"), _back().alias("b")))).alias("x"))
     counts = cells.groupBy("domain", "x.kind", "x.b").count().collect()
@@ -69,7 +73,8 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
         tables[r["domain"], r["kind"]][r["b"]] += r["count"]
 
     def odds(kind: int) -> tuple[tuple[float, ...], ...]:
-        logs = {d: [math.log(c / sum(tables[d, kind])) for c in tables[d, kind]] for d in domains}
+        all_of = {d: sum(tables[d, kind]) for d in domains}
+        logs = {d: [math.log(c / all_of[d]) for c in tables[d, kind]] for d in domains}
         return tuple(tuple(a - b for a, b in zip(logs[d], logs[domains[0]])) for d in domains[1:])
 
     prior = tuple(math.log(rows[d] / rows[domains[0]]) for d in domains[1:])
@@ -77,7 +82,7 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def memberships(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text",
-                weight: float = 20.0) -> DataFrame:
+                weight: float = 60.0) -> DataFrame:
     """(id, text_hash, n, copies_in, p0, p1, ...): words of each document and its posterior of each domain.
 
     The log odds of a document are the mean over its words times
@@ -90,14 +95,20 @@ def memberships(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text
     named = named.withColumn("text_hash", F.xxhash64("text"))
     k = range(len(model.domains) - 1)
     words = _words(named, "id", "text_hash").withColumn("f", _front() + 1).withColumn("b", _back() + 1)
-    odds = [(F.element_at(_table(model.front[i]), F.col("f")) + F.element_at(_table(model.back[i]), F.col("b"))).alias(f"o{i}") for i in k]
-    sums = (words.select("id", "text_hash", "n", *odds).groupBy("id", "text_hash", "n")
-            .agg(*[F.avg(f"o{i}").alias(f"o{i}") for i in k], F.count(F.lit(1)).alias("rows")))
+    there = F.col("w") != ""
+    odds = [F.when(there, F.element_at(_table(model.front[i]), F.col("f")) + F.element_at(_table(model.back[i]), F.col("b")))
+            .otherwise(0.0).alias(f"o{i}") for i in k]
+    sums = (words.select("id", "text_hash", "parts", there.cast("int").alias("one"), *odds).groupBy("id", "text_hash", "parts")
+            .agg(*[F.sum(f"o{i}").alias(f"o{i}") for i in k], F.sum("one").alias("n"), F.count(F.lit(1)).alias("rows")))
+    # Equal rows were summed together.
+    sums = sums.withColumn("copies_in", (F.col("rows") / F.col("parts")).cast("long")).select(
+        "id", "text_hash", "copies_in", *[(F.col(f"o{i}") / F.greatest("n", F.lit(1))).alias(f"o{i}") for i in k],
+        (F.col("n") / F.col("copies_in")).cast("long").alias("n"))
     strength = F.least(F.col("n"), F.lit(weight))
     logits = [F.lit(0.0)] + [F.lit(model.prior[i]) + F.col(f"o{i}") * strength for i in k]
     top = F.greatest(*logits) if len(logits) > 1 else logits[0]
     parts = [F.exp(z - F.col("top")).alias(f"e{i}") for i, z in enumerate(logits)]
-    soft = sums.withColumn("top", top).select("id", "text_hash", "n", (F.col("rows") / F.greatest("n", F.lit(1))).cast("long").alias("copies_in"), *parts)
+    soft = sums.withColumn("top", top).select("id", "text_hash", "n", "copies_in", *parts)
     total = sum((F.col(f"e{i}") for i in range(len(logits))), F.lit(0.0))
     return soft.select("id", "text_hash", "n", "copies_in", *[(F.col(f"e{i}") / total).alias(f"p{i}") for i in range(len(logits))])
 
@@ -107,17 +118,17 @@ def solve(members: DataFrame, targets: list[float], hold: int | None = None, min
     """``members`` with ``rate``, and the expected token totals reached per domain.
 
     Projected gradient for: find rates r_i in [min_rate, max_rate] that minimise
-    the weighted squares (A(r) - t)' M^-1 (A(r) - t), where A_d(r) = sum_i r_i
-    n_i p_id are the expected tokens, M = sum_i n_i p_i p_i' says how memberships
-    overlap, and t_d is target d's share of as many tokens as there are, or,
-    with ``hold``, of so many that domain ``hold`` keeps its tokens.  Rates
-    start at 1; gradients are taken in the metric that weighs a document by its
-    tokens, in which the step length 1 is right: where no bound is met, the
-    first step meets the targets.  A round is one aggregation of a few sums,
-    and the driver holds a few numbers per round.  It ends when all domains are
-    within ``tolerance`` of their targets or the squares no longer fall, as
-    where bounds put a target out of reach.  Rates are written to the shared
-    folder every ten rounds.
+    the squared distance of A(r) from t, where A_d(r) = sum_i r_i n_i p_id are
+    the expected tokens and t_d is target d's share of as many tokens as there
+    are, or, with ``hold``, of so many that domain ``hold`` keeps its tokens.
+    Rates start at 1.  Gradients are taken in the metric that weighs a document
+    by its tokens, and are scaled by the inverse of sum_i n_i p_i p_i' over the
+    documents that are not at a bound: without bounds the first step meets the
+    targets.  A step that does not bring A(r) nearer is halved.  A round is one
+    aggregation of a few sums, and the driver holds a few numbers per round.  It
+    ends when all domains are within ``tolerance`` of their targets or steps no
+    longer help, as where bounds put a target out of reach.  Rates are written
+    to the shared folder every ten steps.
     """
     k = range(len(targets))
     n = F.col("n") * F.col("copies_in")
@@ -126,13 +137,9 @@ def solve(members: DataFrame, targets: list[float], hold: int | None = None, min
         row = df.agg(*[F.sum(n * v).alias(f"a{i}") for i, v in enumerate(values)]).first()
         return np.array([float(x or 0.0) for x in row])
 
-    squares = sums(members, [F.col(f"p{i}") * F.col(f"p{j}") for i in k for j in k]).reshape(len(targets), -1)
-    share = squares.sum(axis=1)  # posteriors add up to 1
-    every = share.sum()
-    weight = sum(targets) or 1.0
-    whole = every if hold is None or not targets[hold] else share[hold] / targets[hold] * weight
-    goal = np.array(targets) / weight * whole
-    pull = np.linalg.inv(squares + np.eye(len(targets)) * (1e-9 * every)) if every > 0 else squares
+    def products(rate: Column) -> list[Column]:
+        free = rate > min_rate if max_rate is None else (rate > min_rate) & (rate < max_rate)
+        return [F.when(free, F.col(f"p{i}") * F.col(f"p{j}")).otherwise(0.0) for i in k for j in k]
 
     def rate_after(steps: list[np.ndarray]) -> Column:
         rate = F.col("rate")
@@ -141,19 +148,30 @@ def solve(members: DataFrame, targets: list[float], hold: int | None = None, min
             rate = rate if max_rate is None else F.least(F.lit(float(max_rate)), rate)
         return rate
 
-    held, reached, best = members.withColumn("rate", F.lit(1.0)), share, float("inf")
+    squares = sums(members, [F.col(f"p{i}") * F.col(f"p{j}") for i in k for j in k]).reshape(len(targets), -1)
+    share = squares.sum(axis=1)  # posteriors add up to 1
+    every = share.sum()
+    weight = sum(targets) or 1.0
+    whole = every if hold is None or not targets[hold] else share[hold] / targets[hold] * weight
+    goal = np.array(targets) / weight * whole
+    held, reached, active = members.withColumn("rate", F.lit(1.0)), share, squares
     steps: list[np.ndarray] = []
+    halved = 0
     for _ in range(rounds if every > 0 else 0):
         gap = reached - goal
-        size = float(gap @ pull @ gap)
-        if (np.abs(gap) <= tolerance * np.maximum(goal, 1e-3 * whole)).all() or size > best * 0.999:
+        if (np.abs(gap) <= tolerance * np.maximum(goal, 1e-3 * whole)).all() or halved > 4:
             break
-        best = size
         if len(steps) == 10:
             held, steps = stored(held.withColumn("rate", rate_after(steps))), []
-        steps.append(pull @ gap)
-        rate = rate_after(steps)
-        reached = sums(held, [rate * F.col(f"p{d}") for d in k])
+        # Free documents alone may not span all domains: all documents back them up.
+        step = np.linalg.solve(active + 0.01 * squares + np.eye(len(targets)) * (1e-9 * every), gap) * 0.5 ** halved
+        rate = rate_after([*steps, step])
+        got = sums(held, [*(rate * F.col(f"p{d}") for d in k), *products(rate)])
+        if np.linalg.norm(got[:len(targets)] - goal) > np.linalg.norm(gap) * 0.999:
+            halved += 1
+            continue
+        steps, halved = [*steps, step], 0
+        reached, active = got[:len(targets)], got[len(targets):].reshape(len(targets), -1)
     return held.withColumn("rate", rate_after(steps)), reached.tolist()
 
 
@@ -178,7 +196,7 @@ def mix(docs: DataFrame, model: Classifier, targets: dict[str, float], id_col: s
     held = model.domains.index(hold) if hold in model.domains else None
     rated, _ = solve(members, [float(targets.get(d, 0.0)) for d in model.domains], held, min_rate, max_rate)
     toss = F.pmod(F.xxhash64("id", "text_hash"), F.lit(1 << 40)) / float(1 << 40)
-    out = rated.select("id", "text_hash", F.col("n").cast("long").alias("n_tokens"), "rate",
+    out = rated.select("id", "text_hash", F.col("n").alias("n_tokens"), "rate",
                        F.floor(F.col("rate") + toss).cast("long").alias("copies"),
                        *[F.col(f"p{i}").alias(f"p_{d}") for i, d in enumerate(model.domains)], "copies_in")
     return out.withColumn("copies_in", F.explode(F.sequence(F.lit(1), F.col("copies_in")))).drop("copies_in")

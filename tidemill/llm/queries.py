@@ -54,15 +54,14 @@ def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_domains(labels: DataFrame) -> DataFrame:
-    """Domain of each labelled document: junk, toxic or prose."""
-    return labels.select("doc_id", F.when(F.col("quality") == 0, "junk").when(F.col("toxic") == 1, "toxic")
-                         .when(F.col("quality") == 1, "prose").alias("domain"))
+    """Domain of each document with a quality label: junk or prose."""
+    return labels.select("doc_id", F.when(F.col("quality") == 0, "junk").when(F.col("quality") == 1, "prose").alias("domain"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = mixing.fit(docs, labelled_domains(table(spark, sf_dir, "labels")))
-    mixed = mixing.mix(docs, model, {"prose": 0.90, "junk": 0.08, "toxic": 0.02})
+    mixed = mixing.mix(docs, model, {"prose": 0.95, "junk": 0.05})
     return mixed.withColumnRenamed("id", "doc_id").drop("text_hash")
 
 
