@@ -29,7 +29,7 @@ def fit_planes(clean: DataFrame, dims: int, trees: int, sample: int = 4000, seed
 
 
 def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10,
-           trees: int = 24, share: float = 1.0, shard_bits: int = 4, shard_rows: int = 10_000,
+           trees: int = 32, share: float = 1.7, shard_bits: int = 4, shard_rows: int = 10_000,
            query_rows: int = 10_000) -> DataFrame:
     """(query_id, rank, id, score): the ``k`` nearest found of each query, by Euclidean distance in double precision.
 
