@@ -218,3 +218,30 @@ def test_distinct_per_kind(spark):
     rows = [("a", "x", 1, 5), ("a", "x", 1, 7), ("a", "y", 1, 2), ("a", "x", 2, None), ("a", "x", None, 1), (None, "y", 3, 4), ("b", None, 3, 4)]
     got = distinct_per_kind(spark.createDataFrame(rows, "k string, kind string, id int, v int"), ["k"], "kind", "id", {"xs": "x", "ys": "y"}, {"total": ("x", "v")})
     assert collect(got) == sorted([("a", 2, 1, 13), (None, 0, 1, 0), ("b", 0, 0, 0)], key=repr)
+
+
+def test_repeated_updates_need_an_order(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    twice = spark.createDataFrame([(1, "x", 5), (1, "y", 9)], "k int, v string, at int")
+    assert collect(update_where(old, twice, ["k"], ["v"], ["at"])) == [(1, "y"), (2, "b")]
+    for wrong in (update_where(old, twice, ["k"], ["v"]), upsert(old, twice.drop("at"), ["k"])):
+        with pytest.raises(Exception, match="repeated key"):
+            wrong.collect()
+
+
+def test_delayed_first_takes_the_limit_as_given(spark):
+    from tidemill.plans.logistics import delayed_first
+
+    orders = spark.range(1500).selectExpr("id AS order_id", "'delayed' AS status", "id AS delay_interval")
+    assert delayed_first(orders, 1200).count() == 1200
+    with pytest.raises(ValueError):
+        delayed_first(orders, 0)
+
+
+def test_interval_join_keeps_unmatched_left_rows(spark):
+    from tidemill.streaming.joins import interval_join
+
+    a = spark.createDataFrame([(1, "2024-01-01 10:00:00"), (2, "2024-01-01 12:00:00")], "x int, ts string")
+    b = spark.createDataFrame([(1, "2024-01-01 10:02:00"), (2, "2024-01-01 13:00:00")], "y int, at string")
+    got = interval_join(a, b, [F.col("x") == F.col("y")], "ts", "at", "5 MINUTES", "5 MINUTES", "left").select("x", "y")
+    assert collect(got) == [(1, 1), (2, None)]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.sinks import writers
+from tidemill.sinks.keyed import KeyedTable
 from tidemill.sources import cdc, decode, files
 
 
@@ -63,6 +64,43 @@ def test_envelopes(spark):
     assert cdc.mirror(changes, ["id"], commit_ts=True).select(F.unix_seconds("commit_ts")).first()[0] == 3
 
 
+def test_envelopes_go_by_the_upstream_log(spark):
+    """Ties within a millisecond, snapshot rows without a place, and log files in order."""
+    body = '"before": null, "after": {{"id": {0}, "v": "{1}"}}'
+    change = lambda id, v, op, ts, source: f'{{"op": "{op}", "ts_ms": {ts}, "source": {source}, ' + body.format(id, v) + "}"
+    lines = [change(1, "new", "u", 5, '{"lsn": 12, "ts_ms": 3}'), change(1, "old", "u", 5, '{"lsn": 11, "ts_ms": 3}'),
+             change(2, "logged", "u", 5, '{"lsn": 7, "ts_ms": 2}'), change(2, "read", "r", 9_000_000, '{"ts_ms": 8000000}'),
+             change(3, "b", "u", 5, '{"file": "bin.000002", "pos": 4, "row": 0}'), change(3, "a", "u", 5, '{"file": "bin.000001", "pos": 900, "row": 1}')]
+    for order in (lines, lines[::-1]):
+        changes = cdc.decode_envelope(spark.createDataFrame([(x,) for x in order], "value string"), "id int, v string")
+        got = {r["id"]: r for r in cdc.mirror(changes, ["id"], commit_ts=True).withColumn("ms", F.unix_millis("commit_ts")).collect()}
+        assert {k: r["v"] for k, r in got.items()} == {1: "new", 2: "logged", 3: "b"}
+        assert got[1]["ms"] == 3 and got[3]["ms"] == 5
+
+
+def test_exact_profile_lists_every_column(spark):
+    rows = spark.createDataFrame([(1, 2.5, None), (1, 3.5, None)], "a int, b double, c string")
+    got = {r["column"]: (r["distinct_values"], r["nulls"]) for r in files.profile(rows, exact=True).collect()}
+    assert got == {"a": (1, 0), "b": (2, 0), "c": (0, 2)}
+
+
+def test_an_empty_snapshot_stays_empty(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "t"), ["k"], cluster_by=["k"], buckets=4)
+    table.apply(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), 0)
+    table.replace(spark, table.read(spark).limit(0))
+    assert table.read(spark).count() == 0
+    table.apply(spark.createDataFrame([(3, "c")], "k int, v string"), 1)
+    assert [r["k"] for r in table.read(spark).collect()] == [3]
+
+
+def test_change_numbers_have_no_bands(spark):
+    from tidemill.checks.streams import _feed_upsert
+
+    feed = spark.createDataFrame([(7, 1, "a", 5, "c"), (7, 1, "z", 900_000_000_000, "u"), (8, 1, "a", 6, "c"), (8, 1, "a", 400_000_001, "d")],
+                                 "trip_id long, rider_id long, trip_status string, seq long, op string").withColumn("commit_ts", F.lit(None).cast("timestamp"))
+    assert [(r["trip_id"], r["trip_status"]) for r in _feed_upsert(spark, feed).collect()] == [(7, "z")]
+
+
 def test_tables_are_created_then_appended(spark):
     rows = spark.range(3).withColumn("v", F.lit("x"))
     writers.append_to_table(spark, rows, "tm_append")

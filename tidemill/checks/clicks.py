@@ -14,7 +14,7 @@ declare(
         'g' || c_custkey % 4 AS geo_region, TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {customer} WHERE c_custkey % 10 > 0""",
     click_devices="""SELECT 'd' || n_nationkey AS device_id, CASE WHEN n_nationkey % 3 = 0 THEN 'mobile' ELSE 'desktop' END AS device_type, 'os' || n_nationkey % 4 AS os, 'b' || n_nationkey % 5 AS browser,
         TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {nation}""",
-    click_pages="""SELECT 'http://p/' || p_partkey AS page_url, p_type AS page_category, p_partkey AS product_id, p_brand AS product_category, TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {part} WHERE p_partkey < 50""",
+    click_pages="""SELECT 'http://p/' || p_partkey AS page_url, p_type AS page_category, p_partkey AS product_id, p_brand AS product_category, TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {part}""",
     click_campaigns="""SELECT 'c' || r_regionkey AS campaign_id, r_name AS source, 'cpc' AS medium, 'k' || r_regionkey AS campaign, 'x' AS content, 'y' AS term, TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {region}""",
     funnel_carts="SELECT user_id, event_type AS item_id, ts AS event_time FROM {events} WHERE event_type IN ('click', 'signup') UNION ALL SELECT user_id, 'border', date_trunc('day', ts) FROM {events} WHERE event_type = 'error'",
     funnel_views="SELECT user_id, props AS page_id, ts AS event_time FROM {events} WHERE event_type = 'view'",

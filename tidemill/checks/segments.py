@@ -21,10 +21,10 @@ def _steps(value: str, *bounds: object, op: str = ">=") -> str:
     return "CASE " + " ".join(f"WHEN {value} {op} {b} THEN {5 - i}" for i, b in enumerate(bounds)) + " ELSE 1 END"
 
 
-_RFM = f"""SELECT user_id, {_steps('date_diff(chr(100) || chr(97) || chr(121), last_order_time, max_order_time)', 3, 10, 30, 60, op='<=')} AS r_score,
+_SINCE = "date_diff('day', last_order_time, max_order_time)"
+_RFM = f"""SELECT user_id, {_steps(_SINCE, 3, 10, 30, 60, op='<=')} AS r_score,
     {_steps('completed_orders', 15, 8, 5, 2)} AS f_score, {_steps('total_spent', 5000, 2500, 1000, 200)} AS m_score FROM ({_ORDERS})"""
 _BEHAVE = f"SELECT user_id, {_steps('view_count', 30, 15, 8, 2)} AS browse_score, {_steps('cart_count', 10, 7, 4, 2)} AS intent_score FROM ({_CLICKS})"
-_RFM = _RFM.replace("chr(100) || chr(97) || chr(121)", "'day'")
 _SEGMENTS = f"""SELECT user_id, browse_score, intent_score, coalesce(r_score, 1) AS r_score, coalesce(f_score, 1) AS f_score, coalesce(m_score, 1) AS m_score,
     CASE WHEN least(q.r_score, q.f_score, q.m_score) >= 4 AND browse_score >= 3 AND q.r_score IS NOT NULL THEN 'ACTIVE'
          WHEN q.r_score >= 4 AND q.f_score = 1 THEN 'NEW'

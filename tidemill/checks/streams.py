@@ -19,6 +19,7 @@ from tidemill.session import scratch_dir
 from tidemill.sinks import writers
 from tidemill.sinks.keyed import KeyedTable
 from tidemill.sources import cdc, decode, files
+from tidemill.streaming.joins import interval_join
 from tidemill.streaming.runners import MaintainedView, start_append, start_handler, start_native
 from tidemill.streaming.views import ViewGraph
 
@@ -95,7 +96,8 @@ check("s6_insert_defaults", "customer", oracle="SELECT c_custkey, coalesce(nulli
 
 def _envelopes(feed, columns):
     row = F.struct(*columns)
-    return feed.select(F.to_json(F.struct("op", (F.unix_millis(F.col("commit_ts").cast("timestamp"))).alias("ts_ms"), F.col("seq").alias("lsn"),
+    return feed.select(F.to_json(F.struct("op", (F.unix_millis(F.col("commit_ts").cast("timestamp"))).alias("ts_ms"),
+        F.struct(F.col("seq").alias("lsn"), F.unix_millis(F.col("commit_ts").cast("timestamp")).alias("ts_ms")).alias("source"),
                                           F.when(F.col("op") == "d", row).alias("before"), F.when(F.col("op") != "d", row).alias("after"))).alias("value"))
 
 
@@ -143,9 +145,9 @@ def _typed_copy(spark, e):
 check("s14_typed_table_copy", E, wants_spark=True, oracle="SELECT event_id, (props->>'k')::BIGINT AS k, value FROM events")(lambda spark, sf, e: _typed_copy(spark, e))
 check("s25_infer_fields", E, oracle="""SELECT c.field, c.type, n AS messages FROM (VALUES ('event_id', 'INT'), ('ts', 'TIMESTAMP'), ('user_id', 'INT'), ('event_type', 'VARCHAR'), ('value', 'DECIMAL'), ('props', 'VARCHAR')) c(field, type),
     (SELECT count(*) AS n FROM events)""")(lambda e: files.infer_fields(messages(e)))
-check("s26_profile", E, oracle="\nUNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, min({c})::VARCHAR AS minimum, max({c})::VARCHAR AS maximum FROM events"""
-                                                 for c in ("event_id", "user_id", "event_type", "props")))(
-    lambda e: files.profile(e.drop("ts", "value")).select("column", "rows", "nulls", "minimum", "maximum"))
+check("s26_profile", E, oracle="\nUNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values, min({c})::VARCHAR AS minimum, max({c})::VARCHAR AS maximum FROM events"""
+                                                 for c in ("event_id", "ts", "user_id", "event_type", "value", "props")))(
+    lambda e: files.profile(e, exact=True).select("column", "rows", "nulls", "distinct_values", "minimum", "maximum"))
 
 
 def _graph(spark, e):
@@ -184,11 +186,11 @@ check("s18_lake_append", E, wants_spark=True, oracle="SELECT event_id, value FRO
 
 
 def _feed_upsert(spark, feed):
-    """Change rows applied batch by batch: deletes remove, later versions win inside a batch too."""
+    """Change rows applied batch by batch, dealt by key hash: deletes remove, later versions win inside a batch."""
     table = KeyedTable(scratch_dir(spark, "trips"), ["trip_id"])
     rows = feed.withColumn("op", F.when(F.col("op") == "d", "Delete").otherwise("UpdateInsert"))
     for batch_id in range(4):
-        table.apply(rows.filter(F.floor(F.col("seq") / 100_000_000) == batch_id), batch_id, order=["seq"])
+        table.apply(rows.filter(F.pmod(F.xxhash64("trip_id"), F.lit(4)) == batch_id), batch_id, order=["seq"])
         if batch_id == 1:
             table.compact(spark)
     return table.read(spark).select("trip_id", "rider_id", "trip_status", "commit_ts")
@@ -248,10 +250,7 @@ check("st9_unbounded_stream_join", "orders", "customer", wants_spark=True, oracl
 
 
 def _interval_join(views, clicks):
-    a = views.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "60 days")
-    b = clicks.withColumn("click_ts", F.col("click_ts").cast("timestamp")).withWatermark("click_ts", "60 days")
-    near = (F.col("click_user") == F.col("user_id")) & (F.col("click_ts") >= F.col("ts") - F.expr("INTERVAL 3 HOURS")) & (F.col("click_ts") <= F.col("ts") + F.expr("INTERVAL 3 HOURS"))
-    return a.join(b, near).select("event_id", "click_id")
+    return interval_join(views, clicks, [F.col("click_user") == F.col("user_id")], "ts", "click_ts", "3 HOURS", "3 HOURS").select("event_id", "click_id")
 
 
 check("st10_interval_stream_join", E, wants_spark=True, oracle="""SELECT v.event_id, c.event_id AS click_id FROM events v JOIN events c ON c.user_id = v.user_id AND c.ts BETWEEN v.ts - INTERVAL 3 HOUR AND v.ts + INTERVAL 3 HOUR

@@ -122,6 +122,6 @@ def alert_list(alerts: DataFrame, level: str = "all", status: str = "all", as_of
 
 
 def set_alert_status(alerts: DataFrame, handled: DataFrame) -> DataFrame:
-    """Apply status changes ``(alert_id, handle_status, handle_time)`` to the alert table."""
+    """Apply status changes ``(alert_id, handle_status, handle_time)`` to the alert table; the last of an alert wins."""
     allowed = handled.filter(F.col("handle_status").isin("confirmed", "resolved"))
-    return update_where(alerts, allowed, ["alert_id"], ["handle_status", "handle_time"])
+    return update_where(alerts, allowed, ["alert_id"], ["handle_status", "handle_time"], ["handle_time", "handle_status"])

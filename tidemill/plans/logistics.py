@@ -150,9 +150,11 @@ def order_eta(updates: DataFrame, gps: DataFrame, traffic: DataFrame) -> DataFra
 
 
 def delayed_first(eta: DataFrame, max_rows: int = 200) -> DataFrame:
-    """Open orders, most delayed first, at most 1000 rows."""
+    """The ``max_rows`` most delayed open orders."""
+    if max_rows < 1:
+        raise ValueError("max_rows must be positive")
     return eta.filter(F.col("status").isin("in_transit", "delayed")).orderBy(
-        F.col("delay_interval").desc_nulls_last(), "order_id").limit(max(1, min(1000, max_rows)))
+        F.col("delay_interval").desc_nulls_last(), "order_id").limit(max_rows)
 
 
 def transit_kpis(eta: DataFrame) -> DataFrame:

@@ -63,8 +63,11 @@ class KeyedTable:
     def _load(self, spark: SparkSession, folder: str, parts: Sequence[int] | None) -> DataFrame | None:
         try:
             rows = spark.read.parquet(f"{self.path}/{folder}")
-        except AnalysisException:
-            return None
+        except AnalysisException as e:
+            # Nothing written yet, or nothing but empty batches; any other fault is one.
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
         if self.cluster_by:
             rows = (rows if parts is None else rows.filter(F.col(PART).isin(list(parts)))).drop(PART)
         return rows
@@ -74,14 +77,26 @@ class KeyedTable:
         rows = self._load(spark, "changes", parts)
         return rows if rows is None or before is None else rows.filter(F.col("batch") < before)
 
-    def _snapshot(self, spark: SparkSession, before: int | None, parts: Sequence[int] | None) -> tuple[DataFrame, int] | None:
-        rows = self._load(spark, "snapshot", parts)
-        if rows is None:
+    def _snapshot(self, spark: SparkSession, before: int | None, parts: Sequence[int] | None) -> tuple[DataFrame | None, int] | None:
+        """Rows of the newest snapshot (None: it holds none) and the batch it reaches to.
+
+        Its number comes from a mark written after it, not from its rows, so that an empty one counts.
+        """
+        try:
+            marks = spark.read.parquet(f"{self.path}/marks")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        newest = (marks if before is None else marks.filter(F.col("upto") < before)).agg(F.max("upto")).first()[0]
+        if newest is None:
             return None
-        if before is not None:
-            rows = rows.filter(F.col("upto") < before)
-        newest = rows.agg(F.max("upto")).first()[0]
-        return None if newest is None else (rows.filter(F.col("upto") == newest).drop("upto"), newest)
+        rows = self._load(spark, "snapshot", parts)
+        return (None if rows is None else rows.filter(F.col("upto") == newest).drop("upto")), newest
+
+    def _write_snapshot(self, spark: SparkSession, rows: DataFrame, upto: int) -> None:
+        self._write(rows, f"snapshot/upto={upto}")
+        spark.range(1, numPartitions=1).write.mode("overwrite").parquet(f"{self.path}/marks/upto={upto}")
 
     def read(self, spark: SparkSession, before: int | None = None, parts: Sequence[int] | None = None) -> DataFrame | None:
         """Current rows, optionally as of just before a batch and of some buckets only."""
@@ -91,8 +106,9 @@ class KeyedTable:
         snapshot = self._snapshot(spark, before, parts)
         if snapshot:
             base, upto = snapshot
-            rows = rows.filter(F.col("batch") > upto).unionByName(
-                base.withColumns({"op": F.lit(UPDATE_INSERT), "batch": F.lit(upto)}))
+            rows = rows.filter(F.col("batch") > upto)
+            if base is not None:
+                rows = rows.unionByName(base.withColumns({"op": F.lit(UPDATE_INSERT), "batch": F.lit(upto)}))
         return latest_by(rows, self.keys, ["batch"]).filter(~F.col("op").isin(*DELETE_CODES)).drop("op", "batch")
 
     def last_batch(self, spark: SparkSession) -> int | None:
@@ -105,11 +121,11 @@ class KeyedTable:
         newest = self._snapshot(spark, None, None)
         # A snapshot that is up to date stays: it must not be overwritten while it is read.
         if last is not None and (newest is None or newest[1] < last):
-            self._write(self.read(spark), f"snapshot/upto={last}")
+            self._write_snapshot(spark, self.read(spark), last)
 
     def replace(self, spark: SparkSession, rows: DataFrame) -> None:
         """Make ``rows`` (computed from elsewhere) the whole current table."""
-        self._write(rows, f"snapshot/upto={self.last_batch(spark)}")
+        self._write_snapshot(spark, rows, self.last_batch(spark))
 
 
 def merge_into(table: str, source: str, keys: Sequence[str], columns: Sequence[str]) -> str:
