@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import map_batches
+from tidemill.session import stored
 
 # Fixed strings of the WARC 1.1 format.
 VERSION = b"WARC/1.1"
@@ -287,7 +288,8 @@ def page_table(logical: DataFrame) -> DataFrame:
 
     A revisit takes length and digest from the response that it refers to, found by record identifier.
     """
-    own = logical.select("record_id", "record_type", "page_id", "refers_to", "refers_id", "payload_bytes", "payload_digest")
+    # Both sides below need these columns: the archives are read for them once.
+    own = stored(logical.select("record_id", "record_type", "page_id", "refers_to", "refers_id", "payload_bytes", "payload_digest"))
     answers = own.where("record_type = 'response' and refers_id is null").groupBy(F.col("record_id").alias("refers_id")).agg(
         F.max("payload_bytes").alias("full_bytes"), F.max("payload_digest").alias("full_digest"))
     again = own.where("record_type = 'revisit'").join(answers, "refers_id", "left").select(
