@@ -10,7 +10,7 @@ from tidemill.operators import latest_by, tumble
 from tidemill.plans import logistics, markets, web
 from tidemill.sinks.keyed import KeyedTable, merge_into
 from tidemill.sources import files
-from tidemill.streaming.runners import MaintainedView, start_native
+from tidemill.streaming.runners import Keyed, MaintainedView, start_native
 from tidemill.streaming.views import ViewGraph
 
 
@@ -125,6 +125,38 @@ def test_refresh_follows_the_clock(spark, tmp_path):
     assert shown() == [2, 7]
 
 
+def test_refresh_to_nothing_tells_the_handlers(spark, tmp_path):
+    sales = spark.createDataFrame([(1, 1, 5, "2024-01-01 00:00:00"), (1, 2, 3, "2024-01-05 00:00:00")], "warehouse_id int, product_id int, quantity_sold int, t string").select(
+        "warehouse_id", "product_id", "quantity_sold", F.col("t").cast("timestamp_ntz").alias("timestamp"))
+    now, came, left = ["2024-01-06 00:00:00"], [], []
+    view = small_view(str(tmp_path / "v"), lambda sales: logistics.recent_sales(sales, now[0]), ["warehouse_id", "product_id"],
+                      on_change=lambda df: came.extend(df.collect()), on_delete=lambda df: left.extend(df.collect()))
+    view.process({"sales": sales}, 0)
+    assert len(came) == 2 and not left
+    now[0] = "2024-03-01 00:00:00"
+    assert sorted(r.op for r in view.refresh(spark, ["sales"]).collect()) == ["Delete", "Delete"]
+    assert view.read(spark).count() == 0 and sorted(r.product_id for r in left) == [1, 2]
+    assert view.refresh(spark, ["sales"]).count() == 0
+
+
+def test_updated_rows_move_between_scopes(spark, tmp_path):
+    """A row that moves leaves its old scope; a late older version and a repeated batch change nothing."""
+    users = lambda *r: spark.createDataFrame(list(r), "id int, age int, city string, v int, op string")
+    view = small_view(str(tmp_path / "v"), lambda users: web.city_average_age(users, 0), ["city"], ["city"], keyed={"users": Keyed(("id",), ("v",), "op")})
+    shown = lambda: sorted((r.city, r.avg_age) for r in view.read(spark).collect())
+    view.process({"users": users((1, 20, "SF", 1, "c"), (2, 30, "SF", 1, "c"), (3, 40, "NY", 1, "c"))}, 0)
+    assert shown() == [("NY", 40.0), ("SF", 25.0)]
+    view.process({"users": users((1, 21, "NY", 5, "u"), (1, 99, "LA", 4, "u"))}, 1)
+    assert shown() == [("NY", 30.5), ("SF", 30.0)]
+    view.process({"users": users((1, 20, "LA", 3, "u"))}, 2)  # late
+    assert shown() == [("NY", 30.5), ("SF", 30.0)]
+    for _ in range(2):
+        view.process({"users": users((2, None, None, 6, "d"), (1, 22, "SF", 7, "u"))}, 3)
+        assert shown() == [("NY", 40.0), ("SF", 22.0)]
+    view.process({"users": users((3, None, None, 8, "d"))}, 4)
+    assert shown() == [("SF", 22.0)]
+
+
 def test_compaction_may_be_repeated(spark, tmp_path):
     table = KeyedTable(str(tmp_path / "t"), ["k"], ["k"], 4)
     for i in range(3):

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from tidemill.checks.harness import check, declare
 from tidemill.functions.scalar import moment, span
 from tidemill.operators import diff_results, hop, latest_by, range_frame, tumble, upsert
-from tidemill.plans import energy, health, markets, web
+from tidemill.plans import energy, health, markets, pricing, web
 from tidemill.session import scratch_dir
 from tidemill.sinks import writers
 from tidemill.sinks.keyed import KeyedTable
 from tidemill.sources import cdc, decode, files
 from tidemill.streaming.joins import interval_join
-from tidemill.streaming.runners import MaintainedView, start_append, start_handler, start_native
+from tidemill.streaming.runners import Keyed, MaintainedView, start_append, start_handler, start_native
 from tidemill.streaming.views import ViewGraph
 
 EVENT = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -55,9 +55,9 @@ def native(spark, plan, keys, *frames, mode="update"):
     return table.read(spark)
 
 
-def maintained(spark, compute, keys, scope, derive=None, **frames):
+def maintained(spark, compute, keys, scope, derive=None, keyed=None, **frames):
     """Final state of a maintained view over replayed frames."""
-    view = MaintainedView(scratch_dir(spark, "view"), compute, keys, scope, derive=derive, buckets=4)
+    view = MaintainedView(scratch_dir(spark, "view"), compute, keys, scope, derive=derive, buckets=4, keyed=keyed)
     with small_state(spark):
         view.start({n: as_stream(spark, f) for n, f in frames.items()}, scratch_dir(spark, "checkpoint")).awaitTermination()
     return view.read(spark)
@@ -298,6 +298,33 @@ check("st15_trend_alerts", "vitals", wants_spark=True, oracle="""SELECT patient_
 check("st_rolling_price", "ticks", wants_spark=True, oracle="""SELECT asset_id, timestamp, round((avg(price) OVER f)::DECIMAL(38,10), 2)::DOUBLE AS average_price, round((avg(ask_price - bid_price) OVER f)::DECIMAL(38,10), 2)::DOUBLE AS bid_ask_spread
     FROM ticks WINDOW f AS (PARTITION BY asset_id ORDER BY timestamp RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)""")(
     lambda spark, sf, t: maintained(spark, lambda ticks: markets.price_and_spread(ticks, "6 hours"), ["asset_id", "timestamp"], ["asset_id"], ticks=t))
+# Dimensions that change: rows are inserted, a third is updated (and moves), a seventh is deleted, in any order of arrival.
+declare(
+    member_changes="""SELECT id, age, city, 1 AS version, 'insert' AS op FROM {members} UNION ALL
+        SELECT id, age + 1, 'city ' || (id + 7) % 25, 2, 'update' FROM {members} WHERE id % 3 = 0 UNION ALL SELECT id, age, city, 3, 'delete' FROM {members} WHERE id % 7 = 0""",
+    user_name_changes="""SELECT user_id, first_name, last_name, age, 1 AS version, 'insert' AS op FROM {user_names} UNION ALL
+        SELECT user_id, 'new ' || first_name, last_name, age + 1, 2, 'update' FROM {user_names} WHERE user_id % 3 = 0 UNION ALL SELECT user_id, first_name, last_name, age, 3, 'delete' FROM {user_names} WHERE user_id % 7 = 0""",
+    inventory_changes="""SELECT *, 1 AS version, 'insert' AS op FROM {product_inventory} UNION ALL
+        SELECT product_id, product_name, stock_level - 3, reorder_threshold, base_price, 2, 'update' FROM {product_inventory} WHERE product_id % 3 = 0 UNION ALL
+        SELECT *, 3, 'delete' FROM {product_inventory} WHERE product_id % 7 = 0""",
+)
+_VERSIONS = lambda key: Keyed((key,), ("version",), "op")
+_LAST = "(SELECT * FROM (SELECT DISTINCT ON ({1}) * FROM {0} ORDER BY {1}, version DESC) WHERE op <> 'delete')"
+check("st_changed_city_age", "member_changes", wants_spark=True, oracle=f"""SELECT * FROM (SELECT city, avg(age) AS avg_age FROM {_LAST.format('member_changes', 'id')} GROUP BY city) WHERE avg_age >= 42""")(
+    lambda spark, sf, m: maintained(spark, lambda users: web.city_average_age(users, 42), ["city"], ["city"], keyed={"users": _VERSIONS("id")}, users=m))
+check("st_changed_actions", "user_actions", "user_name_changes", wants_spark=True, oracle=f"""SELECT a.user_id, first_name, last_name, age, page_id, num_actions, window_end FROM
+    (SELECT user_id, page_id, time_bucket(INTERVAL '1 day', action_time) + INTERVAL 1 DAY AS window_end, count(action) AS num_actions FROM user_actions GROUP BY ALL) a
+    LEFT JOIN {_LAST.format('user_name_changes', 'user_id')} u ON u.user_id = a.user_id""")(
+    lambda spark, sf, a, u: maintained(spark, lambda visits, users: web.actions_per_window(visits, users, "1 day"), ["user_id", "page_id", "window_end"], ["user_id"],
+                                       keyed={"users": _VERSIONS("user_id")}, visits=a, users=u))
+check("st_changed_stock", "inventory_changes", "purchases", "restocks", wants_spark=True, oracle=f"""WITH deltas AS (SELECT product_id, w, sum(n) AS n FROM (
+      SELECT product_id, time_bucket(INTERVAL '30 days', purchase_time, TIMESTAMP '1970-01-01') AS w, -quantity_purchased AS n FROM purchases UNION ALL
+      SELECT product_id, time_bucket(INTERVAL '30 days', restock_time, TIMESTAMP '1970-01-01'), quantity_restocked FROM restocks) GROUP BY ALL)
+    SELECT i.product_id, w AS inventory_window, (stock_level + coalesce(sum(n) OVER (PARTITION BY i.product_id ORDER BY w), 0))::BIGINT AS current_inventory
+    FROM {_LAST.format('inventory_changes', 'product_id')} i LEFT JOIN deltas d ON d.product_id = i.product_id""")(
+    lambda spark, sf, i, b, r: maintained(spark, lambda inventory, purchases, restocks: pricing.stock_status(inventory, purchases, restocks, "30 days"),
+                                          ["product_id", "inventory_window"], ["product_id"], keyed={"inventory": _VERSIONS("product_id")}, inventory=i, purchases=b, restocks=r)
+    .select("product_id", "inventory_window", "current_inventory"))
 check("x7_batch_handler", E, wants_spark=True, oracle="SELECT event_type, count(*) AS n FROM events GROUP BY 1")(lambda spark, sf, e: _handled(spark, e))
 
 

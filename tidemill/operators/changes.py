@@ -25,7 +25,7 @@ def fold_changelog(changes: DataFrame, keys: Sequence[str], order: Sequence[str]
     return current.drop(*[c for c in (op, *order) if c not in keep and c not in keys])
 
 
-def _one_per_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def one_per_key(updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row per key by ``order``; without an order a repeated key is an error when the query runs."""
     if order:
         return latest_by(updates, keys, order)
@@ -41,14 +41,14 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Se
     ``order`` names the columns by which the last update of a key wins; without
     it each key may be updated once.
     """
-    fresh = _one_per_key(updates, keys, order)
+    fresh = one_per_key(updates, keys, order)
     return target.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
 
 
 def update_where(target: DataFrame, updates: DataFrame, keys: Sequence[str], columns: Sequence[str],
                  order: Sequence[str] = ()) -> DataFrame:
     """Keyed UPDATE: overwrite ``columns`` of matching rows, leave the rest; ``order`` as for ``upsert``."""
-    patch = _one_per_key(updates, keys, order).select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    patch = one_per_key(updates, keys, order).select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = target.join(patch, list(keys), "left")
     return joined.select(*[
         F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)

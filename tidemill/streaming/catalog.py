@@ -18,7 +18,7 @@ from tidemill.plans import (
     betting, clicks, energy, games, health, ledger, logistics, machines, markets, marketing, pricing, sales, segments,
     traffic, travel, web,
 )
-from tidemill.streaming.runners import MaintainedView
+from tidemill.streaming.runners import Keyed, MaintainedView
 
 
 @dataclass(frozen=True)
@@ -29,13 +29,17 @@ class View:
     scope: tuple[str, ...] = ()
     shared: tuple[str, ...] = ()
     by_window: Mapping[str, str] = field(default_factory=dict)  # input -> its time column
+    keyed: Mapping[str, tuple[str, ...]] = field(default_factory=dict)  # input whose rows change -> its key
 
     def at(self, path: str, size: str | None = None, **options) -> MaintainedView:
         """The view stored at ``path``; ``size`` is the window size of a by-window view.
 
-        Other options go to the plan, or to ``MaintainedView`` where it knows them.
+        ``keyed`` replaces how keyed inputs are told apart, to name the order of
+        their versions and a delete column.  Other options go to the plan, or to
+        ``MaintainedView`` where it knows them.
         """
-        runner = {k: options.pop(k) for k in ("on_change", "compact_every", "buckets") if k in options}
+        runner = {k: options.pop(k) for k in ("on_change", "on_delete", "compact_every", "buckets") if k in options}
+        runner["keyed"] = {n: Keyed(k) for n, k in self.keyed.items()} | options.pop("keyed", {})
         if size is not None:
             options["size"] = size
         derive = {}
@@ -50,8 +54,8 @@ class View:
 VIEWS: dict[str, View] = {
     # web
     "page_visits": View(web.page_visits, ("visits",), ("page_id",), ("page_id",)),
-    "city_average_age": View(web.city_average_age, ("users",), ("city",), ("city",)),
-    "actions_per_window": View(web.actions_per_window, ("visits", "users"), ("user_id", "page_id", "window_end"), ("user_id",)),
+    "city_average_age": View(web.city_average_age, ("users",), ("city",), ("city",), keyed={"users": ("id",)}),
+    "actions_per_window": View(web.actions_per_window, ("visits", "users"), ("user_id", "page_id", "window_end"), ("user_id",), keyed={"users": ("user_id",)}),
     "user_request_metrics": View(web.user_request_metrics, ("logs",), ("username", "window_start"), ("username",)),
     "top_actions": View(web.top_actions, ("logs",), ("window_start", "user_action"), ("window_start",), by_window={"logs": "request_timestamp"}),
     "referrer_activity": View(web.referrer_activity, ("logs",), ("referrer", "window_start"), ("referrer",)),
@@ -64,10 +68,10 @@ VIEWS: dict[str, View] = {
     "quiet_tight_spread": View(markets.quiet_tight_spread, ("quotes",), ("asset_id", "timestamp"), ("asset_id",)),
     "spoofing_alerts": View(markets.spoofing_alerts, ("orders", "best"), ("symbol", "exchange", "window_start"), ("symbol", "exchange")),
     # marketing
-    "campaign_performance": View(marketing.campaign_performance, ("events", "campaigns"), ("window_start", "campaign_id"), ("campaign_id",)),
+    "campaign_performance": View(marketing.campaign_performance, ("events", "campaigns"), ("window_start", "campaign_id"), ("campaign_id",), keyed={"campaigns": ("campaign_id",)}),
     "channel_attribution": View(marketing.channel_attribution, ("events",), ("window_start", "channel_type", "utm_source", "utm_medium"), ("channel_type",)),
     "ab_test_results": View(marketing.ab_test_results, ("events", "campaigns", "variants"),
-                            ("window_start", "campaign_id", "variant_name", "variant_type"), ("campaign_id",), ("variants",)),
+                            ("window_start", "campaign_id", "variant_name", "variant_type"), ("campaign_id",), ("variants",), keyed={"campaigns": ("campaign_id",), "variants": ("variant_id",)}),
     # logistics
     "demand_forecast": View(logistics.demand_forecast, ("inventory", "sales"), ("warehouse_id", "product_id"), ("warehouse_id", "product_id")),
     "recent_sales": View(logistics.recent_sales, ("sales",), ("warehouse_id", "product_id")),
@@ -88,7 +92,7 @@ VIEWS: dict[str, View] = {
     "timezone_traffic": View(travel.timezone_traffic, ("flights",), ("arrival_timezone", "window_start"), ("window_start",), by_window={"flights": "arrival_scheduled"}),
     # pricing
     "minute_deltas": View(pricing.minute_deltas, ("purchases", "restocks"), ("product_id", "window_start"), ("product_id",)),
-    "stock_status": View(pricing.stock_status, ("inventory", "purchases", "restocks"), ("product_id", "inventory_window"), ("product_id",)),
+    "stock_status": View(pricing.stock_status, ("inventory", "purchases", "restocks"), ("product_id", "inventory_window"), ("product_id",), keyed={"inventory": ("product_id",)}),
     "clicks_per_window": View(pricing.clicks_per_window, ("clicks",), ("product_id", "window_start"), ("product_id",)),
     "latest_competitor_prices": View(pricing.latest_competitor_prices, ("offers",), ("product_id", "competitor"), ("product_id",)),
     "lowest_competitor_price": View(pricing.lowest_competitor_price, ("offers",), ("product_id",), ("product_id",)),
@@ -98,15 +102,15 @@ VIEWS: dict[str, View] = {
     "customer_segments": View(segments.customer_segments, ("events", "orders"), ("user_id",)),
     # energy and health
     "energy_per_house": View(energy.energy_per_house, ("consumed", "produced"), ("meter_id", "window_end"), ("meter_id",)),
-    "single_alerts": View(health.single_alerts, ("vitals", "thresholds"), ("alert_id",), ("patient_id",)),
+    "single_alerts": View(health.single_alerts, ("vitals", "thresholds"), ("alert_id",), ("patient_id",), keyed={"thresholds": ("patient_id",)}),
     "trend_alerts": View(health.trend_alerts, ("vitals",), ("alert_id",), ("patient_id",)),
     # machines
     "machine_averages": View(machines.machine_averages, ("readings",), ("machine_id", "window_start"), ("machine_id",)),
     "machine_anomalies": View(machines.machine_anomalies, ("readings",), ("machine_id", "window_start"), ("machine_id",)),
     "device_metrics": View(machines.device_metrics, ("metrics",), ("device_id", "window_start"), ("device_id",)),
     # sales
-    "sales_per_window": View(sales.sales_per_window, ("sales", "products"), ("sale_id", "product_id", "window_start"), ("product_id",)),
-    "top_products": View(sales.top_products, ("sales", "products"), ("category", "product_name", "window_start")),
+    "sales_per_window": View(sales.sales_per_window, ("sales", "products"), ("sale_id", "product_id", "window_start"), ("product_id",), keyed={"products": ("product_id",)}),
+    "top_products": View(sales.top_products, ("sales", "products"), ("category", "product_name", "window_start"), keyed={"products": ("product_id",)}),
     "net_purchases": View(sales.net_purchases, ("constant", "varying"), ("customer_id",), ("customer_id",)),
     # games
     "team_figures": View(games.team_figures, ("stats",), ("window_start",), ("window_start",), by_window={"stats": "ts"}),

@@ -13,18 +13,36 @@ Neither drops late rows: without a watermark every row updates its result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tidemill.operators.changes import INSERT, UPDATE_INSERT, diff_results
+from tidemill.operators.changes import DELETE, DELETE_CODES, INSERT, UPDATE_INSERT, diff_results, one_per_key
 from tidemill.operators.keyed import key_filter
+from tidemill.operators.latest import latest_by
 from tidemill.sinks.keyed import PART, KeyedTable, write_clustered
 
 Handler = Callable[[DataFrame], None]
+GONE = "_gone"
+
+
+@dataclass(frozen=True)
+class Keyed:
+    """An input whose rows change.
+
+    ``keys`` name a row; ``order`` the columns by which its versions follow
+    each other (without it arrival counts, and a key that comes twice in one
+    batch is an error); ``op`` the column that marks deletes, if there is one.
+    """
+
+    keys: tuple[str, ...]
+    order: tuple[str, ...] = ()
+    op: str | None = None
 
 
 def _trigger(writer, every: str | None):
@@ -69,6 +87,11 @@ class MaintainedView:
     ``shared``   inputs without the scope columns, such as small dimensions; a
                  new row there recomputes everything
     ``derive``   adds the scope columns to an input that names them otherwise
+    ``keyed``    inputs whose rows are updated and deleted: the plan sees the
+                 current row of each key, and a row that moves to another scope
+                 touches both
+    ``on_change``, ``on_delete``  called with the rows that came or changed,
+                 and with those that left
 
     Base rows and results lie in hash buckets of the scope, so a batch reads
     only the buckets it touches.  More ``buckets`` mean finer reads and more,
@@ -77,22 +100,60 @@ class MaintainedView:
 
     def __init__(self, path: str, compute: Callable[..., DataFrame], keys: Sequence[str], scope: Sequence[str] = (),
                  shared: Sequence[str] = (), derive: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
-                 on_change: Handler | None = None, compact_every: int = 0, buckets: int = 256):
+                 on_change: Handler | None = None, compact_every: int = 0, buckets: int = 256,
+                 keyed: Mapping[str, Keyed] | None = None, on_delete: Handler | None = None):
         self.path, self.compute = path.rstrip("/"), compute
         self.keys, self.scope, self.shared = list(keys), list(scope), set(shared)
-        self.derive, self.on_change = dict(derive or {}), on_change
+        self.derive, self.on_change, self.on_delete = dict(derive or {}), on_change, on_delete
         self.compact_every, self.buckets = compact_every, buckets
+        self.keyed = dict(keyed or {})
         self.table = KeyedTable(f"{self.path}/result", keys, self.scope, buckets)
 
+    def _append(self, folder: str, rows: DataFrame, cluster: Sequence[str], batch_id: int) -> DataFrame:
+        """Write a batch below ``folder``; return all rows there up to the batch."""
+        write_clustered(rows, f"{self.path}/{folder}/batch={batch_id}", cluster, self.buckets)
+        extra = [T.StructField("batch", T.LongType())] + ([T.StructField(PART, T.IntegerType())] if cluster else [])
+        schema = T.StructType([*rows.schema.fields, *extra])
+        return rows.sparkSession.read.schema(schema).parquet(f"{self.path}/{folder}").filter(F.col("batch") <= batch_id)
+
+    def _scope_of(self, name: str) -> list[str]:
+        return [] if name in self.shared else self.scope
+
     def _add(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
         """Write the batch to the base table of an input; return all its rows up to the batch."""
         rows = self.derive[name](rows) if name in self.derive else rows
-        cluster = [] if name in self.shared else self.scope
-        base = f"{self.path}/base/{name}"
-        write_clustered(rows, f"{base}/batch={batch_id}", cluster, self.buckets)
-        extra = [T.StructField("batch", T.LongType())] + ([T.StructField(PART, T.IntegerType())] if cluster else [])
-        schema = T.StructType([*rows.schema.fields, *extra])
-        return rows.sparkSession.read.schema(schema).parquet(base).filter(F.col("batch") <= batch_id)
+        if name in self.keyed:
+            rows = self._moves(name, rows, batch_id)
+        return self._append(f"base/{name}", rows, self._scope_of(name), batch_id)
+
+    def _moves(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
+        """What a batch of a keyed input does to the scopes: current rows, and marks where a row left.
+
+        All versions lie in buckets of the key, so the previous version of a
+        changed row is found without reading other buckets.  A version that
+        comes late, behind a newer one, moves nothing.
+        """
+        spec = self.keyed[name]
+        keys, order = list(spec.keys), [*spec.order, "batch"]
+        versions = self._append(f"versions/{name}", one_per_key(rows, keys, spec.order), keys, batch_id)
+        fresh = versions.filter(F.col("batch") == batch_id)
+        parts = [r[0] for r in fresh.select(PART).distinct().collect()]  # at most ``buckets`` numbers
+        known = key_filter(versions.filter(F.col(PART).isin(parts)), fresh, keys)
+        deleted = F.coalesce(F.col(spec.op).isin(*DELETE_CODES), F.lit(False)) if spec.op else F.lit(False)
+        extra = ["batch", PART, *([spec.op] if spec.op else [])]
+        now = latest_by(known, keys, order).filter(~deleted).drop(*extra)
+        before = latest_by(known.filter(F.col("batch") < batch_id), keys, order).filter(~deleted).drop(*extra)
+        place = list(dict.fromkeys([*keys, *self._scope_of(name)]))
+        here = now.select(*[F.col(c).alias(f"_h_{c}") for c in place])
+        left = before.join(here, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in place], "left_anti")
+        return now.withColumn(GONE, F.lit(False)).unionByName(left.withColumn(GONE, F.lit(True)))
+
+    def _current(self, name: str, rows: DataFrame) -> DataFrame:
+        """Base rows as the plan sees them."""
+        if name in self.keyed:
+            place = list(dict.fromkeys([*self.keyed[name].keys, *self._scope_of(name)]))
+            rows = latest_by(rows, place, ["batch"]).filter(~F.col(GONE)).drop(GONE)
+        return rows.drop("batch", PART)
 
     def _touched(self, frames: Mapping[str, DataFrame], batch_id: int) -> tuple[DataFrame, list[int]] | None:
         """Scopes with new rows and their buckets; None when everything must be recomputed."""
@@ -120,34 +181,51 @@ class MaintainedView:
 
         def within(df: DataFrame, shared: bool = False) -> DataFrame:
             if touched is None or shared:
-                return df.drop("batch", PART)
+                return df
             df = df.filter(F.col(PART).isin(touched[1])) if PART in df.columns else df
-            return key_filter(df, touched[0], self.scope).drop("batch", PART)
+            return key_filter(df, touched[0], self.scope)
 
-        result = self.compute(**{n: within(df, n in self.shared) for n, df in frames.items()})
+        result = self.compute(**{n: self._current(n, within(df, n in self.shared)) for n, df in frames.items()})
         old = self.table.read(spark, before=batch_id, parts=None if touched is None else touched[1])
         changes = result.withColumn("op", F.lit(INSERT)) if old is None else diff_results(within(old), result, self.keys)
         self.table.apply(changes, batch_id)
-        if self.on_change:
+        if self.on_change or self.on_delete:
             written = self.table.changes(spark)
             if written is not None:
-                written = written.filter(F.col("batch") == batch_id).drop("batch")
-                self.on_change(written.filter(F.col("op").isin(INSERT, UPDATE_INSERT)))
+                self._notify(written.filter(F.col("batch") == batch_id).drop("batch"))
         if self.compact_every and batch_id and batch_id % self.compact_every == 0:
             self.table.compact(spark)
 
-    def refresh(self, spark: SparkSession, inputs: Sequence[str]) -> None:
-        """Recompute the result from the stored base rows.
+    def _notify(self, changes: DataFrame) -> None:
+        if self.on_change:
+            self.on_change(changes.filter(F.col("op").isin(INSERT, UPDATE_INSERT)))
+        if self.on_delete:
+            self.on_delete(changes.filter(F.col("op") == DELETE))
+
+    def refresh(self, spark: SparkSession, inputs: Sequence[str]) -> DataFrame:
+        """Recompute the result from the stored base rows; return what changed.
 
         For views that change with the clock alone, where rows must leave the
-        result although nothing new arrives.  Call it between batches.
+        result although nothing new arrives.  The changes are written under
+        ``refreshes`` and handed to the handlers like those of a batch.  Call
+        it between batches, after the first one.
         """
         last = self.table.last_batch(spark)
+        if last is None:
+            raise ValueError("nothing to refresh: no batch has been processed")
         frames = {}
         for name in inputs:
             rows = spark.read.parquet(f"{self.path}/base/{name}").filter(F.col("batch") <= last)
-            frames[name] = rows.drop("batch", PART)
-        self.table.replace(spark, self.compute(**frames))
+            frames[name] = self._current(name, rows)
+        result = self.compute(**frames)
+        changes = diff_results(self.table.read(spark), result, self.keys)
+        # Written before the result is replaced, since they are read from the old one.
+        path = f"{self.path}/refreshes/after={last}/{uuid.uuid4().hex[:12]}"
+        changes.write.parquet(path)
+        self.table.replace(spark, result)
+        changes = spark.read.schema(changes.schema).parquet(path)
+        self._notify(changes)
+        return changes
 
     def start(self, streams: Mapping[str, DataFrame], checkpoint: str, every: str | None = None) -> StreamingQuery:
         """Follow one or more streams.  Several are tagged and unioned into one query."""
