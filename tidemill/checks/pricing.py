@@ -40,6 +40,9 @@ _ELASTIC = """SELECT s.product_id, n.product_name, new_price::DOUBLE AS price_ra
 _BASE = ("product_inventory", "purchases", "restocks")
 
 
+SLOT = "60 days"  # windows of one day: at most 60 rows of a product in a slice
+
+
 def _status(i, b, r):
     return p.stock_status(i, b, r, "1 day")
 
@@ -49,12 +52,12 @@ def _prices(i, b, r):
 
 
 def _sales(i, b, r):
-    return p.sales_at_price(b, p.stock_rule_prices(stored(_status(i, b, r))), "365 days")
+    return p.sales_at_price(b, p.stock_rule_prices(stored(_status(i, b, r))), SLOT)
 
 
 def _elasticity(i, b, r):
     status = stored(_status(i, b, r))
-    return p.demand_elasticity(b, p.stock_rule_prices(status), status, "365 days")
+    return p.demand_elasticity(b, p.stock_rule_prices(status), status, SLOT)
 
 
 check("q29_stock_status", *_BASE, oracle=f"WITH {_CTE} SELECT * REPLACE (base_price::DOUBLE AS base_price) FROM status")(_status)
@@ -111,4 +114,4 @@ check("q62_order_revenue", *_BASE, "web_clicks", "offers", "product_orders", ora
     FROM product_orders o ASOF LEFT JOIN (SELECT * FROM final WHERE inventory_window IS NOT NULL) f
       ON f.product_id = o.product_id AND o.order_time >= f.inventory_window
     LEFT JOIN product_inventory i ON i.product_id = o.product_id GROUP BY o.product_id""")(
-    lambda i, b, r, c, o, q: p.order_revenue(q, stored(_final(i, b, r, c, o)), i, "365 days"))
+    lambda i, b, r, c, o, q: p.order_revenue(q, stored(_final(i, b, r, c, o)), i, SLOT))

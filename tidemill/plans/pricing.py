@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.scalar import event_micros, micros, round_numeric
-from tidemill.operators import asof_join, key_join, latest_by, tumble
+from tidemill.functions.scalar import micros, round_numeric
+from tidemill.operators import asof_join, key_join, latest_by, range_frame, running_sum, tumble
 
 # Stock bands and price rules.
 LOW_STOCK, MEDIUM_STOCK = 20, 50
@@ -37,20 +37,25 @@ def minute_deltas(purchases: DataFrame, restocks: DataFrame, size: str = "1 minu
         F.coalesce(F.sum("_in"), F.lit(0)).alias("total_restocked")).drop("_apart")
 
 
-def stock_status(inventory: DataFrame, purchases: DataFrame, restocks: DataFrame, size: str = "1 minute") -> DataFrame:
+SLOT_WINDOWS = 360  # windows of one product per task slice
+
+
+def stock_status(inventory: DataFrame, purchases: DataFrame, restocks: DataFrame, size: str = "1 minute",
+                 slot: str | None = None) -> DataFrame:
     """Stock level over time per product, in bands.
 
-    The running totals read one row per product and window, so a hot product
-    costs one task no more than the number of windows.  The merge join leaves
-    the rows partitioned by product, as the running totals need them.
+    The running totals are cut into slots of ``slot`` (360 windows unless
+    given), so a product's history is spread over many tasks.  They are taken
+    before the join: an inventory row only adds its base level.
     """
-    deltas = minute_deltas(purchases, restocks, size).hint("merge")
-    upto = Window.partitionBy("product_id").orderBy("window_start")
-    flow = F.coalesce("total_restocked", F.lit(0)) - F.coalesce("total_purchased", F.lit(0))
+    deltas = minute_deltas(purchases, restocks, size).select(
+        "product_id", "window_start", (F.col("total_restocked") - F.col("total_purchased")).alias("_flow"))
+    slot = slot or f"{micros(size) * SLOT_WINDOWS} microseconds"
+    moved = running_sum(deltas, ["product_id"], "window_start", {"_moved": "_flow"}, slot).drop("_flow")
     level = F.col("current_inventory")
     return (
-        inventory.join(deltas, "product_id", "left")
-        .withColumn("current_inventory", F.sum(flow).over(upto) + F.col("stock_level"))
+        inventory.join(moved, "product_id", "left")
+        .withColumn("current_inventory", F.coalesce("_moved", F.lit(0)) + F.col("stock_level"))
         .select("product_id", "product_name", F.col("window_start").alias("inventory_window"), "current_inventory",
                 "base_price", "reorder_threshold",
                 F.when(level < LOW_STOCK, "Low").when(level.between(LOW_STOCK, MEDIUM_STOCK), "Medium")
@@ -147,10 +152,9 @@ def lowest_competitor_price(offers: DataFrame) -> DataFrame:
 def enriched_prices(status: DataFrame, clicks: DataFrame, offers: DataFrame, size: str = "1 minute",
                     horizon: str = "15 minutes", busy: int = BUSY_CLICKS) -> DataFrame:
     """Final price: stock rule, raised on busy demand, cut under a competitor, floored at half base."""
-    recent = Window.partitionBy("product_id").orderBy(event_micros("window_start")).rangeBetween(
-        -micros(horizon), 0)
-    demand = clicks_per_window(clicks, size).select(
-        "product_id", F.col("window_start").alias("inventory_window"), F.sum("clicks").over(recent).alias("clicks_15m"))
+    demand = range_frame(clicks_per_window(clicks, size), ["product_id"], "window_start", horizon,
+                         {"clicks_15m": F.sum("clicks")}).select(
+        "product_id", F.col("window_start").alias("inventory_window"), "clicks_15m")
     rule, base, rival = _rule_price(), F.col("base_price"), F.col("min_competitor_price")
     chosen = (
         F.when(rival.isNotNull() & (base <= rival) & (F.coalesce("clicks_15m", F.lit(0)) > busy), rule * F.lit(BUSY_FACTOR))
