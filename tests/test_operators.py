@@ -204,15 +204,42 @@ def test_cosine_of_zero_vector_is_null(spark):
 def test_embedding_retries_then_null(spark):
     from tidemill.functions.vectors import text_embedding
 
-    def flaky(text):
-        if "bad" in text:
+    def flaky(texts):
+        if any("bad" in t for t in texts):
             raise RuntimeError("service is down")
-        return [float(len(text))]
+        return [[float(len(t))] for t in texts]
 
     df = spark.createDataFrame([("ok",), ("bad",), (None,)], "t string")
     assert [r[0] for r in df.select(text_embedding("t", flaky)).collect()] == [[2.0], None, None]
 
 
+def test_one_bad_text_does_not_fail_its_batch():
+    from tidemill.functions.vectors import embed_batch
+    calls = []
+
+    def flaky(texts):
+        calls.append(list(texts))
+        if "bad" in texts:
+            raise OSError("service is down")
+        return [[float(len(t))] for t in texts]
+
+    assert embed_batch(flaky, ["a", "bb", "bad", "dddd"], 2, (OSError,)) == [[1.0], [2.0], None, [4.0]]
+    assert calls == [["a", "bb", "bad", "dddd"], ["a", "bb"], ["bad", "dddd"], ["bad"], ["bad"], ["dddd"]]
+    with pytest.raises(OSError):
+        embed_batch(flaky, ["bad"], 2, (ValueError,))
+
+
+def test_lexicon_in_expressions_equals_the_scorer(spark):
+    from tidemill.functions.text import lexicon_scorer, sentiment
+    from tidemill.functions.vectors import hashing_embedder, text_embedding
+    lexicon = {"up": 2.0, "down": -1.5, "été": 1.0}
+    df = spark.createDataFrame([("Up up, DOWN_up",), ("",), (None,), ("Été 42",), ("nothing",)], "t string")
+    a, b = ([round(r[0], 12) for r in df.select(sentiment("t", s)).collect()] for s in (lexicon, lexicon_scorer(lexicon)))
+    assert a == b
+    x, y = ([r[0] for r in df.select(text_embedding("t", e)).collect()] for e in (None, hashing_embedder()))
+    assert x == y
+
+
 def test_distinct_per_kind(spark):
     from tidemill.operators import distinct_per_kind
     rows = [("a", "x", 1, 5), ("a", "x", 1, 7), ("a", "y", 1, 2), ("a", "x", 2, None), ("a", "x", None, 1), (None, "y", 3, 4), ("b", None, 3, 4)]

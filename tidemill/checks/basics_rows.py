@@ -129,7 +129,7 @@ def _vowels(news):
 
     from tidemill.plans.corpus import headline_signals
     vowel = re.compile("[aeiou]")
-    return headline_signals(news, lambda text: len(vowel.findall(text)) / 1000).select("doc_id", F.round("sentiment_score", 9).alias("s"), "signal")
+    return headline_signals(news, lambda texts: [len(vowel.findall(t)) / 1000 for t in texts]).select("doc_id", F.round("sentiment_score", 9).alias("s"), "signal")
 
 
 check("s26_row_count", L, oracle="SELECT count(*) AS rows, count(*) FILTER (l_tax = 0) AS untaxed FROM lineitem")(

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemill.checks.harness import check, declare
 from tidemill.functions.text import lexicon_scorer, sentiment
-from tidemill.functions.vectors import cosine_similarity, text_embedding
+from tidemill.functions.vectors import cosine_similarity, hashing_embedder, text_embedding
 from tidemill.plans import corpus as c
 
 declare(
@@ -19,13 +19,13 @@ _VEC = f"""SELECT file_name, {_CELL} AS cell, count(*)::DOUBLE AS n FROM (SELECT
 
 # Each document's vector as (cell, weight) rows, so that both engines can compare it.
 check("q96_document_embeddings", "files", oracle=_VEC)(
-    lambda f: c.document_embeddings(f).select("file_name", F.posexplode("embedding").alias("cell", "n")).filter("n > 0"))
+    lambda f: c.document_embeddings(f, hashing_embedder()).select("file_name", F.posexplode("embedding").alias("cell", "n")).filter("n > 0"))
 
 
-def _refuses_long(text):
-    if len(text) > 5000:
+def _refuses_long(texts):
+    if any(len(t) > 5000 for t in texts):
         raise ValueError("too long for the service")
-    return [1.0]
+    return [[1.0] for _ in texts]
 
 
 check("q96_failed_embeddings", "files", oracle="SELECT file_name, NULL::VARCHAR AS embedding FROM files WHERE length(content) > 5000")(
@@ -71,7 +71,7 @@ check("q111_headline_signals", "news", oracle=f"""
 check("x2_sentiment", "news", oracle=f"""
     WITH t AS (SELECT doc_id, coalesce({_WORDS.format('headline')}, []) AS ws FROM news), s AS (SELECT doc_id, {_S} AS s FROM t)
     SELECT doc_id, round(if(s = 0, 0, s / sqrt(s * s + 15)), 9) AS score FROM s""")(
-    lambda n: n.select("doc_id", F.round(sentiment("headline", lexicon_scorer(SAMPLE_LEXICON)), 9).alias("score")))
+    lambda n: n.select("doc_id", F.round(sentiment("headline", SAMPLE_LEXICON), 9).alias("score")))
 check("x4_text_embedding", "files", oracle=f"""
     SELECT file_name, count(DISTINCT {_CELL}) AS cells, count(*) AS words FROM (SELECT file_name, unnest({_WORDS.format('content')}) AS w FROM files) GROUP BY 1""")(
     lambda f: f.select("file_name", text_embedding("content").alias("v")).select(

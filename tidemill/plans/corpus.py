@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +40,8 @@ def nearest(vectors: DataFrame, question: Column | Sequence[float], id_column: s
 SIGNAL_MARGIN = 0.05  # fixed value: scores within +-this are neutral
 
 
-def headline_signals(news: DataFrame, scorer: Scorer | None = None) -> DataFrame:
-    """Score per headline and BUY, SELL or HOLD; the scorer runs once per row."""
+def headline_signals(news: DataFrame, scorer: Scorer | Mapping[str, float]) -> DataFrame:
+    """Score per headline and BUY, SELL or HOLD; a headline is scored once."""
     score = F.col("sentiment_score")
     return news.withColumn("sentiment_score", sentiment("headline", scorer)).withColumn(
         "signal", F.when(score > SIGNAL_MARGIN, "BUY").when(score < -SIGNAL_MARGIN, "SELL").otherwise("HOLD"))
