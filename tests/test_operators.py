@@ -272,3 +272,28 @@ def test_interval_join_keeps_unmatched_left_rows(spark):
     b = spark.createDataFrame([(1, "2024-01-01 10:02:00"), (2, "2024-01-01 13:00:00")], "y int, at string")
     got = interval_join(a, b, [F.col("x") == F.col("y")], "ts", "at", "5 MINUTES", "5 MINUTES", "left").select("x", "y")
     assert collect(got) == [(1, 1), (2, None)]
+
+
+def test_dashboard_without_pairs_equals_the_joined_one(spark):
+    """Dense ticks, null prices and assets, repeated times, an asset without context."""
+    from tidemill.plans import markets
+    rng = random.Random(3)
+    start = datetime(2024, 1, 1)
+    at = lambda: start + timedelta(seconds=rng.randrange(12))
+    ticks = spark.createDataFrame(
+        [(rng.choice([1, 2, 3, None]), at(), rng.choice([10.0, 12.5, 0.0, None]), 9.0, rng.choice([10.0, 11.0])) for _ in range(120)],
+        "asset_id int, timestamp timestamp_ntz, price double, bid_price double, ask_price double")
+    context = spark.createDataFrame([(rng.choice([1, 2, None]), at(), rng.choice([1.0, None]), float(rng.randrange(5))) for _ in range(40)],
+                                    "asset_id int, timestamp timestamp_ntz, sector_performance double, sentiment_score double")
+    metrics = list(markets.DASHBOARD_METRICS)
+    for grain, by in (("2 seconds", ("asset_id",)), (None, ("asset_id",)), ("5 seconds", ())):
+        want = markets.dashboard_rollup(markets.enriched_ticks(ticks, context), metrics, grain, by)
+        got = markets.dashboard_from_ticks(ticks, context, metrics, grain, by).select(want.columns)
+        at_key = lambda df: {tuple(r[k] for k in want.columns if k not in metrics): r for r in df.collect()}
+        a, b = at_key(got), at_key(want)
+        assert a.keys() == b.keys() and b
+        for k, row in b.items():
+            for name in metrics:  # the two add in another order, so the last digits may differ
+                assert a[k][name] == row[name] or a[k][name] == pytest.approx(row[name], rel=1e-9, abs=1e-9), (k, name)
+    plan = markets.dashboard_from_ticks(ticks, context, metrics)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan, plan

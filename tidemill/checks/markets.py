@@ -39,6 +39,10 @@ def _enriched(t, c):
     return m.enriched_ticks(t, c, "6 hours", "3 hours")
 
 
+def _dashboard(t, c, metrics, grain, by=(), limit=None):
+    return m.dashboard_from_ticks(t, c, metrics, grain, by, limit, "6 hours", "3 hours")
+
+
 check("q6_price_and_spread", "ticks", oracle=f"SELECT * REPLACE (average_price::DOUBLE AS average_price, bid_ask_spread::DOUBLE AS bid_ask_spread) FROM ({_PRICE})")(
     lambda t: m.price_and_spread(t, "6 hours"))
 check("q7_volatility", "ticks", oracle=f"SELECT * REPLACE (rolling_volatility::DOUBLE AS rolling_volatility) FROM ({_VOL})")(
@@ -47,17 +51,17 @@ check("q8_enriched_ticks", "ticks", "sector_context", oracle=f"WITH {_ENRICHED}
 check("q9_rollup_by_time", "ticks", "sector_context", oracle=f"""WITH {_ENRICHED}
     SELECT time_bucket(INTERVAL '1 day', timestamp) AS time_slot, round(avg(price_change), 9) AS avg_price_change,
       round(avg(rolling_volatility), 9) AS avg_rolling_volatility FROM enriched GROUP BY 1""")(
-    lambda t, c: m.dashboard_rollup(_enriched(t, c), ["avg_price_change", "avg_rolling_volatility"], "1 day").select(
+    lambda t, c: _dashboard(t, c, ["avg_price_change", "avg_rolling_volatility"], "1 day").select(
         "time_slot", *[F.round(x, 9).alias(x) for x in ("avg_price_change", "avg_rolling_volatility")]))
 check("q9_rollup_by_asset", "ticks", "sector_context", oracle=f"""WITH {_ENRICHED}
     SELECT asset_id, round(sum(price_change), 4) AS sum_price_change FROM enriched GROUP BY 1 ORDER BY 2 DESC LIMIT 50""")(
-    lambda t, c: m.dashboard_rollup(_enriched(t, c), ["sum_price_change"], None, ("asset_id",), 50).select(
+    lambda t, c: _dashboard(t, c, ["sum_price_change"], None, ("asset_id",), 50).select(
         "asset_id", F.round("sum_price_change", 4).alias("sum_price_change")))
 check("q9_spread_by_asset_and_time", "ticks", "sector_context", oracle=f"""WITH {_ENRICHED}
     SELECT asset_id, time_bucket(INTERVAL '1 day', timestamp) AS time_slot, round(avg(bid_ask_spread), 9) AS avg_bid_ask_spread,
       avg(sector_performance) AS avg_sector_performance, avg(sentiment_score) AS avg_sentiment FROM enriched GROUP BY ALL""")(
-    lambda t, c: m.dashboard_rollup(_enriched(t, c), ["avg_bid_ask_spread", "avg_sector_performance", "avg_sentiment"],
-                                    "1 day", ("asset_id",)).withColumn("avg_bid_ask_spread", F.round("avg_bid_ask_spread", 9)))
+    lambda t, c: _dashboard(t, c, ["avg_bid_ask_spread", "avg_sector_performance", "avg_sentiment"],
+                            "1 day", ("asset_id",)).withColumn("avg_bid_ask_spread", F.round("avg_bid_ask_spread", 9)))
 
 check("q10_unusual_volume", "trades", oracle=f"""
     SELECT trade_id, asset_id, volume, volume > 1.5::DOUBLE * avg(volume) OVER {_FRAME} AS unusual_volume, timestamp FROM trades""")(

@@ -89,6 +89,34 @@ def band_join(left: DataFrame, right: DataFrame, keys: Mapping[str, str], left_t
     return lhs.join(rhs, on, how).drop("_lus", "_lslot", "_rus", "_rslot")
 
 
+def band_totals(left: DataFrame, right: DataFrame, keys: Mapping[str, str], left_ts: str, right_ts: str,
+                aggs: Mapping[str, Column], before: str = "0 seconds", after: str = "0 seconds",
+                slot: str | None = None) -> DataFrame:
+    """Left rows with aggregates over the right rows that ``band_join`` would pair them with.
+
+    No pairs are built: both sides are unioned and one range frame per (key,
+    time slot) sums the right rows around each left row.  ``aggs`` are window
+    aggregates over right columns that skip NULLs, such as ``count(column)``; a
+    left row without right rows keeps their empty value (0 or NULL).  Column
+    names of the two sides must differ.
+    """
+    back, ahead = micros(before), micros(after)
+    width = micros(slot) if slot else max(back + ahead, 1_000_000)
+    names = list(keys)
+    us = F.col("_us")
+    lhs = left.withColumn("_us", event_micros(left_ts)).withColumn("_slot", _slot(us, width)).withColumn("_side", F.lit(1))
+    rhs = (
+        right.na.drop(subset=list(keys.values()))  # a NULL key never matches
+        .withColumn("_us", event_micros(right_ts)).filter(us.isNotNull())
+        .withColumn("_slot", F.explode(F.sequence(
+            _slot(us - F.lit(ahead), width), _slot(us + F.lit(back), width), F.lit(width))))
+        .withColumns({a: F.col(b) for a, b in keys.items()}).withColumn("_side", F.lit(0))
+    )
+    frame = Window.partitionBy(*names, "_slot").orderBy("_us").rangeBetween(-back, ahead)
+    both = lhs.unionByName(rhs, allowMissingColumns=True)
+    return both.withColumns({n: a.over(frame) for n, a in aggs.items()}).filter("_side = 1").select(*left.columns, *aggs)
+
+
 def windows_holding(df: DataFrame, ts: str, size: str) -> DataFrame:
     """Tumbling windows with *both* ends inclusive that hold ``ts``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.scalar import is_true, round_numeric, ratio
-from tidemill.operators import asof_join, band_join, count_where, range_frame, tumble
+from tidemill.operators import asof_join, band_join, band_totals, count_where, range_frame, tumble
 
 
 def price_and_spread(ticks: DataFrame, horizon: str = "3 seconds") -> DataFrame:
@@ -66,6 +66,56 @@ def dashboard_rollup(enriched: DataFrame, metrics: list[str], grain: str | None
     return out.orderBy(F.desc(metrics[0]), *keys).limit(limit) if limit else out
 
 
+def dashboard_from_ticks(ticks: DataFrame, context: DataFrame, metrics: list[str], grain: str | None = "1 second",
+                         by: tuple[str, ...] = (), limit: int | None = None, horizon: str = "3 seconds",
+                         reach: str = "3 seconds") -> DataFrame:
+    """``dashboard_rollup`` of ``enriched_ticks`` without building the enriched rows.
+
+    A tick with ``n`` rolled ticks and ``m`` context rows in reach has n * n * m
+    enriched rows, whose number grows with the cube of the density.  Here each
+    tick stays one row: it takes the sums and counts of each side, and a metric
+    of one side is weighted with how often the other sides repeat it.  ``by``
+    names columns of the ticks.
+    """
+    def known(column: str) -> dict:
+        return {f"_s_{column}": F.sum(column), f"_c_{column}": F.count(column)}
+
+    rolled = range_frame(ticks, ["asset_id"], "timestamp", horizon, {
+        "_p": F.avg("price"), "_b": F.avg(F.col("ask_price") - F.col("bid_price")), "_v": F.stddev_samp("price")}).select(
+        F.col("asset_id").alias("_asset"), F.col("timestamp").alias("_ts"),
+        *[round_numeric(c, 2).cast("double").alias(n) for c, n in (
+            ("_p", "average_price"), ("_b", "bid_ask_spread"), ("_v", "rolling_volatility"))])
+    rolled = rolled.withColumn("inverse_price", ratio(F.lit(1.0), "average_price"))
+    sector = context.select(F.col("asset_id").alias("_c_asset"), F.col("timestamp").alias("_c_ts"),
+                            F.col("sector_performance").cast("double").alias("sector_performance"),
+                            F.col("sentiment_score").cast("double").alias("sentiment_score"))
+    base = ticks.select("asset_id", "timestamp", F.col("price").cast("double").alias("price"),
+                        *[c for c in by if c not in ("asset_id", "timestamp", "price")])
+    sums = band_totals(base, rolled, {"asset_id": "_asset"}, "timestamp", "_ts", {
+        "_n": F.count("_asset"), **known("average_price"), **known("inverse_price"), **known("bid_ask_spread"),
+        **known("rolling_volatility")}, reach, reach)
+    sums = band_totals(sums, sector, {"asset_id": "_c_asset"}, "timestamp", "_c_ts", {
+        "_m": F.count("_c_asset"), **known("sector_performance"), **known("sentiment_score")}, reach, reach)
+    sums = sums.filter("_n > 0 AND _m > 0")
+    # (price - a) / a * 100 over the averages a of a tick is (price * sum(1 / a) - their number) * 100.
+    change = (F.col("price") * F.col("_s_inverse_price") - F.col("_c_inverse_price")) * 100
+    sums = sums.withColumns({"_s_price_change": change,
+                             "_c_price_change": F.when(change.isNotNull(), F.col("_c_inverse_price")).otherwise(0)})
+    keys = list(by)
+    if grain:
+        sums = sums.withColumn("time_slot", F.window("timestamp", grain)["start"])
+        keys = ["time_slot", *keys]
+
+    def metric(kind: str, column: str):
+        times = F.col("_n") * (F.col("_n") if column in ("sector_performance", "sentiment_score") else F.col("_m"))
+        total = F.sum(F.col(f"_s_{column}") * times)
+        return F.try_divide(total, F.sum(F.col(f"_c_{column}") * times)) if kind == "avg" else total
+
+    out = sums.groupBy(*keys).agg(*[
+        metric(kind, column).alias(name) for name, (kind, column) in DASHBOARD_METRICS.items() if name in metrics])
+    return out.orderBy(F.desc(metrics[0]), *keys).limit(limit) if limit else out
+
+
 # -- surveillance ------------------------------------------------------------------
 
 def unusual_volume(trades: DataFrame, horizon: str = "10 minutes", factor: float = 1.5) -> DataFrame:
