@@ -74,7 +74,7 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, orders:
     """Learn which n-grams belong to each language.
 
     At most ``per_language`` documents of each language are read, chosen by the
-    hash of their id; within them whole texts count.  An n-gram belongs to a
+    hash of id and text; within them whole texts count.  An n-gram belongs to a
     language if it makes up ``min_rate`` of that language's n-grams of its
     order, so a language has at most len(orders) / min_rate of them: that bounds
     the filter, whatever the corpus.  Up to 64 languages.  Rows with a null
@@ -85,13 +85,19 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, orders:
 
     named = labelled.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"),
                             F.col(f"`{lang_col}`").alias("lang")).where("text is not null and lang is not null")
-    known = [r[0] for r in named.select("lang").distinct().limit(65).collect()]
+    sizes = {r["lang"]: r["count"] for r in named.groupBy("lang").count().limit(65).collect()}
+    known = list(sizes)
     if len(known) > 64:
         raise ValueError("a bit-sliced row holds 64 languages")
-    # Ranked without the texts; the rank filter cuts each task to its best rows before the shuffle.
-    chosen = (named.select("id", "lang", F.xxhash64("text").alias("text_hash"))
-              .withColumn("rank", F.row_number().over(
-                  Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text_hash")))
+    # Ranked without the texts.  The smallest hashes of a language lie below a bound that its row count gives, so
+    # about twice per_language rows of it reach the ranking, however large it is.
+    span = 1 << 40
+    place = F.pmod(F.xxhash64("id", "text_hash"), F.lit(span))
+    bounds = [x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(span, span * 2 * per_language // n)))]
+    chosen = named.select("id", "lang", F.xxhash64("text").alias("text_hash")).withColumn("place", place)
+    if bounds:
+        chosen = chosen.where(F.col("place") < F.element_at(F.create_map(*bounds), F.col("lang")))
+    chosen = (chosen.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "id", "text_hash")))
               .where(F.col("rank") <= per_language).select("id", "lang", "text_hash").distinct())
     # At most 64 x per_language ids, so the broadcast is bounded and texts stay where they are.
     sample = (named.withColumn("text_hash", F.xxhash64("text"))
