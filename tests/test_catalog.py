@@ -1,6 +1,7 @@
 """Every maintained view: random splits into batches end where one batch query ends."""
 
 import random
+import re
 
 import pytest
 from compare import compare
@@ -70,3 +71,37 @@ def test_splits_do_not_matter(spark, sf, tmp_path, name):
     assert len(got) > 0
     verdict = compare(got, want.toPandas())
     assert verdict == "" or verdict.startswith("~digits"), verdict
+
+
+def test_batch_reads_only_the_slots_it_reaches(spark, tmp_path):
+    """A tick reads the slots its frame needs, however long the asset's history is; a late one reaches its own time."""
+    from tidemill.plans import markets
+    from tidemill.streaming.runners import MaintainedView, Slots
+
+    def ticks(*hours):
+        rows = [("A", float(h), 1.0, 2.0, f"2024-01-{1 + h // 24:02d} {h % 24:02d}:59:59") for h in hours]
+        return spark.createDataFrame(rows, "asset_id string, price double, bid_price double, ask_price double, ts string").select(
+            "*", F.col("ts").cast("timestamp_ntz").alias("timestamp")).drop("ts")
+
+    read = []
+
+    def plan(ticks):
+        pruned = re.search(r"PartitionFilters: \[[^\]]*_part#", ticks._jdf.queryExecution().executedPlan().toString())
+        read.append((ticks.count(), bool(pruned)))
+        return markets.price_and_spread(ticks, "2 hours")
+
+    view = MaintainedView(str(tmp_path / "v"), plan, ["asset_id", "timestamp"], ["asset_id"], buckets=256,
+                          slots=Slots({"ticks": "timestamp"}, "timestamp", after="2 hours", width="2 hours"))
+    view.process({"ticks": ticks(*range(200))}, 0)
+    view.process({"ticks": ticks(200)}, 1)
+    view.process({"ticks": ticks(40).withColumn("price", F.lit(1000.0)).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))}, 2)
+    assert read[0][0] == 200
+    assert all(rows <= 8 and pruned for rows, pruned in read[1:]), read
+    late = ticks(40).withColumn("price", F.lit(1000.0)).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
+    want = markets.price_and_spread(ticks(*range(201)).unionByName(late), "2 hours")
+    assert compare(plain(view.read(spark)).toPandas(), plain(want).toPandas()) == ""
+
+
+def test_every_view_is_bounded():
+    """Only rankings over everything, and scores against the newest order of all, are recomputed as a whole."""
+    assert {n for n, v in VIEWS.items() if not (v.scope or v.times)} == {"order_eta", "rfm_scores", "customer_segments", "top_products"}

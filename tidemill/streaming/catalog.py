@@ -2,11 +2,14 @@
 
 Each entry says how far one new row can reach (its scope), so that a
 micro-batch recomputes only what it touches.  ``by_window`` adds the window of
-a row as scope, for plans that rank or share inside one window.
+a row as scope, for plans that rank or share inside one window.  ``times``
+adds time slots, for frames and windows per key: a batch then touches the
+slots near its rows, not the whole history of their keys.
 """
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -18,7 +21,7 @@ from tidemill.plans import (
     betting, clicks, energy, games, health, ledger, logistics, machines, markets, marketing, pricing, sales, segments,
     traffic, travel, web,
 )
-from tidemill.streaming.runners import Keyed, MaintainedView
+from tidemill.streaming.runners import Keyed, MaintainedView, Slots
 
 
 @dataclass(frozen=True)
@@ -30,14 +33,19 @@ class View:
     shared: tuple[str, ...] = ()
     by_window: Mapping[str, str] = field(default_factory=dict)  # input -> its time column
     keyed: Mapping[str, tuple[str, ...]] = field(default_factory=dict)  # input whose rows change -> its key
+    times: Mapping[str, str] = field(default_factory=dict)  # input -> its time column, where results reach a bounded time
+    result_time: str = "window_start"
+    reach: str = "size"  # the plan's option that says how far: the length of a window, or of a frame
+    frame: bool = False  # a frame looks back from its row, a window forward from its start
 
     def at(self, path: str, size: str | None = None, **options) -> MaintainedView:
         """The view stored at ``path``; ``size`` is the window size of a by-window view.
 
         ``keyed`` replaces how keyed inputs are told apart, to name the order of
-        their versions and a delete column.  Other options go to the plan, or to
-        ``MaintainedView`` where it knows them.
+        their versions and a delete column, ``slot`` sets the length of time slots.
+        Other options go to the plan, or to ``MaintainedView`` where it knows them.
         """
+        slot = options.pop("slot", None)
         runner = {k: options.pop(k) for k in ("on_change", "on_delete", "compact_every", "buckets") if k in options}
         runner["keyed"] = {n: Keyed(k) for n, k in self.keyed.items()} | options.pop("keyed", {})
         if size is not None:
@@ -47,6 +55,9 @@ class View:
             if size is None:
                 raise ValueError("a by-window view needs its window size")
             derive[name] = lambda df, ts=ts: tumble(df, ts, size).drop("window_end")
+        if self.times:
+            length = options.get(self.reach, inspect.signature(self.plan).parameters[self.reach].default)
+            runner["slots"] = Slots(self.times, self.result_time, width=slot, **{"after" if self.frame else "before": length})
         return MaintainedView(path, lambda **frames: self.plan(**frames, **options), self.keys, self.scope,
                               self.shared, derive, **runner)
 
@@ -56,25 +67,25 @@ VIEWS: dict[str, View] = {
     "page_visits": View(web.page_visits, ("visits",), ("page_id",), ("page_id",)),
     "city_average_age": View(web.city_average_age, ("users",), ("city",), ("city",), keyed={"users": ("id",)}),
     "actions_per_window": View(web.actions_per_window, ("visits", "users"), ("user_id", "page_id", "window_end"), ("user_id",), keyed={"users": ("user_id",)}),
-    "user_request_metrics": View(web.user_request_metrics, ("logs",), ("username", "window_start"), ("username",)),
+    "user_request_metrics": View(web.user_request_metrics, ("logs",), ("username", "window_start"), ("username",), times={"logs": "request_timestamp"}),
     "top_actions": View(web.top_actions, ("logs",), ("window_start", "user_action"), ("window_start",), by_window={"logs": "request_timestamp"}),
-    "referrer_activity": View(web.referrer_activity, ("logs",), ("referrer", "window_start"), ("referrer",)),
+    "referrer_activity": View(web.referrer_activity, ("logs",), ("referrer", "window_start"), ("referrer",), times={"logs": "request_timestamp"}),
     "status_distribution": View(web.status_distribution, ("logs",), ("window_start", "status_code"), ("window_start",), by_window={"logs": "request_timestamp"}),
     # markets
-    "price_and_spread": View(markets.price_and_spread, ("ticks",), ("asset_id", "timestamp"), ("asset_id",)),
-    "volatility": View(markets.volatility, ("ticks",), ("asset_id", "timestamp"), ("asset_id",)),
-    "unusual_volume": View(markets.unusual_volume, ("trades",), ("trade_id",), ("asset_id",)),
-    "price_spike": View(markets.price_spike, ("quotes",), ("asset_id", "timestamp"), ("asset_id",)),
-    "quiet_tight_spread": View(markets.quiet_tight_spread, ("quotes",), ("asset_id", "timestamp"), ("asset_id",)),
+    "price_and_spread": View(markets.price_and_spread, ("ticks",), ("asset_id", "timestamp"), ("asset_id",), times={"ticks": "timestamp"}, result_time="timestamp", reach="horizon", frame=True),
+    "volatility": View(markets.volatility, ("ticks",), ("asset_id", "timestamp"), ("asset_id",), times={"ticks": "timestamp"}, result_time="timestamp", reach="horizon", frame=True),
+    "unusual_volume": View(markets.unusual_volume, ("trades",), ("trade_id",), ("asset_id",), times={"trades": "timestamp"}, result_time="timestamp", reach="horizon", frame=True),
+    "price_spike": View(markets.price_spike, ("quotes",), ("asset_id", "timestamp"), ("asset_id",), times={"quotes": "timestamp"}, result_time="timestamp", reach="horizon", frame=True),
+    "quiet_tight_spread": View(markets.quiet_tight_spread, ("quotes",), ("asset_id", "timestamp"), ("asset_id",), times={"quotes": "timestamp"}, result_time="timestamp", reach="horizon", frame=True),
     "spoofing_alerts": View(markets.spoofing_alerts, ("orders", "best"), ("symbol", "exchange", "window_start"), ("symbol", "exchange")),
     # marketing
     "campaign_performance": View(marketing.campaign_performance, ("events", "campaigns"), ("window_start", "campaign_id"), ("campaign_id",), keyed={"campaigns": ("campaign_id",)}),
-    "channel_attribution": View(marketing.channel_attribution, ("events",), ("window_start", "channel_type", "utm_source", "utm_medium"), ("channel_type",)),
+    "channel_attribution": View(marketing.channel_attribution, ("events",), ("window_start", "channel_type", "utm_source", "utm_medium"), ("channel_type",), times={"events": "timestamp"}),
     "ab_test_results": View(marketing.ab_test_results, ("events", "campaigns", "variants"),
                             ("window_start", "campaign_id", "variant_name", "variant_type"), ("campaign_id",), ("variants",), keyed={"campaigns": ("campaign_id",), "variants": ("variant_id",)}),
     # logistics
     "demand_forecast": View(logistics.demand_forecast, ("inventory", "sales"), ("warehouse_id", "product_id"), ("warehouse_id", "product_id")),
-    "recent_sales": View(logistics.recent_sales, ("sales",), ("warehouse_id", "product_id")),
+    "recent_sales": View(logistics.recent_sales, ("sales",), ("warehouse_id", "product_id"), ("warehouse_id", "product_id")),
     "latest_orders": View(logistics.latest_orders, ("updates",), ("order_id",), ("order_id",)),
     "latest_vehicles": View(logistics.latest_vehicles, ("gps",), ("vehicle_id",), ("vehicle_id",)),
     "order_eta": View(logistics.order_eta, ("updates", "gps", "traffic"), ("order_id",)),
@@ -87,17 +98,17 @@ VIEWS: dict[str, View] = {
     # travel
     "meal_status": View(travel.meal_status, ("checkins", "meals"), ("flight_id", "flight_number", "class", "available_meals"), ("flight_id",)),
     "meal_shortages": View(travel.meal_shortages, ("checkins", "meals"), ("flight_id", "flight_number", "class", "available_meals"), ("flight_id",)),
-    "airline_flights": View(travel.airline_flights, ("flights",), ("airline_name", "window_start"), ("airline_name",)),
+    "airline_flights": View(travel.airline_flights, ("flights",), ("airline_name", "window_start"), ("airline_name",), times={"flights": "arrival_scheduled"}),
     "airport_traffic": View(travel.airport_traffic, ("flights",), ("arrival_airport", "window_start"), ("window_start",), by_window={"flights": "arrival_scheduled"}),
     "timezone_traffic": View(travel.timezone_traffic, ("flights",), ("arrival_timezone", "window_start"), ("window_start",), by_window={"flights": "arrival_scheduled"}),
     # pricing
-    "minute_deltas": View(pricing.minute_deltas, ("purchases", "restocks"), ("product_id", "window_start"), ("product_id",)),
+    "minute_deltas": View(pricing.minute_deltas, ("purchases", "restocks"), ("product_id", "window_start"), ("product_id",), times={"purchases": "purchase_time", "restocks": "restock_time"}),
     "stock_status": View(pricing.stock_status, ("inventory", "purchases", "restocks"), ("product_id", "inventory_window"), ("product_id",), keyed={"inventory": ("product_id",)}),
-    "clicks_per_window": View(pricing.clicks_per_window, ("clicks",), ("product_id", "window_start"), ("product_id",)),
+    "clicks_per_window": View(pricing.clicks_per_window, ("clicks",), ("product_id", "window_start"), ("product_id",), times={"clicks": "event_time"}),
     "latest_competitor_prices": View(pricing.latest_competitor_prices, ("offers",), ("product_id", "competitor"), ("product_id",)),
     "lowest_competitor_price": View(pricing.lowest_competitor_price, ("offers",), ("product_id",), ("product_id",)),
     # segments: scores compare with the newest order of all users
-    "click_behaviour": View(segments.click_behaviour, ("events",), ("user_id",)),
+    "click_behaviour": View(segments.click_behaviour, ("events",), ("user_id",), ("user_id",)),
     "rfm_scores": View(segments.rfm_scores, ("orders",), ("user_id",)),
     "customer_segments": View(segments.customer_segments, ("events", "orders"), ("user_id",)),
     # energy and health
@@ -105,9 +116,9 @@ VIEWS: dict[str, View] = {
     "single_alerts": View(health.single_alerts, ("vitals", "thresholds"), ("alert_id",), ("patient_id",), keyed={"thresholds": ("patient_id",)}),
     "trend_alerts": View(health.trend_alerts, ("vitals",), ("alert_id",), ("patient_id",)),
     # machines
-    "machine_averages": View(machines.machine_averages, ("readings",), ("machine_id", "window_start"), ("machine_id",)),
+    "machine_averages": View(machines.machine_averages, ("readings",), ("machine_id", "window_start"), ("machine_id",), times={"readings": "ts"}),
     "machine_anomalies": View(machines.machine_anomalies, ("readings",), ("machine_id", "window_start"), ("machine_id",)),
-    "device_metrics": View(machines.device_metrics, ("metrics",), ("device_id", "window_start"), ("device_id",)),
+    "device_metrics": View(machines.device_metrics, ("metrics",), ("device_id", "window_start"), ("device_id",), times={"metrics": "timestamp"}),
     # sales
     "sales_per_window": View(sales.sales_per_window, ("sales", "products"), ("sale_id", "product_id", "window_start"), ("product_id",), keyed={"products": ("product_id",)}),
     "top_products": View(sales.top_products, ("sales", "products"), ("category", "product_name", "window_start"), keyed={"products": ("product_id",)}),
@@ -117,13 +128,13 @@ VIEWS: dict[str, View] = {
     "mental_states": View(games.mental_states, ("stats",), ("window_start", "mental_state"), ("mental_state",)),
     "spikes": View(games.spikes, ("stats",), ("window_start", "player_name"), ("player_name",)),
     "match_leaders": View(games.match_leaders, ("stats",), ("window_start", "match_id", "rk"), ("match_id",)),
-    "impact_leaders": View(games.impact_leaders, ("stats",), ("window_start", "rn")),
+    "impact_leaders": View(games.impact_leaders, ("stats",), ("window_start", "rn"), times={"stats": "ts"}),
     # ledger, traffic, clicks
     "block_stats": View(ledger.block_stats, ("tx",), ("slot",), ("slot",)),
-    "window_stats": View(ledger.window_stats, ("tx",), ("window_start",)),
-    "road_features": View(traffic.road_features, ("sensors", "cameras"), ("road_id", "window_start"), ("road_id",)),
+    "window_stats": View(ledger.window_stats, ("tx",), ("window_start",), times={"tx": "blockTime"}),
+    "road_features": View(traffic.road_features, ("sensors", "cameras"), ("road_id", "window_start"), ("road_id",), times={"sensors": "timestamp_entry", "cameras": "timestamp"}),
     "session_figures": View(clicks.session_figures, ("sessions", "events", "users", "devices"), ("session_id",), ("session_id",), ("users", "devices")),
-    "conversion_funnel": View(clicks.conversion_funnel, ("views", "carts", "purchases"), ("window_start",)),
+    "conversion_funnel": View(clicks.conversion_funnel, ("views", "carts", "purchases"), ("window_start",), times={"views": "event_time", "carts": "event_time", "purchases": "event_time"}),
 }
 
 

@@ -17,18 +17,20 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tidemill.functions.scalar import event_micros, micros
 from tidemill.operators.changes import DELETE, DELETE_CODES, INSERT, UPDATE_INSERT, diff_results, one_per_key
 from tidemill.operators.keyed import key_filter
 from tidemill.operators.latest import latest_by
-from tidemill.sinks.keyed import PART, KeyedTable, write_clustered
+from tidemill.sinks.keyed import PART, KeyedTable, bucket_of, write_clustered
 
 Handler = Callable[[DataFrame], None]
 GONE = "_gone"
+SLOT = "_time_slot"
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,42 @@ class Keyed:
     op: str | None = None
 
 
+@dataclass(frozen=True)
+class Slots:
+    """How far in time an input row reaches, and the time slots that bound it.
+
+    ``times`` names the time column of each input, ``result`` that of the
+    result.  A row at t bears on results from ``t - before`` to ``t + after``: a
+    RANGE frame of length I has ``after`` I, a window told by its start has
+    ``before`` its size.  A result at r thus needs the rows from ``r - after`` to
+    ``r + before``.  ``width`` is the length of a slot, by default 16 reaches.
+    Rows without a time have a slot of their own.
+    """
+
+    times: Mapping[str, str]
+    result: str
+    before: str = "0 seconds"
+    after: str = "0 seconds"
+    width: str | None = None
+
+    @property
+    def micros(self) -> int:
+        return micros(self.width) if self.width else 16 * max(micros(self.before), micros(self.after), 1_000_000)
+
+    def number(self, ts: str, shift: int = 0) -> Column:
+        us = event_micros(ts) + F.lit(shift)
+        return F.floor((us - F.pmod(us, F.lit(self.micros))) / F.lit(self.micros)).cast("long")
+
+    def reached(self, ts: str) -> Column:
+        """Slots whose results a row at ``ts`` bears on."""
+        return F.explode_outer(F.sequence(self.number(ts, -micros(self.before)), self.number(ts, micros(self.after))))
+
+    def needed(self) -> Column:
+        """Slots with rows that the results of a slot need."""
+        back, on = (-(-micros(reach) // self.micros) for reach in (self.after, self.before))
+        return F.explode_outer(F.sequence(F.col(SLOT) - F.lit(back), F.col(SLOT) + F.lit(on)))
+
+
 def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -87,6 +125,9 @@ class MaintainedView:
     ``shared``   inputs without the scope columns, such as small dimensions; a
                  new row there recomputes everything
     ``derive``   adds the scope columns to an input that names them otherwise
+    ``slots``    a bound in time beside the scope: only the slots that a batch
+                 reaches are recomputed, from the slots they need, so the cost
+                 of a batch does not grow with the history of a key
     ``keyed``    inputs whose rows are updated and deleted: the plan sees the
                  current row of each key, and a row that moves to another scope
                  touches both
@@ -101,13 +142,15 @@ class MaintainedView:
     def __init__(self, path: str, compute: Callable[..., DataFrame], keys: Sequence[str], scope: Sequence[str] = (),
                  shared: Sequence[str] = (), derive: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
                  on_change: Handler | None = None, compact_every: int = 0, buckets: int = 256,
-                 keyed: Mapping[str, Keyed] | None = None, on_delete: Handler | None = None):
+                 keyed: Mapping[str, Keyed] | None = None, on_delete: Handler | None = None,
+                 slots: Slots | None = None):
         self.path, self.compute = path.rstrip("/"), compute
         self.keys, self.scope, self.shared = list(keys), list(scope), set(shared)
         self.derive, self.on_change, self.on_delete = dict(derive or {}), on_change, on_delete
         self.compact_every, self.buckets = compact_every, buckets
-        self.keyed = dict(keyed or {})
-        self.table = KeyedTable(f"{self.path}/result", keys, self.scope, buckets)
+        self.keyed, self.slots = dict(keyed or {}), slots
+        self.place = [*self.scope, SLOT] if slots else self.scope
+        self.table = KeyedTable(f"{self.path}/result", keys, self.place, buckets)
 
     def _append(self, folder: str, rows: DataFrame, cluster: Sequence[str], batch_id: int) -> DataFrame:
         """Write a batch below ``folder``; return all rows there up to the batch."""
@@ -117,11 +160,13 @@ class MaintainedView:
         return rows.sparkSession.read.schema(schema).parquet(f"{self.path}/{folder}").filter(F.col("batch") <= batch_id)
 
     def _scope_of(self, name: str) -> list[str]:
-        return [] if name in self.shared else self.scope
+        return [] if name in self.shared else self.place
 
     def _add(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
         """Write the batch to the base table of an input; return all its rows up to the batch."""
         rows = self.derive[name](rows) if name in self.derive else rows
+        if self.slots and name not in self.shared:
+            rows = rows.withColumn(SLOT, self.slots.number(self.slots.times[name]))
         if name in self.keyed:
             rows = self._moves(name, rows, batch_id)
         return self._append(f"base/{name}", rows, self._scope_of(name), batch_id)
@@ -153,21 +198,32 @@ class MaintainedView:
         if name in self.keyed:
             place = list(dict.fromkeys([*self.keyed[name].keys, *self._scope_of(name)]))
             rows = latest_by(rows, place, ["batch"]).filter(~F.col(GONE)).drop(GONE)
-        return rows.drop("batch", PART)
+        return rows.drop("batch", PART, SLOT)
+
+    def _result(self, frames: Mapping[str, DataFrame]) -> DataFrame:
+        """What the plan makes of the frames, with the slot of each row where there are slots."""
+        result = self.compute(**frames)
+        return result.withColumn(SLOT, self.slots.number(self.slots.result)) if self.slots else result
 
-    def _touched(self, frames: Mapping[str, DataFrame], batch_id: int) -> tuple[DataFrame, list[int]] | None:
-        """Scopes with new rows and their buckets; None when everything must be recomputed."""
+    def _located(self, scopes: DataFrame) -> tuple[DataFrame, list[int]]:
+        """Scopes and the numbers, at most ``buckets``, of the buckets they lie in."""
+        return scopes, [r[0] for r in scopes.select(bucket_of(self.place, self.buckets)).distinct().collect()]
+
+    def _touched(self, frames: Mapping[str, DataFrame], batch_id: int
+                 ) -> tuple[tuple[DataFrame, list[int]], tuple[DataFrame, list[int]]] | None:
+        """Scopes whose results may change and scopes whose rows those need, with their buckets; None for everything."""
         fresh = {n: df.filter(F.col("batch") == batch_id) for n, df in frames.items()}
-        if not self.scope or any(not fresh[n].isEmpty() for n in self.shared):
+        if not self.place or any(not fresh[n].isEmpty() for n in self.shared):
             return None
         scopes = None
         for name, df in fresh.items():
             if name not in self.shared:
-                part = df.select(*self.scope, PART)
+                part = df.select(*self.scope, *([self.slots.reached(self.slots.times[name]).alias(SLOT)] if self.slots else []))
                 scopes = part if scopes is None else scopes.unionByName(part)
-        scopes = scopes.distinct()
-        parts = [r[0] for r in scopes.select(PART).distinct().collect()]  # at most ``buckets`` numbers
-        return scopes.drop(PART), parts
+        results = self._located(scopes.distinct())
+        if not self.slots:
+            return results, results
+        return results, self._located(results[0].select(*self.scope, self.slots.needed().alias(SLOT)).distinct())
 
     def process(self, batches: Mapping[str, DataFrame], batch_id: int) -> None:
         """Add one micro-batch per input and bring the result up to date.
@@ -179,15 +235,19 @@ class MaintainedView:
         frames = {name: self._add(name, rows, batch_id) for name, rows in batches.items()}
         touched = self._touched(frames, batch_id)
 
-        def within(df: DataFrame, shared: bool = False) -> DataFrame:
-            if touched is None or shared:
+        def needed(name: str, df: DataFrame) -> DataFrame:
+            if touched is None or name in self.shared:
                 return df
-            df = df.filter(F.col(PART).isin(touched[1])) if PART in df.columns else df
-            return key_filter(df, touched[0], self.scope)
+            scopes, parts = touched[1]
+            return key_filter(df.filter(F.col(PART).isin(parts)), scopes, self.place)
+
+        def reached(df: DataFrame) -> DataFrame:
+            return df if touched is None else key_filter(df, touched[0][0], self.place)
 
-        result = self.compute(**{n: self._current(n, within(df, n in self.shared)) for n, df in frames.items()})
-        old = self.table.read(spark, before=batch_id, parts=None if touched is None else touched[1])
-        changes = result.withColumn("op", F.lit(INSERT)) if old is None else diff_results(within(old), result, self.keys)
+        result = self._result({n: self._current(n, needed(n, df)) for n, df in frames.items()})
+        result = reached(result) if self.slots else result
+        old = self.table.read(spark, before=batch_id, parts=None if touched is None else touched[0][1])
+        changes = result.withColumn("op", F.lit(INSERT)) if old is None else diff_results(reached(old), result, self.keys)
         self.table.apply(changes, batch_id)
         if self.on_change or self.on_delete:
             written = self.table.changes(spark)
@@ -197,6 +257,7 @@ class MaintainedView:
             self.table.compact(spark)
 
     def _notify(self, changes: DataFrame) -> None:
+        changes = changes.drop(SLOT)
         if self.on_change:
             self.on_change(changes.filter(F.col("op").isin(INSERT, UPDATE_INSERT)))
         if self.on_delete:
@@ -217,7 +278,7 @@ class MaintainedView:
         for name in inputs:
             rows = spark.read.parquet(f"{self.path}/base/{name}").filter(F.col("batch") <= last)
             frames[name] = self._current(name, rows)
-        result = self.compute(**frames)
+        result = self._result(frames)
         changes = diff_results(self.table.read(spark), result, self.keys)
         # Written before the result is replaced, since they are read from the old one.
         path = f"{self.path}/refreshes/after={last}/{uuid.uuid4().hex[:12]}"
@@ -225,7 +286,7 @@ class MaintainedView:
         self.table.replace(spark, result)
         changes = spark.read.schema(changes.schema).parquet(path)
         self._notify(changes)
-        return changes
+        return changes.drop(SLOT)
 
     def start(self, streams: Mapping[str, DataFrame], checkpoint: str, every: str | None = None) -> StreamingQuery:
         """Follow one or more streams.  Several are tagged and unioned into one query."""
@@ -247,5 +308,6 @@ class MaintainedView:
 
         return start_handler(union, sink, checkpoint, every)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self.table.read(spark)
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        rows = self.table.read(spark)
+        return rows if rows is None else rows.drop(SLOT)
