@@ -96,10 +96,10 @@ def test_band_join(spark, seed, before, after, how, slot):
     assert got == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("seed, bucket", [(17, 7.0), (18, 64.0), (19, 1000.0)])
-def test_exact_median(spark, seed, bucket):
+@pytest.mark.parametrize("seed, band", [(17, 0.02), (18, 0.2), (19, 0.001)])
+def test_exact_median(spark, seed, band):
     rows = stream(seed)
-    got = {r.key: r.m for r in exact_median(frame(spark, rows), ["key"], "value", "m", bucket).collect()}
+    got = {r.key: r.m for r in exact_median(frame(spark, rows), ["key"], "value", "m", band).collect()}
     want = {}
     for k in {x[1] for x in rows}:
         vals = [x[3] for x in rows if x[1] == k and x[3] is not None]
@@ -108,6 +108,15 @@ def test_exact_median(spark, seed, bucket):
     assert got == want
 
 
+def test_exact_median_of_a_narrow_and_a_wide_key(spark):
+    """Most values lie within one unit, some far off: borders follow each key's own values."""
+    rng = random.Random(5)
+    rows = [("near", rng.random()) for _ in range(3001)] + [("far", 10.0 ** rng.randrange(-9, 9) * rng.random()) for _ in range(2000)]
+    rows += [("same", 3.0)] * 1000 + [("same", 4.0)] * 1000 + [("one", 7.0), ("two", 1.0), ("two", 2.0)]
+    got = {r.key: r.m for r in exact_median(spark.createDataFrame(rows, "key string, value double"), ["key"], "value", "m").collect()}
+    assert got == {k: statistics.median([v for key, v in rows if key == k]) for k in {r[0] for r in rows}}
+
+
 def test_windows_holding_borders(spark):
     df = spark.createDataFrame([(1, when(60)), (2, when(61)), (3, when(0)), (4, None)], "id int, ts timestamp_ntz")
     got = sorted((r.id, int((r.window_start - T0).total_seconds())) for r in windows_holding(df, "ts", "60 seconds").collect())

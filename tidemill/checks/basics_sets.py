@@ -9,6 +9,7 @@ from tidemill.operators import (
     asof_join, band_join, count_where, distinct_where, exact_median, first_by, hop, last_by, latest_by, net_of_sums, page,
     previous, range_frame, running_sum, sum_where, top_k, top_n, tumble, update_where, upsert, windows_holding, zero_filled,
 )
+from tidemill.session import stored
 
 E, L, C, O, P, N, R, S = "events", "lineitem", "customer", "orders", "part", "nation", "region", "supplier"  # noqa: E741
 
@@ -176,6 +177,8 @@ check("t1_order_by", C, oracle="SELECT c_custkey, c_acctbal FROM customer ORDER
 check("t2_top_k", O, oracle="SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey LIMIT 10")(
     lambda o: top_k(o.groupBy("o_custkey").agg(F.count("*").alias("n")), [F.desc("n"), F.asc("o_custkey")], 10))
 check("t3_any_rows", E)(lambda e: e.limit(5))
+check("t3_any_rows_belong", E, oracle="SELECT least(5, count(*)) AS chosen FROM events")(
+    lambda e: stored(e.limit(5)).intersectAll(e).agg(F.count(F.lit(1)).alias("chosen")))
 check("t4_nulls_last", E, oracle="SELECT event_id, v FROM (SELECT event_id, if(event_type = 'view', NULL, value) AS v FROM events) ORDER BY v DESC NULLS LAST, event_id LIMIT 100")(
     lambda e: top_k(e.select("event_id", F.when(F.col("event_type") != "view", F.col("value")).alias("v")), [F.col("v").desc_nulls_last(), F.asc("event_id")], 100))
 check("t5_page", O, oracle="SELECT o_orderkey, o_orderdate, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS total FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderdate DESC, o_orderkey LIMIT 20 OFFSET 40")(

@@ -9,7 +9,8 @@ declare(
     marketing_events="""SELECT event_id, user_id, 'c' || user_id % 6 AS campaign_id, CASE WHEN user_id % 3 = 0 THEN 'email' ELSE 'social' END AS channel_type,
         CASE event_type WHEN 'view' THEN 'impression' WHEN 'click' THEN 'click' WHEN 'purchase' THEN 'conversion' ELSE event_type END AS event_type,
         CAST(value AS DECIMAL(18,2)) AS amount, 'src' || user_id % 2 AS utm_source, 'med' || event_id % 2 AS utm_medium,
-        CASE WHEN event_id % 5 > 0 THEN 'v' || event_id % 5 END AS variant_id, ts AS timestamp FROM {events}""",
+        CASE WHEN event_id % 5 > 0 THEN 'v' || event_id % 5 END AS variant_id, ts AS timestamp
+        FROM (SELECT * FROM {events} UNION ALL SELECT * FROM {events} WHERE value > 50)""",
     campaigns="""SELECT 'c' || n_nationkey AS campaign_id, n_name AS campaign_name,
         CASE WHEN n_nationkey % 2 = 0 THEN 'ab_test' ELSE 'brand' END AS campaign_type FROM {nation}""",
     variants="""SELECT 'v' || r_regionkey AS variant_id, r_name AS variant_name,
@@ -17,14 +18,15 @@ declare(
 )
 
 _WIN = "time_bucket(INTERVAL '1 day', timestamp) AS window_start, window_start + INTERVAL 1 DAY AS window_end"
-_FUNNEL = """count(*) FILTER (event_type = 'impression') AS impressions, count(*) FILTER (event_type = 'click') AS clicks,
-    count(*) FILTER (event_type = 'conversion') AS conversions,
+# Some events arrive twice: counts are of different events, sums of all rows.
+_FUNNEL = """count(DISTINCT event_id) FILTER (event_type = 'impression') AS impressions, count(DISTINCT event_id) FILTER (event_type = 'click') AS clicks,
+    count(DISTINCT event_id) FILTER (event_type = 'conversion') AS conversions,
     coalesce(sum(amount) FILTER (event_type = 'conversion'), 0)::DOUBLE AS revenue"""
 _PERF = f"""SELECT {_WIN}, campaign_id, campaign_name, campaign_type, {_FUNNEL},
     clicks::DOUBLE / nullif(impressions, 0) AS ctr, conversions::DOUBLE / nullif(clicks, 0) AS conversion_rate
     FROM marketing_events JOIN campaigns USING (campaign_id) GROUP BY ALL"""
 _CHANNEL = f"""SELECT {_WIN}, channel_type, utm_source, utm_medium, count(DISTINCT user_id) AS unique_users,
-    count(*) FILTER (event_type = 'conversion') AS conversions, coalesce(sum(amount) FILTER (event_type = 'conversion'), 0)::DOUBLE AS revenue,
+    count(DISTINCT event_id) FILTER (event_type = 'conversion') AS conversions, coalesce(sum(amount) FILTER (event_type = 'conversion'), 0)::DOUBLE AS revenue,
     revenue / nullif(conversions, 0) AS avg_order_value FROM marketing_events GROUP BY ALL"""
 _AB = f"""SELECT {_WIN}, campaign_id, campaign_name, variant_name, variant_type, {_FUNNEL},
     conversions::DOUBLE / nullif(clicks, 0) AS conversion_rate

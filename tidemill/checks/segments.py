@@ -7,7 +7,7 @@ declare(
     shop_events="""SELECT 'u' || user_id AS user_id, event_id, CASE event_type WHEN 'signup' THEN 'cart' WHEN 'click' THEN 'cart' WHEN 'error' THEN 'view' ELSE event_type END AS event_type,
         value AS price, ts - CAST(user_id % 4 AS INT) * INTERVAL '20' DAY AS event_time FROM {events}""",
     shop_orders="""SELECT o_orderkey AS order_id, 'u' || o_custkey AS user_id, CASE o_orderstatus WHEN 'P' THEN 'open' ELSE 'completed' END AS order_status,
-        floor(o_totalprice / 800) AS price, o_orderdate AS order_time FROM {orders}""",
+        floor(o_totalprice / 800) AS price, o_orderdate + CAST(o_orderkey % 24 AS INT) * INTERVAL '1' HOUR AS order_time FROM {orders}""",
 )
 
 _NOW = "TIMESTAMP '2024-01-31'"
@@ -21,8 +21,9 @@ def _steps(value: str, *bounds: object, op: str = ">=") -> str:
     return "CASE " + " ".join(f"WHEN {value} {op} {b} THEN {5 - i}" for i, b in enumerate(bounds)) + " ELSE 1 END"
 
 
-_SINCE = "date_diff('day', last_order_time, max_order_time)"
-_RFM = f"""SELECT user_id, {_steps(_SINCE, 3, 10, 30, 60, op='<=')} AS r_score,
+_SINCE = "(max_order_time - last_order_time)"
+_RECENT = [f"INTERVAL {days} DAY" for days in (3, 10, 30, 60)]
+_RFM = f"""SELECT user_id, {_steps(_SINCE, *_RECENT, op='<=')} AS r_score,
     {_steps('completed_orders', 15, 8, 5, 2)} AS f_score, {_steps('total_spent', 5000, 2500, 1000, 200)} AS m_score FROM ({_ORDERS})"""
 _BEHAVE = f"SELECT user_id, {_steps('view_count', 30, 15, 8, 2)} AS browse_score, {_steps('cart_count', 10, 7, 4, 2)} AS intent_score FROM ({_CLICKS})"
 _SEGMENTS = f"""SELECT user_id, browse_score, intent_score, coalesce(r_score, 1) AS r_score, coalesce(f_score, 1) AS f_score, coalesce(m_score, 1) AS m_score,

@@ -58,35 +58,23 @@ def zero_filled(agg: Column) -> Column:
     return F.coalesce(agg, F.lit(0))
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, into: str, bucket: float = 64.0) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, into: str, band: float = 0.02) -> DataFrame:
     """PERCENTILE_CONT(0.5) per key without gathering a key in one place.
 
-    Rows are first reduced to (key, value) counts.  Value buckets locate the
-    middle ranks; only the one or two buckets that hold them are ranked inside.
-    ``bucket`` is the width of a bucket in units of ``value``.
+    A quantile sketch per key, whose rank error is a hundredth of ``band``,
+    gives two borders around the median.  Values below them are only counted;
+    of those between them, about ``band`` of a key's values, the exact ranks are
+    taken.  The borders follow the data, whatever their spread.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_b", F.floor(F.col("_v") / F.lit(bucket)))
-    )
-    per_key = Window.partitionBy(*keys)
-    upto = per_key.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        counts.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-        .withColumn("_below", F.coalesce(F.sum("_bn").over(upto), F.lit(0)))
-        .withColumn("_total", F.sum("_bn").over(per_key))
-        .withColumn("_lo", F.expr("(_total - 1) div 2"))
-        .withColumn("_hi", F.expr("_total div 2"))
-        .filter("(_lo >= _below AND _lo < _below + _bn) OR (_hi >= _below AND _hi < _below + _bn)")
-        .drop("_bn", "_total")
-    )
-    inner = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        key_join(counts, buckets, [*keys, "_b"])
-        .withColumn("_from", F.col("_below") + F.coalesce(F.sum("_n").over(inner), F.lit(0)))
-    )
-    holds = lambda r: (F.col(r) >= F.col("_from")) & (F.col(r) < F.col("_from") + F.col("_n"))
+    v, low, high = F.col("_v"), F.col("_q")[0], F.col("_q")[1]
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    borders = rows.groupBy(*keys).agg(
+        F.percentile_approx("_v", [0.5 - band / 2, 0.5 + band / 2], int(100 / band)).alias("_q"), F.count(F.lit(1)).alias("_total"))
+    # One row for all values below the band (its _v is NULL, which sorts first), one per value inside.
+    counts = key_join(rows, borders, keys).filter(v <= high).groupBy(*keys, "_total", F.when(v >= low, v).alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("_from", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+    holds = lambda rank: (F.expr(rank) >= F.col("_from")) & (F.expr(rank) < F.col("_from") + F.col("_n"))
     return ranked.groupBy(*keys).agg(
-        ((F.max(F.when(holds("_lo"), F.col("_v"))) + F.max(F.when(holds("_hi"), F.col("_v")))) / 2).alias(into))
+        ((F.max(F.when(holds("(_total - 1) div 2"), v)) + F.max(F.when(holds("_total div 2"), v))) / 2).alias(into))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.scalar import moment, span
-from tidemill.operators import key_join, tumble
+from tidemill.operators import tumble
 
 # (batch, steps, features) -> (batch,) of scaled flow
 Model = Callable[[np.ndarray], np.ndarray]
@@ -45,8 +45,14 @@ def feature_ranges(features: DataFrame) -> DataFrame:
     return features.agg(*[f(c).alias(f"{n}_{c}") for c in FEATURES for n, f in (("lo", F.min), ("hi", F.max))])
 
 
+def _bounds(column: str, ranges: DataFrame) -> tuple[Column, Column]:
+    """Minimum and maximum of a feature, from one scalar that all features share."""
+    both = ranges.select(F.struct(*ranges.columns)).scalar()
+    return both[f"lo_{column}"], both[f"hi_{column}"]
+
+
 def _scaled(column: str, ranges: DataFrame) -> Column:
-    low, high = (ranges.select(f"{n}_{column}").scalar() for n in ("lo", "hi"))
+    low, high = _bounds(column, ranges)
     # A constant feature scales to 0, as min-max scalers do; a missing value stays missing.
     scaled = F.coalesce(F.try_divide(F.col(column) - low, (high - low).cast("double")), F.lit(0.0))
     return F.when(F.col(column).isNotNull(), scaled)
@@ -79,8 +85,8 @@ def next_flow(recent: DataFrame, model: Model = mean_model, steps: int = 5) -> D
     """Predicted flow per road from its last ``steps`` windows; NULL where fewer are known.
 
     A road's sequence is one row with a bounded array, so the model runs on
-    Arrow batches of many roads in ``mapInPandas``; only the latest ``steps``
-    rows of a road are kept before they are gathered.
+    Arrow batches of many roads, in place; only the latest ``steps`` rows of a
+    road are kept before they are gathered.
     """
     ranges = feature_ranges(recent)
     newest = Window.partitionBy("road_id").orderBy(F.desc("window_start"))
@@ -91,20 +97,18 @@ def next_flow(recent: DataFrame, model: Model = mean_model, steps: int = 5) -> D
         "road_id", F.transform("_rows", lambda r: F.array(*[r[c] for c in FEATURES])).alias("x"),
         F.element_at("_rows", -1).alias("_last"))
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            whole = pdf["x"].map(lambda v: len(v) == steps and all(y is not None and not np.isnan(y) for s in v for y in s))
-            out = pd.Series(np.nan, index=pdf.index)
-            if whole.any():
-                batch = np.array([[list(s) for s in v] for v in pdf.loc[whole, "x"]], dtype="float64")
-                out[whole] = model(batch)
-            yield pd.DataFrame({"road_id": pdf["road_id"], "_p": out.astype(object).where(out.notna(), None)})
-
-    scored = roads.select("road_id", "x").mapInPandas(score, "road_id string, _p double")
-    low, high = (ranges.select(f"{n}_vehicle_count").scalar() for n in ("lo", "hi"))
-    return key_join(roads.select("road_id", "_last.*"), scored, ["road_id"], "left").select(
-        "road_id", F.col("window_start").alias("datetime"), F.col("_flow").alias("traffic_flow"),
-        F.col("_speed").alias("avg_speed_kph"), (F.col("_p") * (high - low) + low).alias("predicted_flow_next_minute"))
+    def predict(x: pd.Series) -> pd.Series:
+        whole = x.map(lambda v: len(v) == steps and all(y is not None and not np.isnan(y) for s in v for y in s))
+        out = pd.Series(np.nan, index=x.index)
+        if whole.any():
+            out[whole] = model(np.array([[list(s) for s in v] for v in x[whole]], dtype="float64"))
+        return out
+
+    low, high = _bounds("vehicle_count", ranges)
+    guess = F.pandas_udf(predict, "double")("x")
+    return roads.select(
+        "road_id", F.col("_last.window_start").alias("datetime"), F.col("_last._flow").alias("traffic_flow"),
+        F.col("_last._speed").alias("avg_speed_kph"), (guess * (high - low) + low).alias("predicted_flow_next_minute"))
 
 
 def forecast_errors(pairs: DataFrame, actual: str, predicted: str) -> DataFrame:
