@@ -10,8 +10,8 @@ declare(
         CASE WHEN event_type = 'purchase' THEN CAST(floor(value) AS DOUBLE) END AS revenue_usd, ts + INTERVAL '1' SECOND AS ingested_at FROM {events}""",
     click_users="""SELECT c_custkey AS user_id, c_name AS full_name, 'N' || c_nationkey AS country, c_acctbal > 3000 AS marketing_opt_in, TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {customer}
         UNION ALL SELECT c_custkey, c_name || '!', 'M' || c_nationkey, c_acctbal > 5000, TIMESTAMP '2024-01-02 00:00:00' FROM {customer} WHERE c_custkey % 3 = 0""",
-    click_sessions="""SELECT 's' || c_custkey AS session_id, c_custkey AS user_id, 'd' || c_custkey % 30 AS device_id, TIMESTAMP '2024-01-01 00:00:00' AS session_start, 'city' || c_custkey % 9 AS geo_city,
-        'g' || c_custkey % 4 AS geo_region, TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {customer} WHERE c_custkey % 10 > 0""",
+    click_sessions="""SELECT CASE WHEN c_custkey % 10 = 0 THEN 'x' ELSE 's' END || c_custkey AS session_id, c_custkey AS user_id, 'd' || c_custkey % 30 AS device_id, TIMESTAMP '2024-01-01 00:00:00' AS session_start, 'city' || c_custkey % 9 AS geo_city,
+        'g' || c_custkey % 4 AS geo_region, TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {customer}""",
     click_devices="""SELECT 'd' || n_nationkey AS device_id, CASE WHEN n_nationkey % 3 = 0 THEN 'mobile' ELSE 'desktop' END AS device_type, 'os' || n_nationkey % 4 AS os, 'b' || n_nationkey % 5 AS browser,
         TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {nation}""",
     click_pages="""SELECT 'http://p/' || p_partkey AS page_url, p_type AS page_category, p_partkey AS product_id, p_brand AS product_category, TIMESTAMP '2024-01-01 00:00:00' AS ingested_at FROM {part}""",

@@ -6,8 +6,8 @@ from tidemill.checks.harness import check, declare
 from tidemill.plans import energy as e
 
 declare(
-    consumption="SELECT user_id AS meter_id, ts AS consumption_time, CAST(floor(value) AS DOUBLE) AS energy_consumed FROM {events} WHERE event_type <> 'view'",
-    production="SELECT user_id AS meter_id, ts AS production_time, CAST(event_id % 9 AS DOUBLE) AS energy_produced FROM {events} WHERE event_type IN ('view', 'click')",
+    consumption="SELECT user_id + CASE WHEN event_type = 'view' THEN 1000000000 ELSE 0 END AS meter_id, ts AS consumption_time, CAST(floor(value) AS DOUBLE) AS energy_consumed FROM {events}",
+    production="SELECT user_id + CASE WHEN event_type IN ('view', 'click') THEN 0 ELSE 2000000000 END AS meter_id, ts AS production_time, CAST(event_id % 9 AS DOUBLE) AS energy_produced FROM {events}",
     households="SELECT c_custkey AS customer_id, c_custkey AS meter_id, CASE WHEN c_custkey % 2 = 0 THEN 'tier' ELSE 'time of use' END AS price_plan FROM {customer}",
 )
 

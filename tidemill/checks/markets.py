@@ -8,9 +8,9 @@ from tidemill.plans import markets as m
 declare(
     ticks="""SELECT user_id AS asset_id, ts AS timestamp, floor(value) + 10.0E0 AS price, event_id % 90 AS volume,
                floor(value) + 9.0E0 AS bid_price, floor(value) + 10.0E0 + event_id % 4 AS ask_price FROM {events}""",
-    sector_context="""SELECT user_id AS asset_id, ts + INTERVAL '5' MINUTE AS timestamp, event_type AS sector,
+    sector_context="""SELECT user_id + CASE WHEN event_type = 'error' THEN 1000000000 ELSE 0 END AS asset_id, ts + INTERVAL '5' MINUTE AS timestamp, event_type AS sector,
                CAST(event_id % 13 AS DOUBLE) AS sector_performance, CAST(event_id % 7 AS DOUBLE) AS sentiment_score
-               FROM {events} WHERE event_type <> 'error'""",
+               FROM {events}""",
     trades="""SELECT event_id AS trade_id, user_id % 20 AS asset_id, ts AS timestamp, value AS price,
                 CAST(floor(value) AS BIGINT) AS volume FROM {events}""",
     quotes="""SELECT user_id % 20 AS asset_id, ts AS timestamp, floor(value) + 5.0E0 AS price, 1.0E0 * (event_id % 3) AS bid_price,

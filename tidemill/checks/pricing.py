@@ -9,13 +9,13 @@ declare(
         CAST(p_retailprice AS DECIMAL(10,2)) AS base_price FROM {part}""",
     purchases="""SELECT l_partkey AS product_id, l_shipdate + (l_orderkey % 1440) * INTERVAL '1' MINUTE AS purchase_time,
         CAST(l_quantity AS BIGINT) AS quantity_purchased, l_orderkey AS customer_id FROM {lineitem} WHERE l_returnflag <> 'R'""",
-    restocks="""SELECT l_partkey AS product_id, l_shipdate + (l_orderkey % 1440) * INTERVAL '1' MINUTE AS restock_time,
-        CAST(l_quantity AS BIGINT) * 2 AS quantity_restocked FROM {lineitem} WHERE l_returnflag = 'R' AND l_partkey % 9 > 0""",
+    restocks="""SELECT CASE WHEN l_partkey % 9 = 0 THEN -l_partkey ELSE l_partkey END AS product_id, l_shipdate + (l_orderkey % 1440) * INTERVAL '1' MINUTE AS restock_time,
+        CAST(l_quantity AS BIGINT) * 2 AS quantity_restocked FROM {lineitem} WHERE l_returnflag = 'R'""",
     web_clicks="""SELECT l_partkey AS product_id, l_shipdate + (l_suppkey % 24) * INTERVAL '1' HOUR AS event_time, l_linestatus AS event_type FROM {lineitem}""",
-    offers="""SELECT l_partkey AS product_id, 'k' || l_suppkey % 4 AS competitor, CAST(900 + floor((l_extendedprice / l_quantity) / 20) AS DECIMAL(12,2)) AS competitor_price,
-        l_shipdate AS ts FROM {lineitem} WHERE l_partkey % 5 > 0""",
+    offers="""SELECT CASE WHEN l_partkey % 5 = 0 THEN -l_partkey ELSE l_partkey END AS product_id, 'k' || l_suppkey % 4 AS competitor, CAST(900 + floor((l_extendedprice / l_quantity) / 20) AS DECIMAL(12,2)) AS competitor_price,
+        l_shipdate AS ts FROM {lineitem}""",
     product_orders="""SELECT l_orderkey AS order_id, l_partkey AS product_id, l_shipdate + INTERVAL '12' HOUR AS order_time,
-        CAST(l_quantity AS BIGINT) AS quantity FROM {lineitem} WHERE l_linestatus = 'O'""",
+        CAST(l_quantity AS BIGINT) AS quantity FROM {lineitem}""",
 )
 
 _DELTAS = """SELECT product_id, window_start, coalesce(sum(b), 0)::BIGINT AS total_purchased, coalesce(sum(r), 0)::BIGINT AS total_restocked FROM (

@@ -6,7 +6,7 @@ from tidemill.checks.harness import check, declare
 from tidemill.plans import sales as s
 
 declare(
-    products="SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand, p_type AS category FROM {part} WHERE p_size > 3",
+    products="SELECT CASE WHEN p_size > 3 THEN p_partkey ELSE -p_partkey END AS product_id, p_name AS product_name, p_brand AS brand, p_type AS category FROM {part}",
     item_sales="""SELECT l_orderkey AS sale_id, l_orderkey % 900 AS user_id, l_partkey AS product_id, l_shipdate + (l_orderkey % 24) * INTERVAL '1' HOUR AS sale_timestamp,
         CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS total_price FROM {lineitem}""",
     logins="""SELECT c_custkey AS user_id, c_name AS username, c_mktsegment AS email, TIMESTAMP '2024-01-01 00:00:00' + (c_custkey * 37) * INTERVAL '1' MINUTE AS last_login FROM {customer}""",

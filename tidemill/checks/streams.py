@@ -142,8 +142,10 @@ def _broken_lines(spark, e):
 
 check("s12_ndjson_with_broken_lines", E, wants_spark=True, oracle="""SELECT if(event_id % 10 > 0, event_id, NULL) AS event_id, if(event_id % 10 > 0, event_type, NULL) AS event_type,
     if(event_id % 10 = 0, '{oops ' || event_id, NULL) AS _corrupt_record FROM events""")(lambda spark, sf, e: _broken_lines(spark, e))
-declare(file_versions="SELECT 'doc' || doc_id AS file_name, '# ' || text AS content, doc_id AS version FROM {documents} WHERE lang = 'fr' UNION ALL SELECT 'doc' || doc_id, '## ' || text, doc_id + 1 FROM {documents} WHERE lang = 'fr'")
-check("s13_upsert_by_path", "files", "file_versions", oracle="SELECT 'doc' || doc_id AS file_name, if(lang = 'fr', '## ', '') || text AS content, if(lang = 'fr', doc_id + 1, 0) AS version FROM documents")(
+declare(file_versions="""SELECT CASE WHEN lang = 'fr' THEN 'doc' ELSE 'new' END || doc_id AS file_name, '# ' || text AS content, doc_id AS version FROM {documents}
+    UNION ALL SELECT CASE WHEN lang = 'fr' THEN 'doc' ELSE 'new' END || doc_id, '## ' || text, doc_id + 1 FROM {documents}""")
+check("s13_upsert_by_path", "files", "file_versions", oracle="""SELECT 'doc' || doc_id AS file_name, if(lang = 'fr', '## ', '') || text AS content, if(lang = 'fr', doc_id + 1, 0) AS version FROM documents
+    UNION ALL SELECT 'new' || doc_id, '## ' || text, doc_id + 1 FROM documents WHERE lang IS DISTINCT FROM 'fr'""")(
     lambda f, v: upsert(f.withColumn("version", F.lit(0).cast("bigint")), v, ["file_name"], ["version"]))
 
 

@@ -7,7 +7,7 @@ from tidemill.plans import traffic as t
 
 declare(
     sensors="SELECT ts AS timestamp_entry, 'R' || user_id % 20 AS road_id FROM {events}",
-    cameras="SELECT ts AS timestamp, 'R' || user_id % 20 AS road_id, CAST(floor(value) AS DOUBLE) AS vehicle_speed_kph FROM {events} WHERE event_type <> 'click'",
+    cameras="SELECT ts AS timestamp, CASE WHEN event_type = 'click' THEN 'S' ELSE 'R' END || user_id % 20 AS road_id, CAST(floor(value) AS DOUBLE) AS vehicle_speed_kph FROM {events}",
     flow="""SELECT 'R' || user_id % 20 AS road_id, ts AS datetime, CAST(floor(value) AS DOUBLE) AS avg_speed_kph, CAST(event_id % 50 AS DOUBLE) AS traffic_flow,
               CASE WHEN event_id % 4 > 0 THEN CAST(event_id % 47 AS DOUBLE) END AS predicted_flow_next_minute FROM {events}""",
 )

@@ -11,8 +11,8 @@ declare(
     members="""SELECT c_custkey AS id, c_name AS name, 18 + c_custkey % 50 AS age, 'city ' || c_nationkey AS city FROM {customer}""",
     user_actions="""SELECT ts AS action_time, user_id, event_type AS page_id, CASE WHEN value > 5 THEN event_type END AS action
                     FROM {events}""",
-    user_names="""SELECT c_custkey AS user_id, c_name AS first_name, c_mktsegment AS last_name, 18 + c_custkey % 50 AS age
-                  FROM {customer} WHERE c_acctbal > 0""",
+    user_names="""SELECT CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey END AS user_id, c_name AS first_name, c_mktsegment AS last_name, 18 + c_custkey % 50 AS age
+                  FROM {customer}""",
     web_logs="""SELECT ts AS request_timestamp, 'u' || user_id AS username, CAST(floor(value) AS BIGINT) AS response_time,
                   CASE WHEN event_type = 'error' THEN 400 + user_id % 5 ELSE 200 + event_id % 3 END AS status_code,
                   CASE event_type WHEN 'signup' THEN 'login' WHEN 'purchase' THEN 'submit_form' WHEN 'view' THEN 'view_page'
