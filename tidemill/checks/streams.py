@@ -29,9 +29,9 @@ FILES = 3
 
 @contextmanager
 def small_state(spark):
-    """As many state partitions as tasks run at once: a replay is a few short batches, and each opens every partition."""
+    """A state partition for two cores, whatever the master: a replay is a few short batches, and each opens every partition."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), spark.sparkContext.defaultParallelism)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(before), max(1, spark.sparkContext.defaultParallelism // 2))))
     try:
         yield
     finally:
