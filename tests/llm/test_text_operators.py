@@ -276,3 +276,34 @@ def test_empty_tables(spark):
     assert passages.repeated_passages(none).count() == 0
     assert mixing.mix(none, mixing.fit(none, labels), {"a": 1.0}).count() == 0
     assert toxicity.score(none, toxic_chain(none, labels)).count() == 0
+
+
+def line_passages(rng, lines, size):
+    """Documents of single lines first, then lines between, then two documents that share the passage of them all."""
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(20_000)]
+    fresh = lambda n: rng.choices(vocabulary, k=n)
+    parts = [fresh(size) for _ in range(lines)]
+    passage = [w for p in parts for w in p]
+    alone = [[*fresh(40), *p, *fresh(40)] for p in parts]
+    return [*alone, [*fresh(50), *passage, *fresh(50)], *[[*fresh(30), *p, *fresh(30)] for p in parts], [*fresh(70), *passage, *fresh(20)]]
+
+
+@pytest.mark.parametrize(("lines", "size"), [(2, 30), (3, 20), (3, 30), (3, 45)])
+def test_passages_of_lines_that_occur_singly_before(spark, lines, size):
+    rng, rows, wanted = random.Random(5), [], set()
+    for case in range(12):
+        texts = line_passages(rng, lines, size)
+        at = case * 100
+        rows += [(at + i, " ".join(t)) for i, t in enumerate(texts)]
+        wanted.add((at + len(texts) - 1, at + lines, 70, 70 + lines * size))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["id"], r["ref_id"], r["start"], r["end"]) for r in passages.repeated_passages(docs).collect()}
+    assert wanted <= got
+
+
+def test_links_go_over_the_borders_of_tasks(spark):
+    every = spark.createDataFrame([(h, i, 3 * i + p, False) for h, n in ((1, 400), (2, 1), (3, 90), (9, 2)) for i in range(n)
+                                   for p in range(2)], "hash long, id long, pos int, wide boolean")
+    got = sorted(tuple(r)[:4] for r in passages.links(every).collect())
+    want = [(i, ref, 3 * i + p, 3 * ref) for n in (400, 90, 2) for i in range(1, n) for p in range(2) for ref in {0, i - 1}]
+    assert got == sorted(want)
