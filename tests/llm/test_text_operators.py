@@ -307,3 +307,27 @@ def test_links_go_over_the_borders_of_tasks(spark):
     got = sorted(tuple(r)[:4] for r in passages.links(every).collect())
     want = [(i, ref, 3 * i + p, 3 * ref) for n in (400, 90, 2) for i in range(1, n) for p in range(2) for ref in {0, i - 1}]
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("even", [True, False])
+def test_fuzzy_passages_down_to_the_identity(spark, even):
+    """Every planted pair whose words, compared place by place, are alike enough is found."""
+    rng, rows, wanted = random.Random(3), [], {}
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(20_000)]
+    fresh = lambda n: rng.choices(vocabulary, k=n)
+    for case in range(80):
+        identity = (0.8, 0.85, 0.9, 0.95)[case % 4]
+        passage, n = fresh(60), round(60 * (1 - identity))
+        at = {int((i + 0.5) * 60 / n) for i in range(n)} if even else set(rng.sample(range(2, 58), n))
+        other = [f"new{i}" if i in at else w for i, w in enumerate(passage)]
+        rows += [(2 * case, " ".join([*fresh(40), *passage, *fresh(40)])), (2 * case + 1, " ".join([*fresh(30), *other, *fresh(50)]))]
+        wanted[2 * case + 1, 2 * case] = sum(x == y for x, y in zip(passage, other)) / 60
+    assert min(wanted.values()) >= 0.8
+    got = {(r["id"], r["ref_id"]) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {pair: alike for pair, alike in wanted.items() if pair not in got} == {}
+
+
+def test_passage_ends_are_aligned_with_gaps():
+    a = np.arange(60)
+    b = np.concatenate((a[:10], [900], a[10:30], a[31:]))
+    assert passages.align(a, b, [(12, 13)], 4)[:4] == (0, 60, 0, 60)
