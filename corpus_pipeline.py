@@ -15,6 +15,7 @@ from tidemill.llm.queries import MODEL_FILE, labelled_domains, table, toxic_chai
 from tidemill.session import stored, tune
 
 ROW = "carried_row"
+KEY = "dedup_key"
 
 
 def _carried(docs: DataFrame) -> DataFrame:
@@ -30,11 +31,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group the document of smallest doc_id, once; rows without a doc_id stay as they are."""
-    found = simhash.near_duplicates(docs, width=3, distance=3)
-    kept = found.where("id = component").select(F.col("id").alias("doc_id")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """Of each SimHash group one row, that of smallest doc_id, a null one last; rows go by doc_id and text."""
+    keyed = docs.withColumn(KEY, F.xxhash64("doc_id", F.col("text").cast("string")))
+    found = simhash.near_duplicates(keyed, id_col=KEY, width=3, distance=3).select(F.col("id").alias(KEY), "component").distinct()
+    named = keyed.select(KEY, "doc_id").distinct().join(found, KEY)
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", KEY))[KEY]
+    kept = named.groupBy("component").agg(best.alias(KEY)).select(KEY)
+    return keyed.join(kept, KEY, "left_semi").dropDuplicates([KEY]).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,3 +188,14 @@ def test_pipeline_stages(spark, sf):
     assert pipeline.STAGES[-1][1](spark, docs, sf).where("round_trip = false").count() == 0
     for name, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf).count() == 0, name
+
+
+def test_near_duplicates_go_by_row(spark, sf):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(2)
+    one, two, three = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(80)) for _ in range(3))
+    rows = [(5, one), (5, two), (4, one), (6, two), (6, two), *[(None, three)] * 40, (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in pipeline.drop_near_duplicates(spark, docs, sf).collect()), key=str)
+    assert got == sorted([(4, one), (5, two), (None, three)], key=str)
