@@ -101,7 +101,8 @@ def _added(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return []
     out = []
-    for m in _IBAN.finditer(text):
+    m = _IBAN.search(text)
+    while m:
         code = m.group().replace(" ", "")
         # A following capital word may have been taken in: shorter cuts at a space are tried too.
         cut = m.end()
@@ -110,8 +111,11 @@ def _added(text: str) -> list[tuple[str, int, int]]:
             if cut < 0:
                 break
             code = text[m.start():cut].replace(" ", "")
-        if cut > 0 and 15 <= len(code) <= 34 and mod97(code):
+        found = cut > 0 and 15 <= len(code) <= 34 and mod97(code)
+        if found:
             out.append(("iban", m.start(), cut))
+        # What the match took in beyond the cut, or after a code that fails, may hold another.
+        m = _IBAN.search(text, cut if found else m.start() + 1)
     if "(" in text:
         out += [("local_phone", *m.span()) for m in _LOCAL_PHONE.finditer(text)]
     if "-" in text:
@@ -133,7 +137,8 @@ def find_spans(text: str | None, threshold: float = 0.5) -> list[Span]:
     """All spans of a text by kind, then start.
 
     Base kinds stay whatever their score.  Added kinds stay from ``threshold``
-    on, and only where they do not lie on a base span.
+    on, and only where they do not lie on a base span; an iban, whose own check
+    holds, stays beside one.
     """
     if not text:
         return []
@@ -141,7 +146,7 @@ def find_spans(text: str | None, threshold: float = 0.5) -> list[Span]:
     out = [Span(k, s, e, scored(text, k, s, e)) for k, s, e in base]
     taken = [(s, e) for _, s, e in base]
     for kind, s, e in _added(text):
-        if any(s < y and x < e for x, y in taken):
+        if kind != "iban" and any(s < y and x < e for x, y in taken):
             continue
         score = scored(text, kind, s, e)
         if score >= threshold:
