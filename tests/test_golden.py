@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.functions.text import lexicon_scorer
 from tidemill.operators.changes import upsert
 from tidemill.plans import corpus, mirrors, web
 from tidemill.sources import decode
@@ -86,14 +87,18 @@ def test_order_documents(spark):
 @pytest.mark.parametrize("score, signal", [(0.0, "HOLD"), (0.05, "HOLD"), (-0.05, "HOLD"), (0.3182, "BUY"), (-0.6369, "SELL"), (0.0501, "BUY")])
 def test_signal_thresholds(spark, score, signal):
     news = spark.createDataFrame([("some headline",), (None,)], "headline string")
-    got = {r.headline: (r.sentiment_score, r.signal) for r in corpus.headline_signals(news, lambda text: score).collect()}
+    got = {r.headline: (r.sentiment_score, r.signal) for r in corpus.headline_signals(news, lambda texts: [score] * len(texts)).collect()}
     assert got == {"some headline": (score, signal), None: (0.0, "HOLD")}
 
 
 def test_default_lexicon_signs(spark):
     news = spark.createDataFrame([("Ethereum surges 10% following successful network upgrade",), ("Major crypto exchange hacked, thousands of wallets drained",),
                                   ("Blockchain association releases annual transparency report",)], "headline string")
-    assert [r.signal for r in corpus.headline_signals(news).select("signal").collect()] == ["BUY", "SELL", "HOLD"]
+    lexicon = {"surges": 2.0, "successful": 2.0, "hacked": -2.5, "drained": -2.0}
+    for scorer in (lexicon, lexicon_scorer(lexicon)):
+        got = corpus.headline_signals(news, scorer).collect()
+        assert [r.signal for r in got] == ["BUY", "SELL", "HOLD"]
+        assert all(-1 <= r.sentiment_score <= 1 for r in got)
 
 
 def test_undeclared_and_missing_fields(spark):
