@@ -7,5 +7,5 @@ from tidemill.operators.joins import (  # noqa: F401
     asof_join, band_join, band_totals, in_window_counts, net_of_sums, windows_holding,
 )
 from tidemill.operators.keyed import key_join  # noqa: F401
-from tidemill.operators.latest import earliest_by, latest_by, page, top_k, top_n  # noqa: F401
+from tidemill.operators.latest import earliest_by, latest_by, ordering, page, precedes, top_k, top_n  # noqa: F401
 from tidemill.operators.windows import hop, tumble  # noqa: F401

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +50,23 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def ordering(order: Sequence[tuple[str, bool]]) -> list[Column]:
+    """Sort columns from (name, ascending) pairs; NULL comes first ascending and last descending, as Spark sorts."""
+    return [F.asc(c) if up else F.desc(c) for c, up in order]
+
+
+def precedes(order: Sequence[tuple[str, bool]], left: Callable[[str], Column], right: Callable[[str], Column]) -> Column:
+    """Whether the left row comes strictly before the right one in ``ordering(order)``."""
+    before, equal = F.lit(False), F.lit(True)
+    for name, up in order:
+        a, b = left(name), right(name)
+        low, high = (a, b) if up else (b, a)
+        # NULL sorts below every value.
+        less = F.coalesce(low < high, low.isNull() & high.isNotNull())
+        before, equal = before | (equal & less), equal & a.eqNullSafe(b)
+    return before
+
+
 def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0) -> DataFrame:
     """One page of a sorted result, with the total row count on every row."""
     total = df.agg(F.count(F.lit(1)).alias("total"))

@@ -125,12 +125,20 @@ CONGESTION_SLOWDOWN = 0.6  # fixed value: share of speed lost at full congestion
 
 def order_eta(updates: DataFrame, gps: DataFrame, traffic: DataFrame) -> DataFrame:
     """Distance, effective speed, arrival time and delay of every order, from the latest reports."""
-    cells = latest_traffic(traffic).select(
-        "grid_id", "region_id", F.col("congestion").alias("_cong"), F.col("traffic_speed_kmh").alias("_flow"))
-    vehicles = latest_vehicles(gps).select(
-        "vehicle_id", F.col("lat").alias("vehicle_lat"), F.col("lon").alias("vehicle_lon"),
-        F.col("speed_kmh").alias("vehicle_speed_kmh"), "gps_ts", "grid_id")
-    joined = latest_orders(updates).join(vehicles, "vehicle_id").join(cells, "grid_id", "left").withColumns({
+    return eta_in_traffic(orders_on_vehicles(latest_orders(updates), latest_vehicles(gps)), latest_traffic(traffic))
+
+
+def orders_on_vehicles(orders: DataFrame, vehicles: DataFrame) -> DataFrame:
+    """Current orders beside the position of their vehicle."""
+    where = vehicles.select("vehicle_id", F.col("lat").alias("vehicle_lat"), F.col("lon").alias("vehicle_lon"),
+                            F.col("speed_kmh").alias("vehicle_speed_kmh"), "gps_ts", "grid_id")
+    return orders.select("order_id", "vehicle_id", "status", "dest_lat", "dest_lon", "promised_ts", "updated_at").join(where, "vehicle_id")
+
+
+def eta_in_traffic(placed: DataFrame, cells: DataFrame) -> DataFrame:
+    """Arrival of placed orders, slowed by the traffic of the vehicle's cell."""
+    flow = cells.select("grid_id", "region_id", F.col("congestion").alias("_cong"), F.col("traffic_speed_kmh").alias("_flow"))
+    joined = placed.join(flow, "grid_id", "left").withColumns({
         "congestion": F.coalesce("_cong", F.lit(0.0)),
         "traffic_speed_kmh": F.coalesce("_flow", "vehicle_speed_kmh"),
     })

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.scalar import ratio
-from tidemill.operators import net_of_sums, top_k, tumble
+from tidemill.operators import net_of_sums, ordering, top_k, tumble
 
 
 def sales_per_window(sales: DataFrame, products: DataFrame, size: str = "1 minute") -> DataFrame:
@@ -24,22 +24,42 @@ def active_users(users: DataFrame, size: str = "1 minute") -> DataFrame:
         F.count_distinct("user_id").alias("total_active_users"))
 
 
+def product_windows(sales: DataFrame, products: DataFrame, size: str = "1 minute") -> DataFrame:
+    """Units per product and window, with the product's names."""
+    sold = tumble(sales, "sale_timestamp", size).groupBy("product_id", "window_start", "window_end").agg(
+        F.sum("quantity").alias("units"))
+    return sold.join(products.select("product_id", "category", "product_name"), "product_id")
+
+
+def named_windows(sold: DataFrame) -> DataFrame:
+    """Units per product name and window; products that share their names count as one."""
+    return sold.groupBy("category", "product_name", "window_start", "window_end").agg(F.sum("units").alias("total_quantity_sold"))
+
+
+#: Ranking of product windows: (column, ascending).
+PRODUCT_ORDER = (("total_quantity_sold", False), ("category", True), ("product_name", True), ("window_start", True))
+
+
 def top_products(sales: DataFrame, products: DataFrame, size: str = "1 minute", n: int = 5) -> DataFrame:
     """The ``n`` best windows of a product by units; names, then window, settle ties."""
-    sold = tumble(sales, "sale_timestamp", size).groupBy("product_id", "window_start", "window_end").agg(
-        F.sum("quantity").alias("_units"))
-    named = sold.join(products.select("product_id", "category", "product_name"), "product_id").groupBy(
-        "category", "product_name", "window_start", "window_end").agg(F.sum("_units").alias("total_quantity_sold"))
-    return top_k(named, [F.desc("total_quantity_sold"), F.asc("category"), F.asc("product_name"), F.asc("window_start")], n)
+    return top_k(named_windows(product_windows(sales, products, size)), ordering(PRODUCT_ORDER), n)
 
 
-def top_spenders(users: DataFrame, sales: DataFrame, size: str = "1 minute", n: int = 10) -> DataFrame:
-    """The ``n`` users who spent most, with the window of their last login."""
+def spending(users: DataFrame, sales: DataFrame, size: str = "1 minute") -> DataFrame:
+    """What each user spent, with the window of the last login."""
     spent = sales.groupBy("user_id").agg(F.sum("total_price").alias("_spent"))
     seen = tumble(users, "last_login", size).select("user_id", "username", "email", "window_start", "window_end")
-    total = seen.join(spent, "user_id").groupBy("user_id", "username", "email", "window_start", "window_end").agg(
+    return seen.join(spent, "user_id").groupBy("user_id", "username", "email", "window_start", "window_end").agg(
         F.sum("_spent").alias("total_spent"))
-    return top_k(total, [F.desc("total_spent"), F.asc("user_id")], n)
+
+
+#: Ranking of users: (column, ascending).
+SPENDER_ORDER = (("total_spent", False), ("user_id", True))
+
+
+def top_spenders(users: DataFrame, sales: DataFrame, size: str = "1 minute", n: int = 10) -> DataFrame:
+    """The ``n`` users who spent most, with the window of their last login."""
+    return top_k(spending(users, sales, size), ordering(SPENDER_ORDER), n)
 
 
 # -- two purchase streams ----------------------------------------------------------------------

@@ -24,25 +24,33 @@ def click_behaviour(events: DataFrame, as_of: Column | str | None = None, months
         *[count_where(kind == k).alias(f"{k}_count") for k in ("view", "cart", "purchase")])
 
 
-def order_behaviour(orders: DataFrame) -> DataFrame:
-    """Order totals per user beside the latest order time of all users (a scalar subquery)."""
-    newest = orders.agg(F.max("order_time"))
+def user_orders(orders: DataFrame) -> DataFrame:
+    """Order totals and the last order of each user."""
     return orders.groupBy("user_id").agg(
         count_where(F.col("order_status") == "completed").alias("completed_orders"),
-        F.sum("price").alias("total_spent"), F.max("order_time").alias("last_order_time"),
-    ).withColumn("max_order_time", newest.scalar())
+        F.sum("price").alias("total_spent"), F.max("order_time").alias("last_order_time"))
 
 
-def rfm_scores(orders: DataFrame) -> DataFrame:
-    """Recency, frequency and monetary scores, 1 to 5."""
+def order_behaviour(orders: DataFrame) -> DataFrame:
+    """Order totals per user beside the latest order time of all users (a scalar subquery)."""
+    return user_orders(orders).withColumn("max_order_time", orders.agg(F.max("order_time")).scalar())
+
+
+def rfm_points(behaviour: DataFrame, *carried: str) -> DataFrame:
+    """Recency, frequency and monetary scores, 1 to 5, of order behaviour; ``carried`` columns go along."""
     idle = F.col("max_order_time") - F.col("last_order_time")
-    return order_behaviour(orders).select(
-        "user_id",
+    return behaviour.select(
+        *carried, "user_id",
         step_score(idle, [(span(limit), points) for limit, points in RECENCY_STEPS], descending=True).alias("r_score"),
         step_score("completed_orders", FREQUENCY_STEPS).alias("f_score"),
         step_score("total_spent", MONETARY_STEPS).alias("m_score"))
 
 
+def rfm_scores(orders: DataFrame) -> DataFrame:
+    """Recency, frequency and monetary scores per user."""
+    return rfm_points(order_behaviour(orders))
+
+
 def behaviour_scores(events: DataFrame, as_of: Column | str | None = None) -> DataFrame:
     return click_behaviour(events, as_of).select(
         "user_id", step_score("view_count", BROWSE_STEPS).alias("browse_score"),
@@ -50,7 +58,12 @@ def behaviour_scores(events: DataFrame, as_of: Column | str | None = None) -> Da
 
 
 def customer_segments(events: DataFrame, orders: DataFrame, as_of: Column | str | None = None) -> DataFrame:
-    """Segment per active user.
+    """Segment per active user, from clicks and orders."""
+    return segments_of(events, rfm_scores(orders), as_of)
+
+
+def segments_of(events: DataFrame, scores: DataFrame, as_of: Column | str | None = None) -> DataFrame:
+    """Segment per active user, from clicks and RFM scores.
 
     Users without orders have no scores.  Some rules compare the raw score, so
     they fail on NULL; others read a missing score as 1.
@@ -66,7 +79,7 @@ def customer_segments(events: DataFrame, orders: DataFrame, as_of: Column | str
         ((r >= 2) & (f >= 2) & (m >= 2), "AVERAGE_ACTIVE"),
         (low_r & low_f, "CHURNED"),
     ]
-    scores = rfm_scores(orders).withColumnsRenamed({"r_score": "_r", "f_score": "_f", "m_score": "_m"})
+    scores = scores.withColumnsRenamed({"r_score": "_r", "f_score": "_f", "m_score": "_m"})
     return behaviour_scores(events, as_of).join(scores, "user_id", "left").select(
         "user_id", "browse_score", "intent_score", *[F.coalesce(f"_{k}", F.lit(1)).alias(f"{k}_score") for k in "rfm"],
         first_match(rules, "OTHER").alias("segment"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.operators.changes import DELETE_CODES, UPDATE_INSERT
 from tidemill.operators.latest import latest_by
@@ -77,6 +78,11 @@ class KeyedTable:
         rows = self._load(spark, "changes", parts)
         return rows if rows is None or before is None else rows.filter(F.col("batch") < before)
 
+    def batch(self, spark: SparkSession, batch_id: int, columns: T.StructType) -> DataFrame:
+        """The changes of one batch; ``columns`` is the schema they were written with."""
+        rows = spark.read.schema(columns).parquet(f"{self.path}/changes/batch={batch_id}")
+        return rows.drop(PART) if self.cluster_by else rows
+
     def _snapshot(self, spark: SparkSession, before: int | None, parts: Sequence[int] | None) -> tuple[DataFrame | None, int] | None:
         """Rows of the newest snapshot (None: it holds none) and the batch it reaches to.
 

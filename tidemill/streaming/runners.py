@@ -113,6 +113,28 @@ def start_handler(rows: DataFrame, handler: Callable[[DataFrame, int], None], ch
     return _trigger(writer, every).start()
 
 
+def start_together(process: Callable[[Mapping[str, DataFrame], int], object], streams: Mapping[str, DataFrame],
+                   checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Call ``process(batches, batch_id)`` with the micro-batches of one or more streams."""
+    schemas = {n: s.schema for n, s in streams.items()}
+    if len(streams) == 1:
+        (name, stream), = streams.items()
+        return start_handler(stream, lambda b, i: process({name: b}, i), checkpoint, every)
+    tagged = [s.select(F.lit(n).alias("_input"), F.struct(*s.columns).alias(f"_{n}")) for n, s in streams.items()]
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionByName(t, allowMissingColumns=True)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            process({n: batch.filter(F.col("_input") == n).select(f"_{n}.*") for n in schemas}, batch_id)
+        finally:
+            batch.unpersist()
+
+    return start_handler(union, sink, checkpoint, every)
+
+
 class MaintainedView:
     """A stored result that follows its input streams.
 
@@ -131,6 +153,8 @@ class MaintainedView:
     ``keyed``    inputs whose rows are updated and deleted: the plan sees the
                  current row of each key, and a row that moves to another scope
                  touches both
+    ``also``     scopes that a batch touches beside those of its rows, as when a
+                 clock moves on: a function of (spark, batch_id)
     ``on_change``, ``on_delete``  called with the rows that came or changed,
                  and with those that left
 
@@ -143,7 +167,10 @@ class MaintainedView:
                  shared: Sequence[str] = (), derive: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
                  on_change: Handler | None = None, compact_every: int = 0, buckets: int = 256,
                  keyed: Mapping[str, Keyed] | None = None, on_delete: Handler | None = None,
-                 slots: Slots | None = None):
+                 slots: Slots | None = None, also: Callable[[SparkSession, int], DataFrame] | None = None):
+        if also and (slots or not scope):
+            raise ValueError("also names scopes of a view without slots")
+        self.also = also
         self.path, self.compute = path.rstrip("/"), compute
         self.keys, self.scope, self.shared = list(keys), list(scope), set(shared)
         self.derive, self.on_change, self.on_delete = dict(derive or {}), on_change, on_delete
@@ -220,13 +247,15 @@ class MaintainedView:
             if name not in self.shared:
                 part = df.select(*self.scope, *([self.slots.reached(self.slots.times[name]).alias(SLOT)] if self.slots else []))
                 scopes = part if scopes is None else scopes.unionByName(part)
+        if self.also:
+            scopes = scopes.unionByName(self.also(scopes.sparkSession, batch_id).select(*self.scope))
         results = self._located(scopes.distinct())
         if not self.slots:
             return results, results
         return results, self._located(results[0].select(*self.scope, self.slots.needed().alias(SLOT)).distinct())
 
-    def process(self, batches: Mapping[str, DataFrame], batch_id: int) -> None:
-        """Add one micro-batch per input and bring the result up to date.
+    def process(self, batches: Mapping[str, DataFrame], batch_id: int) -> DataFrame:
+        """Add one micro-batch per input, bring the result up to date, and return what changed.
 
         Safe to repeat: the base rows and the changes of a batch are replaced,
         and the old result is read as of just before the batch.
@@ -249,12 +278,12 @@ class MaintainedView:
         old = self.table.read(spark, before=batch_id, parts=None if touched is None else touched[0][1])
         changes = result.withColumn("op", F.lit(INSERT)) if old is None else diff_results(reached(old), result, self.keys)
         self.table.apply(changes, batch_id)
+        written = self.table.batch(spark, batch_id, changes.schema)
         if self.on_change or self.on_delete:
-            written = self.table.changes(spark)
-            if written is not None:
-                self._notify(written.filter(F.col("batch") == batch_id).drop("batch"))
+            self._notify(written)
         if self.compact_every and batch_id and batch_id % self.compact_every == 0:
             self.table.compact(spark)
+        return written.drop(SLOT)
 
     def _notify(self, changes: DataFrame) -> None:
         changes = changes.drop(SLOT)
@@ -290,23 +319,7 @@ class MaintainedView:
 
     def start(self, streams: Mapping[str, DataFrame], checkpoint: str, every: str | None = None) -> StreamingQuery:
         """Follow one or more streams.  Several are tagged and unioned into one query."""
-        schemas = {n: s.schema for n, s in streams.items()}
-        if len(streams) == 1:
-            (name, stream), = streams.items()
-            return start_handler(stream, lambda b, i: self.process({name: b}, i), checkpoint, every)
-        tagged = [s.select(F.lit(n).alias("_input"), F.struct(*s.columns).alias(f"_{n}")) for n, s in streams.items()]
-        union = tagged[0]
-        for t in tagged[1:]:
-            union = union.unionByName(t, allowMissingColumns=True)
-
-        def sink(batch: DataFrame, batch_id: int) -> None:
-            batch = batch.persist()
-            try:
-                self.process({n: batch.filter(F.col("_input") == n).select(f"_{n}.*") for n in schemas}, batch_id)
-            finally:
-                batch.unpersist()
-
-        return start_handler(union, sink, checkpoint, every)
+        return start_together(self.process, streams, checkpoint, every)
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         rows = self.table.read(spark)
