@@ -1,16 +1,24 @@
 """A stream must end where the batch query ends, in any order and any split."""
 
+import os
 import random
+import time
 from functools import partial
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemill.operators import latest_by, tumble
 from tidemill.plans import logistics, markets, web
 from tidemill.sinks.keyed import KeyedTable, merge_into
-from tidemill.sources import files
-from tidemill.streaming.runners import Keyed, MaintainedView, start_native
+from tidemill.sinks.staged import StagedAppends, StagedUpserts
+from tidemill.sources import files, landed
+from tidemill.streaming.expiry import Retention, present, retained, rocks_state
+from tidemill.streaming.joins import outer_interval_view
+from tidemill.streaming.runners import Keyed, MaintainedView, start_append, start_native
 from tidemill.streaming.views import ViewGraph
 
 
@@ -204,3 +212,144 @@ def test_visits_replay_keeps_counts(spark, tmp_path):
     view = small_view(str(tmp_path / "v"), lambda visits: web.page_visits(visits), ["page_id"], ["page_id"])
     view.start({"visits": land(spark, lines, str(tmp_path / "in"), 4, 7)}, str(tmp_path / "c")).awaitTermination()
     same(view.read(spark), web.page_visits(lines))
+
+
+# -- commits, start positions, expiry, outer joins ------------------------------------------------------
+
+
+def test_readers_see_whole_commits(spark, tmp_path):
+    """A batch behind the last commit does not show, also after it ran twice and after the sink was opened anew."""
+    batch = lambda i: spark.createDataFrame([(k, i) for k in range(2)], "k int, n int")
+    shown = lambda: sorted(tuple(r) for r in sink().read(spark).collect()) if sink().read(spark) else None
+    sink = lambda: StagedAppends(str(tmp_path / "a"), 2)
+    seen = []
+    for i in (0, 0, 1, 1, 2, 2, 3):
+        sink().handler(batch(i), i)
+        seen.append(shown())
+    first = [(0, 0), (0, 1), (1, 0), (1, 1)]
+    assert seen[:6] == [None, None, first, first, first, first] and len(seen[6]) == 8
+    # A committed batch that is delivered again with other rows changes nothing.
+    sink().handler(batch(9), 1)
+    assert shown() == seen[6]
+    keyed = StagedUpserts(str(tmp_path / "k"), ["k"], 2)
+    for i in range(3):
+        keyed.handler(batch(i), i)
+    assert sorted(tuple(r) for r in keyed.read(spark).collect()) == [(0, 1), (1, 1)]
+    with pytest.raises(ValueError):
+        StagedAppends(str(tmp_path / "x"), 0)
+
+
+def test_start_positions(spark, tmp_path):
+    """Files before the start are not opened: they have gone when the stream runs; a restart goes on behind the last file."""
+    folder, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "c")
+    folder.mkdir()
+    for i, name in enumerate(["a", "b", "c"]):
+        (folder / name).write_text(f"{name}1\n{name}2é")
+        os.utime(folder / name, (1_700_000_000 + i, 1_700_000_000 + i))
+    (folder / "_SUCCESS").write_text("x")
+    files_ = landed.landed(str(folder))
+    assert [n for _, n in files_] == ["a", "b", "c"]
+    assert landed.start_of("latest", files_) == files_[-1] and landed.start_of("latest", []) == (-1, "")
+    later = lambda start: [n for at, n in files_ if landed.start_of(start, files_) < (at, n)]
+    assert later("earliest") == ["a", "b", "c"] and later("1700000001000") == ["b", "c"] and later('{"micros": 1700000001000000, "name": "b"}') == ["c"]
+    with pytest.raises(ValueError):
+        landed.read_landed(spark, str(folder), "someday")
+    reader = landed._Reader(str(folder), "1700000001000")
+    assert [p.name for p in reader.partitions(reader.initialOffset(), reader.latestOffset())] == ["b", "c"]
+
+    def run():
+        start_append(landed.read_landed(spark, str(folder), "1700000001000"), out, ckpt).awaitTermination()
+        return sorted(r["value"] for r in spark.read.parquet(out).collect())
+
+    assert run() == ["b1", "b2é", "c1", "c2é"]
+    (folder / "d").write_text("d1\n")
+    assert run() == ["b1", "b2é", "c1", "c2é", "d1"]
+
+
+class _Rows:
+    """A list state and timers in memory, counting the rows read."""
+
+    def __init__(self):
+        self.rows, self.timers, self.read = [], [], 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def appendList(self, rows):
+        self.rows += rows
+
+    def get(self):
+        self.read += len(self.rows)
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows = list(rows)
+
+    def clear(self):
+        self.rows = []
+
+
+def test_a_timer_reads_its_own_rows():
+    state, now = _Rows(), [0]
+    timers = SimpleNamespace(getCurrentWatermarkInMs=lambda: now[0])
+    keeper = Retention(True)
+    keeper.init(state)
+    came = pd.concat(keeper.handleInputRows(("s", 0), [pd.DataFrame({"row": list("abcd"), "due": [5, 7, 9, 7]})], timers))
+    assert came["row"].tolist() == list("abcd") and state.timers == [5] and state.read == 0
+    now[0] = 7
+    fired = SimpleNamespace(getExpiryTimeInMs=lambda: 5)
+    gone = pd.concat(keeper.handleExpiredTimer(("s", 0), timers, fired))
+    assert gone.values.tolist() == [["a", "Delete"], ["b", "Delete"], ["d", "Delete"]] and state.timers == [5, 9]
+    late = list(keeper.handleInputRows(("s", 0), [pd.DataFrame({"row": ["e"], "due": [6]})], timers))
+    assert late == [] and state.rows == [("c", 9)]
+    now[0] = 9
+    assert [r for f in keeper.handleExpiredTimer(("s", 0), timers, fired) for r in f["row"]] == ["c"] and state.rows == []
+    assert list(keeper.handleExpiredTimer(("s", 0), timers, fired)) == []
+
+
+def test_every_row_ends_by_the_wall_clock(spark, tmp_path):
+    """Rows of all types come back as they were, and nothing arrives when they leave."""
+    rows = spark.sql("""SELECT id, current_timestamp() - INTERVAL 1 SECOND * (id % 3) AS ts, IF(id % 2 = 0, NULL, CAST(id / 3 AS DOUBLE)) AS x, CAST(id AS DECIMAL(20, 4)) AS d,
+        timestamp_ntz'2024-01-01 00:00:00.123456' AS n, array(id) AS a, IF(id = 7, NULL, 'é"') AS s FROM range(8)""")
+    rows.write.parquet(str(tmp_path / "in"))
+    first = spark.read.parquet(str(tmp_path / "in"))
+    changes = retained(files.replay(spark, str(tmp_path / "in"), rows.schema, max_files=100), "ts", "12 seconds", clock="processing", buckets=1)
+    out = str(tmp_path / "out")
+    with rocks_state(spark):
+        query = start_append(changes, out, str(tmp_path / "c"), every="1 second")
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            time.sleep(2)
+            if query.exception():
+                raise query.exception()
+            try:
+                if spark.read.schema(changes.schema).parquet(out).where("op = 'Delete'").count() == 8:
+                    break
+            except AnalysisException:
+                pass
+    finally:
+        query.stop()
+    log = spark.read.schema(changes.schema).parquet(out)
+    assert present(log).count() == 0
+    for op in ("Insert", "Delete"):
+        same(log.where(f"op = '{op}'").drop("op"), first)
+
+
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_outer_interval_join_takes_early_nulls_back(spark, tmp_path, how):
+    at = lambda m: F.timestamp_seconds(F.lit(1_700_000_000) + m * 60).cast("timestamp_ntz")
+    left = lambda *r: spark.createDataFrame(list(r), "a int, k string, m int").withColumn("t", at(F.col("m"))).drop("m")
+    right = lambda *r: spark.createDataFrame(list(r), "b int, rk string, rm int").withColumn("rt", at(F.col("rm"))).drop("rm")
+    view = outer_interval_view(str(tmp_path), {"k": "rk"}, "t", "rt", "a", "b", "10 minutes", "0 minutes", how, width="30 minutes", buckets=2)
+    steps = [({"left": left((1, "x", 100), (2, None, 5)), "right": right((1, "y", 95))}, [(1, None, "Insert"), (2, None, "Insert"), (None, 1, "Insert")]),
+             ({"left": left(), "right": right((2, "x", 92), (3, "x", 89))}, [(1, None, "Delete"), (1, 2, "Insert"), (None, 3, "Insert")]),
+             ({"left": left((3, "x", 99)), "right": right((4, "x", None))}, [(3, 2, "Insert"), (3, 3, "Insert"), (None, 3, "Delete"), (None, 4, "Insert")])]
+    if how == "left":
+        steps = [(b, [c for c in changes if c[0]]) for b, changes in steps]
+    for i, (batch, changes) in enumerate(steps):
+        got = view.process(batch, i).collect()
+        assert sorted(map(str, ((r["a"], r["b"], r["op"]) for r in got))) == sorted(map(str, changes))

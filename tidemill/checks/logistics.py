@@ -100,7 +100,7 @@ _SHOW = ("order_id", "vehicle_id", "status", "dest_lat", "dest_lon", "promised_t
          "vehicle_speed_kmh", "gps_ts", "grid_id", "region_id", "congestion", "traffic_speed_kmh")
 
 
-def _eta_rounded(df):
+def eta_rounded(df):
     return df.select(*_SHOW, *[F.round(x, 6).alias(x) for x in ("distance_km", "effective_speed_kmh", "eta_minutes")],
                      F.date_trunc("second", "eta_ts").alias("eta_ts"),
                      (F.unix_seconds(F.date_trunc("second", "eta_ts")) - F.unix_seconds(F.col("promised_ts").cast("timestamp"))).alias("delay_seconds"))
@@ -111,11 +111,12 @@ _ETA_OUT = """SELECT order_id, vehicle_id, status, dest_lat, dest_lon, promised_
    round(kmh, 6)::DOUBLE AS effective_speed_kmh, round(mins, 6) AS eta_minutes,
    date_trunc('second', gps_ts + to_microseconds(round(mins * 60000000)::BIGINT)) AS eta_ts,
    (epoch_ms(date_trunc('second', gps_ts + to_microseconds(round(mins * 60000000)::BIGINT))) - epoch_ms(promised_ts)) // 1000 AS delay_seconds FROM e"""
-check("q70_order_eta", "order_updates", "gps", "road_cells", oracle=f"WITH {_ETA} {_ETA_OUT}")(
-    lambda *a: _eta_rounded(g.order_eta(*a)))
+ETA_ORACLE = f"WITH {_ETA} {_ETA_OUT}"
+check("q70_order_eta", "order_updates", "gps", "road_cells", oracle=ETA_ORACLE)(
+    lambda *a: eta_rounded(g.order_eta(*a)))
 check("q71_delayed_first", "order_updates", "gps", "road_cells", oracle=f"""WITH {_ETA} SELECT order_id, status, delay_seconds FROM ({_ETA_OUT})
     WHERE status IN ('in_transit', 'delayed') ORDER BY delay_seconds DESC NULLS LAST, order_id LIMIT 50""")(
-    lambda *a: _eta_rounded(g.delayed_first(g.order_eta(*a), 50)).select("order_id", "status", "delay_seconds"))
+    lambda *a: eta_rounded(g.delayed_first(g.order_eta(*a), 50)).select("order_id", "status", "delay_seconds"))
 check("q71_transit_kpis", "order_updates", "gps", "road_cells", oracle=f"""WITH {_ETA}
     SELECT count(*) AS in_transit, count(*) FILTER (gps_ts + to_microseconds(round(mins * 60000000)::BIGINT) > promised_ts) AS delayed_in_transit,
       round(avg(mins), 6) AS avg_eta_minutes FROM e WHERE status = 'in_transit'""")(

@@ -26,7 +26,7 @@ _RECENT = [f"INTERVAL {days} DAY" for days in (3, 10, 30, 60)]
 _RFM = f"""SELECT user_id, {_steps(_SINCE, *_RECENT, op='<=')} AS r_score,
     {_steps('completed_orders', 15, 8, 5, 2)} AS f_score, {_steps('total_spent', 5000, 2500, 1000, 200)} AS m_score FROM ({_ORDERS})"""
 _BEHAVE = f"SELECT user_id, {_steps('view_count', 30, 15, 8, 2)} AS browse_score, {_steps('cart_count', 10, 7, 4, 2)} AS intent_score FROM ({_CLICKS})"
-_SEGMENTS = f"""SELECT user_id, browse_score, intent_score, coalesce(r_score, 1) AS r_score, coalesce(f_score, 1) AS f_score, coalesce(m_score, 1) AS m_score,
+SEGMENTS_ORACLE = f"""SELECT user_id, browse_score, intent_score, coalesce(r_score, 1) AS r_score, coalesce(f_score, 1) AS f_score, coalesce(m_score, 1) AS m_score,
     CASE WHEN least(q.r_score, q.f_score, q.m_score) >= 4 AND browse_score >= 3 AND q.r_score IS NOT NULL THEN 'ACTIVE'
          WHEN q.r_score >= 4 AND q.f_score = 1 THEN 'NEW'
          WHEN browse_score >= 4 AND intent_score >= 3 AND coalesce(q.r_score, 1) <= 2 THEN 'HIGH_POTENTIAL'
@@ -39,8 +39,8 @@ check("q35_click_behaviour", "shop_events", oracle=_CLICKS)(lambda e: s.click_be
 check("q36_order_behaviour", "shop_orders", oracle=_ORDERS)(s.order_behaviour)
 check("q37_rfm_scores", "shop_orders", oracle=_RFM)(s.rfm_scores)
 check("q38_behaviour_scores", "shop_events", oracle=_BEHAVE)(lambda e: s.behaviour_scores(e, "2024-01-31 00:00:00"))
-check("q39_customer_segments", "shop_events", "shop_orders", oracle=_SEGMENTS)(
+check("q39_customer_segments", "shop_events", "shop_orders", oracle=SEGMENTS_ORACLE)(
     lambda e, o: s.customer_segments(e, o, "2024-01-31 00:00:00"))
 check("q39_segment_counts", "shop_events", "shop_orders", oracle=f"""
-    SELECT segment, count(*) AS user_count FROM ({_SEGMENTS}) GROUP BY 1""")(
+    SELECT segment, count(*) AS user_count FROM ({SEGMENTS_ORACLE}) GROUP BY 1""")(
     lambda e, o: s.segment_counts(s.customer_segments(e, o, "2024-01-31 00:00:00")))

@@ -11,6 +11,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from tidemill.checks import logistics as logistics_checks
+from tidemill.checks import segments as segments_checks
 from tidemill.checks.harness import check, declare
 from tidemill.functions.scalar import moment, span
 from tidemill.operators import diff_results, hop, latest_by, range_frame, tumble, upsert
@@ -18,9 +20,12 @@ from tidemill.plans import energy, health, markets, pricing, web
 from tidemill.session import scratch_dir
 from tidemill.sinks import writers
 from tidemill.sinks.keyed import KeyedTable
-from tidemill.sources import cdc, decode, files
-from tidemill.streaming.joins import interval_join
-from tidemill.streaming.runners import Keyed, MaintainedView, start_append, start_handler, start_native
+from tidemill.sinks.staged import StagedUpserts
+from tidemill.sources import cdc, decode, files, landed
+from tidemill.streaming.joins import interval_join, outer_interval_view
+from tidemill.streaming.catalog import VIEWS
+from tidemill.streaming.expiry import present, retained, rocks_state, running_totals
+from tidemill.streaming.runners import Keyed, MaintainedView, Slots, start_append, start_handler, start_native
 from tidemill.streaming.views import ViewGraph
 
 EVENT = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -54,14 +59,29 @@ def native(spark, plan, keys, *frames, mode="update"):
     return table.read(spark)
 
 
-def maintained(spark, compute, keys, scope, derive=None, keyed=None, **frames):
+def maintained(spark, compute, keys, scope, derive=None, keyed=None, slots=None, **frames):
     """Final state of a maintained view over replayed frames."""
-    view = MaintainedView(scratch_dir(spark, "view"), compute, keys, scope, derive=derive, buckets=4, keyed=keyed)
+    view = MaintainedView(scratch_dir(spark, "view"), compute, keys, scope, derive=derive, buckets=4, keyed=keyed, slots=slots)
+    return followed(spark, view, **frames)
+
+
+def followed(spark, view, parts=FILES, **frames):
+    """Final state of a view over replayed frames."""
     with small_state(spark):
-        view.start({n: as_stream(spark, f) for n, f in frames.items()}, scratch_dir(spark, "checkpoint")).awaitTermination()
+        view.start({n: as_stream(spark, f, parts) for n, f in frames.items()}, scratch_dir(spark, "checkpoint")).awaitTermination()
     return view.read(spark)
 
 
+def in_order(spark, df, order, parts=FILES):
+    """Land a frame as files that follow ``order``, rows without it last, and replay them as a stream."""
+    path = scratch_dir(spark, "landing")
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    step = F.least(F.lit(parts - 1), F.floor((F.col(order) - F.lit(low)) * parts / F.greatest(F.lit(1), F.lit(high) - F.lit(low))))
+    for i in range(parts):
+        df.where(F.coalesce(step, F.lit(parts - 1)) == i).drop(order).coalesce(1).write.mode("append").parquet(path)
+    return files.replay(spark, path, df.drop(order).schema)
+
+
 def appended(spark, stream, fmt="parquet"):
     path = scratch_dir(spark, "append")
     start_append(stream, path, scratch_dir(spark, "checkpoint"), fmt=fmt).awaitTermination()
@@ -82,6 +102,26 @@ check("s2_start_position", E, oracle="SELECT event_id, event_type FROM events WH
     lambda e: decode.decode_json(decode.ingested_since(messages(e), "2024-01-20 00:00:00"), "event_id bigint, event_type string"))
 
 
+def _started_at(spark, events):
+    """Messages read by streams that start at the earliest file, at the time of the second load, after the first load's offset, and after all files."""
+    folder, kinds = scratch_dir(spark, "landing"), "event_id bigint, event_type string"
+    early = F.coalesce(F.col("timestamp") < moment("2024-01-20 00:00:00"), F.lit(False))
+    lines = messages(events.select("event_id", "event_type", "ts"))
+    lines.where(early).select("value").write.text(folder)
+    micros, name = landed.landed(folder)[-1]
+    lines.where(~early).select("value").write.mode("append").text(folder)
+    second = next(at for at, _ in landed.landed(folder) if at > micros)
+    found = []
+    for label, start in (("earliest", "earliest"), ("time", str(second // 1000)), ("offset", f'{{"micros": {micros}, "name": "{name}"}}'), ("latest", "latest")):
+        read = decode.decode_json(landed.read_landed(spark, folder, start), kinds)
+        found.append(spark.read.schema(kinds).parquet(appended(spark, read)).select(F.lit(label).alias("start"), "event_id", "event_type"))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+check("s2_start_reader", E, wants_spark=True, oracle="""SELECT 'earliest' AS start, event_id, event_type FROM events UNION ALL
+    SELECT unnest(['time', 'offset']), event_id, event_type FROM events WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-20'""")(lambda spark, sf, e: _started_at(spark, e))
+
+
 def _ingested_later(spark, events):
     """Rows of the files that came after a first load, told by the files' own time."""
     path = scratch_dir(spark, "landing")
@@ -222,6 +262,23 @@ def _feed_upsert(spark, feed):
 check("s19_lake_upsert", "trip_feed", wants_spark=True, oracle=_LAST.format("trip_id, rider_id, trip_status, commit_ts"))(lambda spark, sf, f: _feed_upsert(spark, f))
 check("s20_view_to_lake", E, wants_spark=True, oracle="SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL")(
     lambda spark, sf, e: native(spark, lambda x: x.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n")), ["user_id", "event_type"], e))
+
+
+def _commit_every(spark, e, n=3, files_=5):
+    """Counts written in commits of ``n`` batches, each batch delivered twice: the batches behind the last whole commit do not show."""
+    sink = StagedUpserts(scratch_dir(spark, "lake"), ["user_id", "event_type"], n)
+
+    def twice(batch, batch_id):
+        for _ in range(2):
+            sink.handler(batch, batch_id)
+
+    with small_state(spark):
+        counts = in_order(spark, e.withColumn("file", F.col("event_id") % files_), "file", files_).groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+        start_handler(counts, twice, scratch_dir(spark, "checkpoint"), mode="update").awaitTermination()
+    return sink.read(spark)
+
+
+check("s20_commit_every", E, wants_spark=True, oracle="SELECT user_id, event_type, count(*) AS n FROM events WHERE event_id % 5 < 3 GROUP BY ALL")(lambda spark, sf, e: _commit_every(spark, e))
 check("s23_read_lake_files", "orders", wants_spark=True, oracle="SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")(
     lambda spark, sf, o: spark.read.schema(o.schema).parquet(appended(spark, as_stream(spark, o, 2))).groupBy("o_orderstatus").agg(F.count("*").alias("n")))
 check("s24_result_changes", E, oracle="""WITH a AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY ALL), b AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-05' GROUP BY ALL)
@@ -251,7 +308,9 @@ check("st5_unwindowed_aggregate", "visits", wants_spark=True, oracle="SELECT pag
 check("st6_view_on_view", E, wants_spark=True, oracle="""SELECT user_id, window_start, n, sum(n) OVER (PARTITION BY user_id ORDER BY window_start RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND CURRENT ROW)::BIGINT AS n4 FROM
     (SELECT user_id, time_bucket(INTERVAL '1 day', ts) AS window_start, count(*) AS n FROM events GROUP BY ALL)""")(
     lambda spark, sf, e: maintained(spark, lambda events: range_frame(tumble(events, "ts", "1 day").groupBy("user_id", "window_start").agg(F.count("*").alias("n")),
-                                    ["user_id"], "window_start", "3 days", {"n4": F.sum("n")}), ["user_id", "window_start"], ["user_id"], events=e))
+                                    ["user_id"], "window_start", "3 days", {"n4": F.sum("n")}), ["user_id", "window_start"], ["user_id"],
+                                    # A row bears on the window it lies in and on those up to three days later.
+                                    slots=Slots({"events": "ts"}, "window_start", before="1 day", after="3 days", width="8 days"), events=e))
 check("st7_late_rows", E, wants_spark=True, oracle="SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS n FROM events GROUP BY ALL")(
     lambda spark, sf, e: native(spark, lambda x: tumble(x, "ts", "1 hour").groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("n")), _KEYS, e))
 check("st8_windowed_join", "consumption", "production", wants_spark=True, oracle="""SELECT meter_id, window_end, a AS energy_consumed, b AS energy_produced, a - b AS total_energy
@@ -280,6 +339,40 @@ check("st10_interval_stream_join", E, wants_spark=True, oracle="""SELECT v.event
     WHERE v.event_type = 'view' AND c.event_type = 'click'""")(
     lambda spark, sf, e: _joined_streams(spark, e.filter("event_type = 'view'").select("event_id", "user_id", "ts"),
         e.filter("event_type = 'click'").select(F.col("event_id").alias("click_id"), F.col("user_id").alias("click_user"), F.col("ts").alias("click_ts")), _interval_join))
+
+
+def _outer_intervals(spark, e, how):
+    views = e.where("event_type = 'view'").select("event_id", "user_id", "ts")
+    clicks = e.where("event_type = 'click'").select(F.col("event_id").alias("click_id"), F.col("user_id").alias("click_user"), F.col("ts").alias("click_ts"))
+    view = outer_interval_view(scratch_dir(spark, "view"), {"user_id": "click_user"}, "ts", "click_ts", "event_id", "click_id", "3 hours", "3 hours", how,
+                               width="10 days", buckets=4)
+    return followed(spark, view, left=views, right=clicks).select("event_id", "user_id", "ts", "click_id", "click_user", "click_ts")
+
+
+for _how in ("left", "full"):
+    check(f"st10_{_how}_interval_join", E, wants_spark=True, oracle=f"""SELECT v.event_id, v.user_id, v.ts, c.event_id AS click_id, c.user_id AS click_user, c.ts AS click_ts
+        FROM (FROM events WHERE event_type = 'view') v {_how} JOIN (FROM events WHERE event_type = 'click') c
+        ON c.user_id = v.user_id AND c.ts BETWEEN v.ts - INTERVAL 3 HOUR AND v.ts + INTERVAL 3 HOUR""")(lambda spark, sf, e, how=_how: _outer_intervals(spark, e, how))
+
+
+def _changes_by_clock(spark, rows, ts, keep):
+    """Rows that came and left as the event clock went on, from a replay in order of time."""
+    changes = retained(in_order(spark, rows.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp"))), "_us"), ts, keep, buckets=2)
+    with rocks_state(spark):
+        return spark.read.schema(changes.schema).parquet(appended(spark, changes))
+
+
+def _expiry(spark, rows):
+    changes = _changes_by_clock(spark, rows, "datetime", "2 days")
+    return present(changes).withColumn("state", F.lit("present")).unionByName(changes.where("op = 'Delete'").drop("op").withColumn("state", F.lit("gone")))
+
+
+check("st_expiry", "flow", wants_spark=True, oracle="""SELECT road_id, datetime, traffic_flow, CASE WHEN datetime >= (SELECT max(datetime) FROM flow) - INTERVAL 2 DAY THEN 'present' ELSE 'gone' END AS state
+    FROM flow WHERE datetime IS NOT NULL""")(lambda spark, sf, f: _expiry(spark, f.select("road_id", "datetime", "traffic_flow")))
+check("st_expiring_sales", "unit_sales", wants_spark=True, oracle="""SELECT warehouse_id, product_id, sum(quantity_sold)::BIGINT AS total_quantity_sold FROM unit_sales
+    WHERE timestamp >= (SELECT max(timestamp) FROM unit_sales) - INTERVAL 60 DAY GROUP BY ALL""")(
+    lambda spark, sf, s: running_totals(_changes_by_clock(spark, s.select("warehouse_id", "product_id", "quantity_sold", "timestamp"), "timestamp", "60 days"),
+                                        ["warehouse_id", "product_id"], {"total_quantity_sold": F.col("quantity_sold")}))
 check("st11_sliding_retention", "flow", wants_spark=True, oracle="SELECT road_id, datetime, traffic_flow FROM flow WHERE datetime >= (SELECT max(datetime) FROM flow) - INTERVAL 2 DAY")(
     lambda spark, sf, f: maintained(spark, lambda flow: flow.filter(F.col("datetime") >= flow.agg(F.max("datetime")).scalar() - span("2 days")).select("road_id", "datetime", "traffic_flow"),
                                     ["road_id", "datetime", "traffic_flow"], [], flow=f))
@@ -320,7 +413,8 @@ check("st15_trend_alerts", "vitals", wants_spark=True, oracle="""SELECT patient_
     .select("patient_id", "measure_time", "heart_rate_increase"))
 check("st_rolling_price", "ticks", wants_spark=True, oracle="""SELECT asset_id, timestamp, round((avg(price) OVER f)::DECIMAL(38,10), 2)::DOUBLE AS average_price, round((avg(ask_price - bid_price) OVER f)::DECIMAL(38,10), 2)::DOUBLE AS bid_ask_spread
     FROM ticks WINDOW f AS (PARTITION BY asset_id ORDER BY timestamp RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)""")(
-    lambda spark, sf, t: maintained(spark, lambda ticks: markets.price_and_spread(ticks, "6 hours"), ["asset_id", "timestamp"], ["asset_id"], ticks=t))
+    lambda spark, sf, t: maintained(spark, lambda ticks: markets.price_and_spread(ticks, "6 hours"), ["asset_id", "timestamp"], ["asset_id"],
+                                    slots=Slots({"ticks": "timestamp"}, "timestamp", after="6 hours"), ticks=t))
 # Dimensions that change: rows are inserted, a third is updated (and moves), a seventh is deleted, in any order of arrival.
 declare(
     member_changes="""SELECT id, age, city, 1 AS version, 'insert' AS op FROM {members} UNION ALL
@@ -348,6 +442,17 @@ check("st_changed_stock", "inventory_changes", "purchases", "restocks", wants_sp
     lambda spark, sf, i, b, r: maintained(spark, lambda inventory, purchases, restocks: pricing.stock_status(inventory, purchases, restocks, "30 days"),
                                           ["product_id", "inventory_window"], ["product_id"], keyed={"inventory": _VERSIONS("product_id")}, inventory=i, purchases=b, restocks=r)
     .select("product_id", "inventory_window", "current_inventory"))
+declare(product_changes="""SELECT *, 1 AS version, 'insert' AS op FROM {products} UNION ALL
+        SELECT product_id, product_name || ' II', brand, category, 2, 'update' FROM {products} WHERE product_id % 3 = 0 UNION ALL
+        SELECT *, 3, 'delete' FROM {products} WHERE product_id % 7 = 0""")
+check("st_top_products", "item_sales", "product_changes", wants_spark=True, oracle=f"""SELECT category, product_name, sum(quantity)::BIGINT AS total_quantity_sold, time_bucket(INTERVAL '1 day', sale_timestamp) AS window_start
+    FROM item_sales JOIN {_LAST.format('product_changes', 'product_id')} p USING (product_id) GROUP BY ALL ORDER BY total_quantity_sold DESC, category, product_name, window_start LIMIT 5""")(
+    lambda spark, sf, s, p: followed(spark, VIEWS["top_products"].at(scratch_dir(spark, "view"), size="1 day", buckets=4, keyed={"products": _VERSIONS("product_id")}), 2, sales=s, products=p)
+    .drop("window_end"))
+check("st_order_eta", "order_updates", "gps", "road_cells", wants_spark=True, oracle=logistics_checks.ETA_ORACLE)(
+    lambda spark, sf, o, g, r: logistics_checks.eta_rounded(followed(spark, VIEWS["order_eta"].at(scratch_dir(spark, "view"), buckets=4), 2, updates=o, gps=g, traffic=r)))
+check("st_customer_segments", "shop_events", "shop_orders", wants_spark=True, oracle=segments_checks.SEGMENTS_ORACLE)(
+    lambda spark, sf, e, o: followed(spark, VIEWS["customer_segments"].at(scratch_dir(spark, "view"), as_of="2024-01-31 00:00:00", buckets=4), 2, events=e, orders=o))
 check("x7_batch_handler", E, wants_spark=True, oracle="SELECT event_type, count(*) AS n FROM events GROUP BY 1")(lambda spark, sf, e: _handled(spark, e))
 
 

@@ -4,7 +4,7 @@ from tidemill.operators.aggregates import (  # noqa: F401
 from tidemill.operators.changes import diff_results, fold_changelog, update_where, upsert  # noqa: F401
 from tidemill.operators.frames import previous, range_frame, running_sum  # noqa: F401
 from tidemill.operators.joins import (  # noqa: F401
-    asof_join, band_join, band_totals, in_window_counts, net_of_sums, windows_holding,
+    asof_join, band_join, band_totals, in_window_counts, net_of_sums, outer_band_join, windows_holding,
 )
 from tidemill.operators.keyed import key_join  # noqa: F401
 from tidemill.operators.latest import earliest_by, latest_by, ordering, page, precedes, top_k, top_n  # noqa: F401

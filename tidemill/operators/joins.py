@@ -89,6 +89,15 @@ def band_join(left: DataFrame, right: DataFrame, keys: Mapping[str, str], left_t
     return lhs.join(rhs, on, how).drop("_lus", "_lslot", "_rus", "_rslot")
 
 
+def outer_band_join(left: DataFrame, right: DataFrame, keys: Mapping[str, str], left_ts: str, right_ts: str,
+                    before: str = "0 seconds", after: str = "0 seconds", slot: str | None = None) -> DataFrame:
+    """``band_join`` that also keeps the rows of either side without a partner, those without a key or time included."""
+    pairs = band_join(left, right, keys, left_ts, right_ts, before, after, "left", slot)
+    reach = left.select(*[F.col(a).alias(f"_p_{a}") for a in keys], F.col(left_ts).alias("_p_ts"))
+    alone = band_join(right, reach, {b: f"_p_{a}" for a, b in keys.items()}, right_ts, "_p_ts", after, before, "left_anti", slot)
+    return pairs.unionByName(alone, allowMissingColumns=True)
+
+
 def band_totals(left: DataFrame, right: DataFrame, keys: Mapping[str, str], left_ts: str, right_ts: str,
                 aggs: Mapping[str, Column], before: str = "0 seconds", after: str = "0 seconds",
                 slot: str | None = None) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.scalar import micros
+from tidemill.operators.joins import band_join, outer_band_join
+from tidemill.streaming.runners import MaintainedView, Slots
+
 
 def interval_join(left: DataFrame, right: DataFrame, on: Sequence[Column], left_ts: str, right_ts: str, before: str,
                   after: str, how: str = "inner", lateness: str | None = None) -> DataFrame:
@@ -29,3 +33,32 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[Column], left_
     for condition in on:
         near = near & condition
     return a.join(b, near, how)
+
+
+def outer_interval_view(path: str, keys: Mapping[str, str], left_ts: str, right_ts: str, left_id: str, right_id: str, before: str,
+                        after: str, how: str = "full", width: str | None = None, **runner) -> MaintainedView:
+    """A ``left`` or ``full`` outer interval join of the streams ``left`` and ``right`` that takes early NULLs back.
+
+    A row without a partner is reported at once; when a partner comes, however
+    late, that row is deleted and the pair inserted.  No row is ever too late.
+    ``left_id`` and ``right_id`` tell the rows of a side apart.  A batch reads
+    the rows of its keys in the time slots it reaches.
+    """
+    if how not in ("left", "full"):
+        raise ValueError("how is left or full")
+    scope = [f"join_{a}" for a in keys]
+    named = lambda pairs: lambda df: df.withColumns({f"join_{a}": F.col(c) for a, c in pairs})
+
+    def compute(left: DataFrame, right: DataFrame) -> DataFrame:
+        left, right = left.drop(*scope), right.drop(*scope)
+        if how == "left":
+            joined = band_join(left, right, keys, left_ts, right_ts, before, after, "left")
+        else:
+            joined = outer_band_join(left, right, keys, left_ts, right_ts, before, after)
+        mine = F.col(left_id).isNotNull()
+        return joined.withColumns({**{f"join_{a}": F.when(mine, F.col(a)).otherwise(F.col(b)) for a, b in keys.items()},
+                                   "joined_at": F.when(mine, F.col(left_ts)).otherwise(F.col(right_ts))})
+
+    reach = max(before, after, key=micros)
+    return MaintainedView(path, compute, [*scope, left_id, right_id], scope, derive={"left": named([(a, a) for a in keys]), "right": named(keys.items())},
+                          slots=Slots({"left": left_ts, "right": right_ts}, "joined_at", before=reach, after=reach, width=width), **runner)
