@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -20,17 +21,17 @@ _PIECE = 200_000  # characters hashed at a time
 
 
 class LanguageModel(NamedTuple):
-    """``slices[row]`` has bit l set if language l set that row; an n-gram is in the AND of its ``hashes`` rows."""
+    """``slices[row]`` has bit l % 64 of word l // 64 set if language l set that row; an n-gram is in the AND of its ``hashes`` rows."""
 
     languages: tuple[str, ...]
-    slices: np.ndarray  # uint64, one row per position of the filter
+    slices: np.ndarray  # uint64, one row per position of the filter, a word per 64 languages
     hashes: int
     orders: tuple[int, ...]
     false_rate: np.ndarray  # per language: chance that an absent n-gram passes
 
 
-def folded(text: str) -> np.ndarray:
-    """Lower-cased code points; every run of other than letters becomes one space, with a space at both ends."""
+def _lettered(text: str) -> np.ndarray:
+    """Lower-cased code points, 32 for all but letters."""
     low = text.lower()
     points = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     if low.isascii():
@@ -39,15 +40,7 @@ def folded(text: str) -> np.ndarray:
         odd = np.unique(points)
         is_letter = np.fromiter((chr(c).isalpha() for c in odd.tolist()), dtype=bool, count=len(odd))
         letter = is_letter[np.searchsorted(odd, points)]
-    if not letter.any():
-        return np.zeros(0, dtype=np.uint32)
-    line = np.where(letter, points, 32).astype(np.uint32)
-    line = np.concatenate(([np.uint32(32)], line, [np.uint32(32)]))
-    gap = line == 32
-    keep = ~gap
-    keep[0] = True
-    keep[1:] |= ~gap[:-1]
-    return line[keep]
+    return np.where(letter, points, 32).astype(np.uint32)
 
 
 def ngram_hashes(line: np.ndarray, order: int) -> np.ndarray:
@@ -63,6 +56,27 @@ def ngram_hashes(line: np.ndarray, order: int) -> np.ndarray:
     return h
 
 
+def gram_hashes(text: str, orders: tuple[int, ...], piece: int = _PIECE) -> Iterator[tuple[int, np.ndarray]]:
+    """(order, hashes of its n-grams), piece by piece of the text.
+
+    Every run of other than letters is one space, with a space at both ends.
+    The last points of a piece go before the next, so a cut neither loses nor
+    makes up an n-gram.
+    """
+    carry, old, reach = np.full(1, 32, dtype=np.uint32), 0, max(*orders, 2) - 1
+    for at in range(0, len(text), piece):
+        end = np.full(int(at + piece >= len(text)), 32, dtype=np.uint32)
+        joint = np.concatenate((carry, _lettered(text[at:at + piece]), end))
+        keep = joint != 32
+        keep[1:] |= joint[:-1] != 32
+        keep[0] = True
+        line = joint[keep]
+        for n in orders:
+            yield n, ngram_hashes(line[max(0, old - (n - 1)):], n)
+        carry = line[-reach:]
+        old = len(carry)
+
+
 def _rows(h: np.ndarray, hashes: int, size: int) -> list[np.ndarray]:
     step = (h * _MIX2) | np.uint64(1)
     mask = np.uint64(size - 1)
@@ -77,7 +91,8 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, orders:
     hash of id and text; within them whole texts count.  An n-gram belongs to a
     language if it makes up ``min_rate`` of that language's n-grams of its
     order, so a language has at most len(orders) / min_rate of them: that bounds
-    the filter, whatever the corpus.  Up to 64 languages.  Rows with a null
+    the filter, whatever the corpus.  Any number of languages, a word of each
+    row for every 64; the model grows with them.  Rows with a null
     text or language teach nothing; with no row left the model knows no
     language and answers ``und``.
     """
@@ -85,10 +100,7 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, orders:
 
     named = labelled.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"),
                             F.col(f"`{lang_col}`").alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["count"] for r in named.groupBy("lang").count().limit(65).collect()}
-    known = list(sizes)
-    if len(known) > 64:
-        raise ValueError("a bit-sliced row holds 64 languages")
+    sizes = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}  # a row per class of the model
     # Ranked without the texts.  The smallest hashes of a language lie below a bound that its row count gives, so
     # about twice per_language rows of it reach the ranking, however large it is.
     span = 1 << 40
@@ -99,16 +111,15 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, orders:
         chosen = chosen.where(F.col("place") < F.element_at(F.create_map(*bounds), F.col("lang")))
     chosen = (chosen.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "id", "text_hash")))
               .where(F.col("rank") <= per_language).select("id", "lang", "text_hash").distinct())
-    # At most 64 x per_language ids, so the broadcast is bounded and texts stay where they are.
+    # At most per_language ids for each class, so the broadcast is bounded and texts stay where they are.
     sample = (named.withColumn("text_hash", F.xxhash64("text"))
               .join(F.broadcast(chosen), ["id", "lang", "text_hash"], "left_semi").select("lang", "text"))
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         got: dict[tuple[str, int], Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            line = folded(text)
-            for n in orders:
-                grams, times = np.unique(ngram_hashes(line, n), return_counts=True)
+            for n, hashed in gram_hashes(text, orders):
+                grams, times = np.unique(hashed, return_counts=True)
                 got.setdefault((lang, n), Counter()).update(dict(zip(grams.tolist(), times.tolist())))
         langs, ns, grams, times = [], [], [], []
         for (lang, n), c in got.items():
@@ -129,12 +140,12 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, orders:
     languages = tuple(sorted(rows["lang"].unique()))
     most = int(rows.groupby("lang").size().max()) if len(rows) else 1
     size = 1 << max(10, math.ceil(math.log2(most * hashes / -math.log(1 - filter_rate ** (1 / hashes)))))
-    slices = np.zeros(size, dtype=np.uint64)
+    slices = np.zeros((size, -(-len(languages) // 64)), dtype=np.uint64)
+    grams = {lang: own.to_numpy(dtype=np.int64).view(np.uint64) for lang, own in rows.groupby("lang")["gram"]}
     for bit, lang in enumerate(languages):
-        own = rows.loc[rows["lang"] == lang, "gram"].to_numpy(dtype=np.int64).view(np.uint64)
-        for at in _rows(own, hashes, size):
-            slices[at] |= np.uint64(1 << bit)
-    fill = np.array([np.mean((slices >> np.uint64(b)) & np.uint64(1)) for b in range(len(languages))])
+        for at in _rows(grams[lang], hashes, size):
+            slices[at, bit // 64] |= np.uint64(1 << bit % 64)
+    fill = np.array([np.mean((slices[:, b // 64] >> np.uint64(b % 64)) & np.uint64(1)) for b in range(len(languages))])
     return LanguageModel(languages, slices, hashes, orders, fill ** hashes)
 
 
@@ -149,24 +160,17 @@ def predict_text(model: LanguageModel, text: str | None) -> tuple[str, float]:
     if not text or not model.languages:
         return UNDETERMINED, 0.0
     hits, total = np.zeros(len(model.languages)), 0
-    any_letter = False
-    for at in range(0, len(text), _PIECE):
-        line = folded(text[at:at + _PIECE])
-        any_letter |= len(line) > 0
-        for n in model.orders:
-            h = ngram_hashes(line, n)
-            if not len(h):
-                continue
-            first, *rest = _rows(h, model.hashes, len(model.slices))
-            langs = model.slices[first]
-            for rows in rest:
-                langs &= model.slices[rows]
-            total += len(h)
-            for bit in range(len(hits)):
-                hits[bit] += np.count_nonzero(langs & np.uint64(1 << bit))
-    if not any_letter:
+    for _, h in gram_hashes(text, model.orders):
+        first, *rest = _rows(h, model.hashes, len(model.slices))
+        langs = model.slices[first]
+        for rows in rest:
+            langs &= model.slices[rows]
+        total += len(h)
+        for bit in range(len(hits)):
+            hits[bit] += np.count_nonzero(langs[:, bit // 64] & np.uint64(1 << bit % 64))
+    if not total:
         return UNDETERMINED, 0.0
-    share = np.clip((hits / max(total, 1) - model.false_rate) / (1 - model.false_rate), 0, 1)
+    share = np.clip((hits / total - model.false_rate) / (1 - model.false_rate), 0, 1)
     best = int(np.argmax(share))
     return model.languages[best], float(share[best])
 

@@ -147,7 +147,6 @@ class Transducer:
         self.plain = {i: p for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k in (NORMAL, USER)}
         self.plain |= {i: chr(b) for b, i in self.bytes.items() if b < 128}
         self.known = Remembered()
-        self.lossy: set[str] = set()  # spellings that do not come back
         self.near: dict[str, tuple[str, ...]] = {}
         self.agree: dict[str | None, dict[str, bool]] = {}
         self.agreed = 0
@@ -287,17 +286,17 @@ class Transducer:
         return tuple(out)
 
     def unit(self, unit: str) -> tuple[int, ...]:
-        if len(unit) > 2 and unit[-2:] not in self.pairs:
-            # A final mark that no piece joins to what is before it.
-            known, front = self.known, unit[:-1]
-            return (known.young.get(front) or known.older(front) or self.unit(front)) + self.output([unit[-1]])
+        at = len(unit)
+        while at > 2 and unit[at - 2:at] not in self.pairs:
+            at -= 1  # a final mark that no piece joins to what is before it
+        known = self.known
+        if at < len(unit):
+            front = unit[:at]
+            before, marks = known.young.get(front) or known.older(front) or self.unit(front), self.output(list(unit[at:]))
+            return before + (marks[1:] if not self.fallback and before[-1] == marks[0] == self.unknown else marks)
         ids = self.output(self.shortest(unit))
-        if self.spelling(ids) != unit:
-            if len(self.lossy) >= _KEEP:
-                self.known, self.lossy = Remembered(), set()
-            self.lossy.add(unit)
         if len(unit) <= 64:
-            self.known.put(unit, ids)
+            known.put(unit, ids)
         return ids
 
     def encode(self, text: str) -> list[int]:
@@ -316,16 +315,15 @@ class Transducer:
                 at = own.end()
         return out
 
-    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, how many each has, and whether decoding gives each text back.
+    def encode_many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and how many each has.
 
         The units of all texts are told apart first, so that each different
         one is composed or looked up once.
         """
         if self.users:
             found = [self.encode(t) for t in texts]
-            return (np.fromiter(chain.from_iterable(found), dtype=np.int32), np.array([len(x) for x in found], dtype=np.int64),
-                    np.array([self.decode(x) == t for x, t in zip(found, texts)], dtype=bool))
+            return np.fromiter(chain.from_iterable(found), dtype=np.int32), np.array([len(x) for x in found], dtype=np.int64)
         units: list[str] = []
         ends = np.zeros(len(texts) + 1, dtype=np.int64)
         for k, text in enumerate(texts):
@@ -338,16 +336,11 @@ class Transducer:
         found = [self.known.young.get(u) or self.known.older(u) or take(u) for u in words]
         sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(sizes.sum()))
-        same = np.ones(len(words), dtype=bool)
-        if self.lossy:
-            same[:] = [u not in self.lossy and u[:-1] not in self.lossy for u in words]
         first = np.cumsum(sizes) - sizes
         each = sizes[at]
         before = np.concatenate(([0], np.cumsum(each)))
         ids = flat[np.repeat(first[at] - before[:-1], each) + np.arange(before[-1])]
-        wrong = np.concatenate(([0], np.cumsum(~same[at])))
-        back = (wrong[ends[1:]] == wrong[ends[:-1]]) & np.array([SPACE not in t for t in texts], dtype=bool)
-        return ids, before[ends[1:]] - before[ends[:-1]], back
+        return ids, before[ends[1:]] - before[ends[:-1]]
 
     def spelling(self, ids: tuple[int, ...]) -> str:
         """Pieces and bytes of ids, joined."""
@@ -391,7 +384,7 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
     """(id, ids, round_trip) for every row: one pass over whole texts, no shuffle.
 
     ``model_file`` is read on the driver and goes to the workers as a broadcast
-    of its own size.  ``round_trip`` says whether decoding gives the text back;
+    of its own size.  ``round_trip`` says whether the ids, decoded, give the text back;
     a text that itself holds U+2581 cannot come back.  A null text has null ids
     and round_trip; an empty text has no ids and comes back.
     """
@@ -404,8 +397,10 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
         for part in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(step)) + 1):
             ids_of, texts = (batch.column(k).slice(int(part[0]), len(part)) for k in (0, 1))
             gone = np.array(texts.is_null(), dtype=bool)
-            ids, each, back = t.encode_many([x or "" for x in texts.to_pylist()])
+            plain = [x or "" for x in texts.to_pylist()]
+            ids, each = t.encode_many(plain)
             ends = np.concatenate(([0], np.cumsum(each))).astype(np.int32)
+            back = np.array([t.decode(ids[a:b].tolist()) == x for a, b, x in zip(ends[:-1], ends[1:], plain)], dtype=bool)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids), mask=pa.array(gone))
             yield pa.RecordBatch.from_arrays([ids_of, lists, pa.array(back, pa.bool_(), mask=gone)], ["id", "ids", "round_trip"])
 

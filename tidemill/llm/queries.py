@@ -100,7 +100,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(tune(spark), "warc")
-    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    warc.write_archives(table(spark, sf_dir, "pages"), path, segment=8_192)
     return warc.page_table(warc.reassemble(warc.read_records(spark, path)))
 
 

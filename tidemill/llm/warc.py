@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +24,10 @@ _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-
 _CHUNK = 16_384
 
 
-def record_id(page_id) -> str:
-    """The record identifier of a page: the same in every run."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
+def record_id(page_id, digest: str, *more) -> str:
+    """The record identifier of a page and payload: the same in every run; ``more`` tells repeated rows and segments apart."""
+    name = ":".join(map(str, ("page", page_id, digest, *more)))
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
 def chunked(payload: bytes, size: int = _CHUNK) -> bytes:
@@ -62,15 +65,18 @@ def _clean(value) -> str:
     return " ".join(str(value if value is not None else "").split())
 
 
-def records_of(page_id, url, payload: bytes, refers_to, segment: int) -> Iterator[bytes]:
-    """The records of a page without their final blank lines: a revisit, or a response and its continuations."""
+def records_of(page_id, url, payload: bytes, refers_to, segment: int, row: tuple = ()) -> Iterator[bytes]:
+    """The records of a page without their final blank lines: a revisit, or a response and its continuations.
+
+    ``row`` names the row where others have the same page id and payload.
+    """
     digest = hashlib.sha1(payload).hexdigest()
-    own = record_id(page_id)
+    own = record_id(page_id, digest, *row, *(["revisit"] if refers_to is not None else []))
     head = [("WARC-Record-ID", own), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", _clean(url)),
             ("X-Page-ID", str(page_id)), ("WARC-Payload-Digest", f"sha1:{digest}")]
     if refers_to is not None:
         block = _HTTP.replace(b"Transfer-Encoding: chunked\r\n", b"")
-        yield _header([("WARC-Type", "revisit"), *head, ("WARC-Refers-To", record_id(refers_to)),
+        yield _header([("WARC-Type", "revisit"), *head, ("WARC-Refers-To", record_id(refers_to, digest)),
                        ("X-Refers-To-Page", str(refers_to)), ("WARC-Profile", IDENTICAL),
                        ("Content-Type", "application/http; msgtype=response")], len(block)) + block
         return
@@ -87,7 +93,7 @@ def records_of(page_id, url, payload: bytes, refers_to, segment: int) -> Iterato
                       ("WARC-Segment-Number", "1")]
         else:
             fields = [("WARC-Type", "continuation"),
-                      ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{number}')}>"),
+                      ("WARC-Record-ID", record_id(page_id, digest, *row, "segment", number)),
                       ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", _clean(url)),
                       ("WARC-Segment-Origin-ID", own), ("WARC-Segment-Number", str(number))]
         if number == len(pieces):
@@ -96,7 +102,10 @@ def records_of(page_id, url, payload: bytes, refers_to, segment: int) -> Iterato
 
 
 def assign_types(pages: DataFrame, least: int = 1000) -> DataFrame:
-    """``pages`` (page_id, url, html) with ``refers_to``: null for a response, else the page to refer to.
+    """``pages`` (page_id, url, html) with ``refers_to`` and ``repeated``.
+
+    ``refers_to`` is null for a response, else the page to refer to; ``repeated``
+    says that other rows have the same page id and payload.
 
     Of equal payloads of at least ``least`` bytes the largest page_id responds.
     Payloads are told apart by length, SHA-1 and a second hash.  Groups are
@@ -110,8 +119,13 @@ def assign_types(pages: DataFrame, least: int = 1000) -> DataFrame:
     keyed = pages.select("page_id", "x", key.alias("k"))
     twice = (keyed.where("k is not null and page_id is not null").groupBy("k")
              .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").select("k", "keeper"))
-    refers = (keyed.join(twice, "k").where("page_id < keeper").groupBy("page_id", "x").agg(F.max("keeper").alias("refers_to")))
-    return pages.join(refers, ["page_id", "x"], "left").drop("x")
+    refers = keyed.join(twice, "k").where("page_id < keeper").select("page_id", "x", F.col("keeper").alias("refers_to"), F.lit(False).alias("repeated"))
+    again = (keyed.groupBy("page_id", "x").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+             .select("page_id", "x", F.lit(None).cast("long").alias("refers_to"), F.lit(True).alias("repeated")))
+    marks = refers.unionByName(again).groupBy(F.col("page_id").alias("p"), F.col("x").alias("y")).agg(
+        F.max("refers_to").alias("refers_to"), F.max("repeated").alias("repeated"))
+    return (pages.join(marks, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("x") == F.col("y")), "left")
+            .select("page_id", "url", "html", "refers_to", F.coalesce("repeated", F.lit(False)).alias("repeated")))
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 1000, segment: int = 65_536, per_file: int = 1000,
@@ -123,16 +137,19 @@ def write_archives(pages: DataFrame, path: str, least: int = 1000, segment: int
     writer, so a lost executor's part is written again and never twice; the
     blank lines that end a record are the writer's line end.  Whole files are
     compressed.  A null html is an empty payload; a row with a null id is
-    written as a response of its own.
+    written as a response of its own.  Rows that repeat a page id and payload
+    have identifiers of their own, by task and place; then a revisit's
+    WARC-Refers-To names their page and payload.
     """
     named = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
                          F.col(f"`{html_col}`").cast("string").alias("html"))
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def run(batch: pa.RecordBatch, places: Iterator[int]) -> Iterator[pa.RecordBatch]:
         out, held = [], 0
         for i in range(batch.num_rows):
-            pid, url, html, refers = (batch.column(k)[i].as_py() for k in range(4))
-            for record in records_of(pid, url, (html or "").encode("utf-8", "surrogatepass"), refers, segment):
+            pid, url, html, refers, repeated = (batch.column(k)[i].as_py() for k in range(5))
+            row = (TaskContext.get().partitionId(), next(places)) if repeated else ()
+            for record in records_of(pid, url, (html or "").encode("utf-8", "surrogatepass"), refers, segment, row):
                 out.append(record)
                 held += len(record)
                 if held > 8_000_000:
@@ -141,7 +158,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 1000, segment: int
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    lines = map_batches(assign_types(named, least).select("page_id", "url", "html", "refers_to"), run, "record binary")
+    lines = map_batches(assign_types(named, least), run, "record binary", itertools.count)
     (lines.select(F.col("record").cast("string").alias("value")).write.mode("overwrite")
      .option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path))
 
@@ -286,13 +303,13 @@ def joined(pieces: list[dict]) -> bytes:
 def page_table(logical: DataFrame) -> DataFrame:
     """A row per page: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    A revisit takes length and digest from the response that it refers to, found by record identifier.
+    A revisit takes its length from the response that it refers to, found by page and digest.
     """
     # Both sides below need these columns: the archives are read for them once.
-    own = stored(logical.select("record_id", "record_type", "page_id", "refers_to", "refers_id", "payload_bytes", "payload_digest"))
-    answers = own.where("record_type = 'response' and refers_id is null").groupBy(F.col("record_id").alias("refers_id")).agg(
-        F.max("payload_bytes").alias("full_bytes"), F.max("payload_digest").alias("full_digest"))
-    again = own.where("record_type = 'revisit'").join(answers, "refers_id", "left").select(
-        "page_id", F.col("full_bytes").alias("payload_bytes"), F.col("full_digest").alias("payload_digest"), "record_type", "refers_to")
+    own = stored(logical.select("record_type", "page_id", "refers_to", "payload_bytes", "payload_digest"))
+    answers = own.where("record_type = 'response' and page_id is not null").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(
+        F.max("payload_bytes").alias("full_bytes"))
+    again = own.where("record_type = 'revisit'").join(answers, ["refers_to", "payload_digest"], "left").select(
+        "page_id", F.col("full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
     return own.where("record_type = 'response'").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to")).unionByName(again)
