@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain, groupby, islice
 
 import numpy as np
@@ -146,6 +146,7 @@ class Transducer:
         # Ids that stand for their own spelling, ASCII bytes among them.
         self.plain = {i: p for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k in (NORMAL, USER)}
         self.plain |= {i: chr(b) for b, i in self.bytes.items() if b < 128}
+        self.shown = np.array([self.plain.get(i) for i in range(len(self.pieces))], dtype=object)
         self.known = Remembered()
         self.near: dict[str, tuple[str, ...]] = {}
         self.agree: dict[str | None, dict[str, bool]] = {}
@@ -357,10 +358,18 @@ class Transducer:
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: pieces joined, byte runs read as UTF-8 (bad bytes become U+FFFD), the front space taken off."""
-        try:
-            line = "".join(map(self.plain.__getitem__, ids))
-        except KeyError:
-            line = self.spelling(tuple(ids))
+        return next(self.decode_many(np.array(ids, dtype=np.int64), [0, len(ids)]))
+
+    def decode_many(self, ids: np.ndarray, ends: Sequence[int]) -> Iterator[str]:
+        """Texts of the ids between neighbouring ``ends``."""
+        pieces = self.shown[ids].tolist()
+        for a, b in zip(ends[:-1], ends[1:]):
+            try:
+                yield self._line("".join(pieces[a:b]))
+            except TypeError:  # a byte, a control mark or an unknown is among them
+                yield self._line(self.spelling(tuple(ids[a:b].tolist())))
+
+    def _line(self, line: str) -> str:
         if self.prefix and line.startswith(SPACE):
             line = line[1:]
         return line.replace(SPACE, " ")
@@ -400,7 +409,7 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
             plain = [x or "" for x in texts.to_pylist()]
             ids, each = t.encode_many(plain)
             ends = np.concatenate(([0], np.cumsum(each))).astype(np.int32)
-            back = np.array([t.decode(ids[a:b].tolist()) == x for a, b, x in zip(ends[:-1], ends[1:], plain)], dtype=bool)
+            back = np.fromiter(map(str.__eq__, t.decode_many(ids, ends), plain), dtype=bool, count=len(plain))
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids), mask=pa.array(gone))
             yield pa.RecordBatch.from_arrays([ids_of, lists, pa.array(back, pa.bool_(), mask=gone)], ["id", "ids", "round_trip"])
 
