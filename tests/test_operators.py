@@ -5,11 +5,12 @@ import statistics
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import scalar as s
 from tidemill.operators import (
-    asof_join, band_join, diff_results, exact_median, fold_changelog, hop, key_join, latest_by, net_of_sums, range_frame,
+    asof_join, band_join, diff_results, exact_median, fold_changelog, hop, key_join, lagged, latest_by, net_of_sums, range_frame,
     running_sum, top_n, tumble, update_where, upsert, windows_holding,
 )
 
@@ -306,3 +307,26 @@ def test_dashboard_without_pairs_equals_the_joined_one(spark):
                 assert a[k][name] == row[name] or a[k][name] == pytest.approx(row[name], rel=1e-9, abs=1e-9), (k, name)
     plan = markets.dashboard_from_ticks(ticks, context, metrics)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan, plan
+
+
+@pytest.mark.parametrize("slot, back", [("1 second", 1), ("10 seconds", 3), ("1 day", 2)])
+def test_lag_in_slots_is_the_plain_lag(spark, slot, back):
+    rng = random.Random(back)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice([None, *range(0, 60)]), rng.choice([None, 1.5, 2.5])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, k string, s int, v double").withColumn("ts", F.timestamp_seconds("s")).drop("s")
+    plain = Window.partitionBy("k").orderBy("ts", "id")
+    want = df.withColumns({"x": F.lag("v", back).over(plain), "y": F.lag("id", 1).over(plain)})
+    got = lagged(df, ["k"], "ts", {"x": ("v", back), "y": ("id", 1)}, slot, ["id"]).select(want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_one_key_over_a_year_fills_many_tasks(spark):
+    hours = spark.range(24 * 365).select(F.lit("r").alias("k"), F.timestamp_seconds(F.col("id") * 3600).alias("ts"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = lagged(hours, ["k"], "ts", {"p": ("id", 5)}, "7 days").withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in found.groupBy("task").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) >= 3 and max(sizes) < 24 * 365 * 0.6
+    assert found.where("p <> id - 5 or (p is null and id >= 5)").count() == 0

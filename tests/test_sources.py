@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemill.sinks import writers
 from tidemill.sinks.keyed import KeyedTable
-from tidemill.sources import cdc, decode, files
+from tidemill.sources import cdc, decode, files, profiles
 
 
 def test_kafka_options():
@@ -121,3 +121,32 @@ def test_messages_and_defaults(spark):
 def test_scratch_dir_prefers_the_shared_folder(spark):
     from tidemill.session import scratch_dir
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_merged_profiles_equal_one_scan(spark, tmp_path):
+    """Counts and extremes are exact, sketches lie in their bound, a batch that runs twice counts once, and data rows are not read again."""
+    from decimal import Decimal
+
+    rows = [(i, None if i % 5 == 0 else i % 700, f"t{i % 90}", Decimal(i) / 4, [i], (i % 3 == 0, float(i))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, n int, s string, d decimal(12,2), a array<long>, p struct<ok: boolean, x: double>")
+    view = profiles.ProfileView(str(tmp_path / "p"))
+    assert view.read(spark) is None
+    for i in (0, 1, 1, 2, 3):
+        view.handler(df.where(F.col("id") % 4 == i).limit(0) if i == 3 else df.where(F.col("id") % 3 == i), i)
+    got = {r["column"]: r for r in view.read(spark).collect()}
+    assert set(got) == {"id", "n", "s", "d", "a", "p.ok", "p.x"}
+    assert [(got[c]["rows"], got[c]["nulls"], got[c]["minimum"], got[c]["maximum"]) for c in ("id", "n", "s", "d", "p.ok")] == [
+        (3000, 0, "0", "2999"), (3000, 600, "1", "699"), (3000, 0, "t0", "t9"), (3000, 0, "0.00", "749.75"), (3000, 0, "false", "true")]
+    assert got["a"]["rows"] == 3000 and got["a"]["distinct_about"] is None
+    assert abs(got["id"]["distinct_about"] - 3000) < 3000 * 0.06 and abs(got["n"]["distinct_about"] - 560) < 560 * 0.06
+    assert abs(got["p.x"]["median_about"] - 1500) < 3000 * 0.04
+    state = view.state(spark)
+    assert profiles.profile_of(profiles.merged(state)).select("column", "rows").exceptAll(view.read(spark).select("column", "rows")).count() == 0
+
+
+def test_nested_fields(spark):
+    texts = ['{"a": 1, "b": {"c": [1, 2], "d": null}, "e": [{"f": "x"}]}', '{"a": 2.5, "b": {"c": []}}', '{"e": [{"g": true}], "z": "t"}', "[1]", "nope", None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert {(r["field"], r["type"]) for r in profiles.nested_fields(df).collect()} == {
+        ("a", "DECIMAL(21,1)"), ("b.c[]", "BIGINT"), ("b.d", "VOID"), ("e[].f", "STRING"), ("e[].g", "BOOLEAN"), ("z", "STRING")}
+    assert profiles.nested_fields(df.limit(0)).count() == 0

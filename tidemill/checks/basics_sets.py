@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemill.checks.harness import check, declare
 from tidemill.functions import scalar as s
 from tidemill.operators import (
-    asof_join, band_join, count_where, distinct_where, exact_median, first_by, hop, last_by, latest_by, net_of_sums, page,
+    asof_join, band_join, count_where, distinct_where, exact_median, first_by, hop, lagged, last_by, latest_by, net_of_sums, page,
     previous, range_frame, running_sum, sum_where, top_k, top_n, tumble, update_where, upsert, windows_holding, zero_filled,
 )
 from tidemill.session import stored
@@ -159,6 +159,10 @@ check("w6_latest_per_key", E, oracle="SELECT * FROM events QUALIFY row_number()
 check("w7_top_n_per_window", E, oracle="""SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, user_id, count(*) AS n, row_number() OVER (PARTITION BY window_start ORDER BY count(*) DESC, user_id) AS rank
     FROM events GROUP BY 1, 2 QUALIFY rank <= 3""")(
     lambda e: top_n(tumble(e, "ts", "1 day").groupBy("window_start", "user_id").agg(F.count("*").alias("n")), ["window_start"], [F.desc("n"), F.asc("user_id")], 3))
+check("w8_lag_in_slots", E, oracle="""SELECT event_id, user_id, ts, lag(event_type) OVER w AS before, lag(value, 3) OVER w AS three_back FROM events
+    WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id)""")(
+    lambda e: lagged(e.select("event_id", "user_id", "ts", "event_type", "value"), ["user_id"], "ts", {"before": ("event_type", 1), "three_back": ("value", 3)}, "2 days", ["event_id"])
+    .drop("event_type", "value"))
 check("w8_lag", E, oracle="""SELECT user_id, window_end, n, lag(n) OVER (PARTITION BY user_id ORDER BY window_end) AS before FROM
     (SELECT user_id, time_bucket(INTERVAL '1 day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS n FROM events GROUP BY ALL)""")(
     lambda e: previous(tumble(e, "ts", "1 day").groupBy("user_id", "window_end").agg(F.count("*").alias("n")), ["user_id"], "window_end", {"before": "n"}))

@@ -22,7 +22,7 @@ declare(
     fuel_logs="""SELECT 'f' || l_orderkey || '-' || l_linenumber AS fuel_log_id, l_orderkey AS truck_id, l_shipdate AS fuel_date,
                    CAST(l_quantity AS BIGINT) AS liters_filled FROM {lineitem} WHERE l_returnflag = 'R'""",
     service_logs="""SELECT 'm' || l_orderkey || '-' || l_linenumber AS maintenance_id, l_orderkey AS truck_id, l_shipdate AS maintenance_date,
-                   CAST(floor(l_extendedprice) AS BIGINT) AS cost_usd FROM {lineitem} WHERE l_returnflag = 'A'""",
+                   CAST(floor(l_extendedprice) AS BIGINT) AS cost_usd FROM {lineitem} WHERE l_returnflag <> 'R'""",
     gps="""SELECT ts AS event_ts, 'v' || user_id AS vehicle_id, 1.0E0 + (user_id % 40) * 0.0005E0 AS lat,
              103.0E0 + (event_id % 40) * 0.0005E0 AS lon, 20.0E0 + event_id % 60 AS speed_kmh FROM {events}""",
     road_cells="""SELECT ts AS event_ts, 'reg' || event_id % 9 AS region_id, 1.0E0 + (user_id % 40) * 0.0005E0 AS min_lat,

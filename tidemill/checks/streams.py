@@ -22,6 +22,7 @@ from tidemill.sinks import writers
 from tidemill.sinks.keyed import KeyedTable
 from tidemill.sinks.staged import StagedUpserts
 from tidemill.sources import cdc, decode, files, landed
+from tidemill.sources.profiles import ProfileView, nested_fields
 from tidemill.streaming.joins import interval_join, outer_interval_view
 from tidemill.streaming.catalog import VIEWS
 from tidemill.streaming.expiry import present, retained, rocks_state, running_totals
@@ -203,6 +204,25 @@ check("s26_profile", E, oracle="\nUNION ALL ".join(f"""SELECT '{c}' AS "column",
     lambda e: files.profile(e, exact=True).select("column", "rows", "nulls", "distinct_values", "minimum", "maximum"))
 
 
+def _profile_by_batch(spark, e):
+    """The profile of a stream, merged from the states of its batches; fields inside a struct count too."""
+    view = ProfileView(scratch_dir(spark, "profile"))
+    nested = e.select("event_id", "ts", F.struct("user_id", "event_type", "value").alias("body"))
+    with small_state(spark):
+        start_handler(as_stream(spark, nested), view.handler, scratch_dir(spark, "checkpoint")).awaitTermination()
+    return view.read(spark).select("column", "rows", "nulls", "minimum", "maximum")
+
+
+check("s26_profile_by_batch", E, wants_spark=True, oracle="\nUNION ALL ".join(f"""SELECT '{n}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, min({c})::VARCHAR AS minimum, max({c})::VARCHAR AS maximum FROM events"""
+                                                                          for c, n in (("event_id", "event_id"), ("ts", "ts"), ("user_id", "body.user_id"), ("event_type", "body.event_type"), ("value", "body.value"))))(
+    lambda spark, sf, e: _profile_by_batch(spark, e))
+check("s25_nested_fields", E, oracle="""SELECT c.field, c.type FROM (VALUES ('id', 'BIGINT'), ('user.id', 'BIGINT'), ('user.kind', 'STRING'), ('tags[]', 'STRING'), ('steps[].at', 'BIGINT'),
+    ('steps[].ok', 'BOOLEAN')) c(field, type), (SELECT count(*) AS n FROM events) WHERE n > 0""")(
+    lambda e: nested_fields(e.select(F.to_json(F.struct(
+        F.col("event_id").alias("id"), F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("kind")).alias("user"), F.array("event_type").alias("tags"),
+        F.array(F.struct(F.col("event_id").alias("at"), (F.col("event_id") > 3).alias("ok"))).alias("steps"))).alias("value"))))
+
+
 def _graph(spark, e):
     graph = ViewGraph()
     graph.add("tm_daily_users", lambda daily: daily.groupBy("day").agg(F.count("*").alias("users")), reads=["tm_daily"])

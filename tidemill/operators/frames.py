@@ -4,9 +4,10 @@ A plain ``PARTITION BY key`` puts a whole key into one task.  These operators
 cut each key into time slots first, so the slot is the unit of work:
 
 * ``range_frame``  copies only the rows near a slot's end into the next slot;
-* ``running_sum``  carries each slot's total forward as one extra row.
+* ``running_sum``  carries each slot's total forward as one extra row;
+* ``lagged``       passes the last rows of earlier slots on.
 
-Both return exactly what the unsliced window would.
+All return exactly what the unsliced window would.
 """
 
 from __future__ import annotations
@@ -76,7 +77,37 @@ def running_sum(df: DataFrame, keys: Sequence[str], ts: str, sums: Mapping[str,
     )
 
 
+def lagged(df: DataFrame, keys: Sequence[str], ts: str, lags: Mapping[str, tuple[str, int]], slot: str = "1 day",
+           ties: Sequence[str] = ()) -> DataFrame:
+    """LAG per key in the order of ``ts``, then ``ties``; ``lags`` maps a new column to (column, rows back).
+
+    Each (key, slot) is worked on by itself, with the last rows of the key's
+    earlier slots passed on to it, as many as the longest lag.  So a key's
+    history may fill many tasks; slots without rows cost nothing.  NULL times
+    come first, as in a plain window.
+    """
+    most = max(back for _, back in lags.values())
+    carried = list(dict.fromkeys([*ties, *[old for old, _ in lags.values()]]))
+    order = ["_us", *[f"_x.{c}" for c in ties]]
+    rows = df.withColumn("_us", event_micros(ts)).withColumns({
+        "_slot": F.floor(F.col("_us") / F.lit(micros(slot))), "_x": F.struct(*carried)})
+    newest = Window.partitionBy(*keys, "_slot").orderBy(*[F.desc(c) for c in order])
+    tail = F.sort_array(F.collect_list(F.struct((-F.col("_rn")).alias("n"), "_us", "_x")))
+    tails = (rows.select(*keys, "_slot", "_us", "_x").withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= most)
+             .groupBy(*keys, "_slot").agg(tail.alias("_tail")))
+    # Every slot with rows has one at least, so the last rows lie in as many slots before.
+    before = Window.partitionBy(*keys).orderBy(F.asc("_slot")).rowsBetween(-most, -1)
+    past = F.flatten(F.collect_list("_tail").over(before))
+    passed = tails.select(*keys, "_slot", past.alias("_past")).filter(F.size("_past") > 0).select(
+        *keys, "_slot", F.explode(F.slice("_past", -F.least(F.lit(most), F.size("_past")), most)).alias("_p"))
+    passed = passed.select(*keys, "_slot", F.col("_p._us").alias("_us"), F.col("_p._x").alias("_x"), F.lit(True).alias("_old"))
+    whole = rows.withColumn("_old", F.lit(False)).unionByName(passed, allowMissingColumns=True)
+    here = Window.partitionBy(*keys, "_slot").orderBy(*[F.asc(c) for c in order])
+    found = whole.withColumns({new: F.lag(f"_x.{old}", back).over(here) for new, (old, back) in lags.items()})
+    return found.filter(~F.col("_old")).drop("_us", "_slot", "_x", "_old")
+
+
 def previous(df: DataFrame, keys: Sequence[str], order: str, columns: Mapping[str, str]) -> DataFrame:
-    """LAG(1) per key.  Meant for windowed results, where a key has one row per window."""
+    """LAG(1) per key.  Meant for windowed results, where a key has one row per window; ``lagged`` cuts long keys into slots."""
     w = Window.partitionBy(*keys).orderBy(order)
     return df.withColumns({new: F.lag(old, 1).over(w) for new, old in columns.items()})

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.scalar import moment, span
-from tidemill.operators import tumble
+from tidemill.operators import lagged, tumble
 
 # (batch, steps, features) -> (batch,) of scaled flow
 Model = Callable[[np.ndarray], np.ndarray]
@@ -58,19 +58,20 @@ def _scaled(column: str, ranges: DataFrame) -> Column:
     return F.when(F.col(column).isNotNull(), scaled)
 
 
-def sequences(features: DataFrame, steps: int = 5, ranges: DataFrame | None = None) -> DataFrame:
+def sequences(features: DataFrame, steps: int = 5, ranges: DataFrame | None = None, slot: str = "7 days") -> DataFrame:
     """The ``steps`` scaled feature vectors before each row of a road, plus the row's own scaled flow.
 
     Rows with a shorter past are left out.  ``ranges`` (one row) is where the
-    scale was learnt; by default it is the input itself.
+    scale was learnt; by default it is the input itself.  A road's history is
+    worked on by ``slot``.
     """
     ranges = feature_ranges(features) if ranges is None else ranges
-    ordered = Window.partitionBy("road_id").orderBy("window_start")
     vector = F.array(*[_scaled(c, ranges).cast("double") for c in FEATURES])
-    with_vector = features.withColumn("_v", vector)
+    past = lagged(features.select("road_id", "window_start", vector.alias("_v")), ["road_id"], "window_start",
+                  {f"_v{i}": ("_v", i) for i in range(1, steps + 1)}, slot)
     return (
-        with_vector
-        .withColumn("x", F.array(*[F.lag("_v", i).over(ordered) for i in range(steps, 0, -1)]))
+        past
+        .withColumn("x", F.array(*[F.col(f"_v{i}") for i in range(steps, 0, -1)]))
         .filter(F.element_at("x", 1).isNotNull())
         .select("road_id", "window_start", "x", F.col("_v")[0].alias("y"))
     )
