@@ -6,8 +6,9 @@ import random
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
-from tidemill.llm import langid, pieces, warc
+from tidemill.llm import annforest, langid, neardup, pieces, warc
 from tidemill.llm.queries import MODEL_FILE
 from tidemill.session import scratch_dir
 
@@ -90,3 +91,38 @@ def test_filter_holds_the_exact_sets_of_two_hundred_languages(spark):
                 absent, passed = absent + len(h), passed + int(hit.sum())
     assert passed / absent < 0.02
     assert {r["id"]: r["lang_pred"] for r in langid.predict(docs, model).collect()} == {i: lang for i, _, lang in rows}
+
+
+def test_vectors_of_mixed_lengths(spark):
+    """Links and neighbours within each length, one-dimensional vectors among them."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for dims, count in ((1, 12), (2, 40), (3, 30), (5, 60), (7, 3)):
+        rows += [(len(rows) + i, [float(x) for x in rng.standard_normal(dims)], i % 2) for i in range(count)]
+    rows += [(1000, rows[0][1], 0), (1001, [0.0], 0), (1002, None, 0), (1003, [1.0, None], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    good = [(i, np.array(v), g) for i, v, g in rows if v and None not in v and any(v)]
+    want = {}
+    for i, v, g in good:
+        near = [j for j, w, h in good if j != i and h == g and len(w) == len(v) and v @ w / np.linalg.norm(v) / np.linalg.norm(w) >= 0.93]
+        want[i] = near
+    reach = {i: i for i, _, _ in rows}
+    while True:
+        new = {i: min([reach[i], *[reach[j] for j in want.get(i, [])]]) for i in reach}
+        if new == reach:
+            break
+        reach = new
+    got = {r["id"]: (r["n_links"], r["component"]) for r in neardup.near_duplicates(df).collect()}
+    assert got == {i: (len(want.get(i, [])), reach[i]) for i, _, _ in rows}
+    assert sum(len(x) for x in want.values()) > 60
+    asked = {i for i, _, _ in good if i % 10 == 0}
+    found = {}
+    for r in annforest.search(df, F.col("id") % 10 == 0, k=4).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["id"], r["score"]))
+    hits = total = 0
+    for i, v, _ in good:
+        if i in asked:
+            best = sorted((float(np.linalg.norm(v - w)), j) for j, w, _ in good if j != i and len(w) == len(v))[:4]
+            hits, total = hits + len({j for _, j in best} & {j for _, j, _ in found[i]}), total + len(best)
+            assert len(found[i]) == len(best)
+    assert set(found) == asked and hits >= 0.9 * total

@@ -41,22 +41,29 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
     that share a prefix of that length number ``share`` times the indexed rows
     over all trees together.  All of them are compared; there is no other limit.
 
-    Vectors that are null, empty, zero or hold null or non-finite parts, or are
-    not as long as most, take no part, nor do null ids.  Rows that repeat an id
+    Vectors that are null, empty, zero or hold null or non-finite parts take no
+    part, nor do null ids.  Vectors of each length have a forest of their own.  Rows that repeat an id
     and vector count once.  Of equal vectors the k + 1 smallest ids enter, which
     is all that any answer can name.  Ties go to the smaller id.  A query with
     fewer than ``k`` others has fewer rows; an empty table gives none.
     """
     spark = vectors.sparkSession
-    clean = clean_vectors(vectors, id_col, vec_col)
-    lengths = clean.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").limit(1).collect()
-    empty = spark.createDataFrame([], "query_id long, rank int, id long, score double")
-    if not lengths:
-        return empty
-    dims = lengths[0]["dims"]
-    clean = clean.where(F.size("v") == dims).dropDuplicates(["id", "v"])
-    n = clean.count()
-    n_queries = clean.where(is_query).count()
+    clean = clean_vectors(vectors, id_col, vec_col).dropDuplicates(["id", "v"])
+    asked = clean.where(is_query).groupBy(F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("queries"))
+    # One row per length; there is a distance within a length only.
+    lengths = clean.groupBy(F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("rows")).join(asked, "dims").orderBy("dims").collect()
+    found = spark.createDataFrame([], "query_id long, rank int, id long, score double")
+    for r in lengths:
+        part = _search_length(clean.where(F.size("v") == r["dims"]), is_query, r["dims"], r["rows"], r["queries"], k, trees, share,
+                              shard_bits, shard_rows, query_rows)
+        found = part if len(lengths) == 1 else found.unionByName(stored(part))
+    return found
+
+
+def _search_length(clean: DataFrame, is_query, dims: int, n: int, n_queries: int, k: int, trees: int, share: float, shard_bits: int,
+                   shard_rows: int, query_rows: int) -> DataFrame:
+    """The search among vectors of one length."""
+    spark = clean.sparkSession
     kind = clean.schema["v"].dataType.simpleString()
     planes, cuts = fit_planes(clean, dims, trees)
     model = spark.sparkContext.broadcast((planes, cuts))

@@ -100,23 +100,37 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     links, never its pairs.  Equal vectors of a group are folded into one that
     carries their number, so copies cost nothing.
 
-    Vectors that are null, zero, of another length than most or with null or
-    non-finite parts, and rows with a null group, have no links and are their
-    own component.  A null id stays, without links.  Repeated (id, vector) rows
-    link with each other like other copies; rows that share an id count as one
-    item that has the links of all of them.  An empty table gives an empty
-    result.
+    Vectors that are null, zero or with null or non-finite parts, and rows with
+    a null group, have no links and are their own component.  Vectors link with
+    those of their own length; lengths up to the same power of two are worked on
+    together, the shorter ones filled with zeros, which change no cosine.  A null
+    id stays, without links.  Repeated (id, vector) rows link with each other
+    like other copies; rows that share an id count as one item that has the
+    links of all of them.  An empty table gives an empty result.
     """
     base = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"))
     clean = clean_vectors(vectors, id_col, vec_col, group_col).where("m0 is not null")
-    lengths = clean.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").limit(1).collect()
-    if not lengths:
+    sized = clean.withColumn("n", F.size("v"))
+    bands = sized.groupBy(F.ceil(F.log2(F.col("n"))).alias("band")).agg(F.max("n").alias("dims")).orderBy("band").collect()
+    linked = None
+    for b in bands:  # at most 31
+        band = sized.where(F.ceil(F.log2(F.col("n"))) == b["band"])
+        filled = F.concat("v", F.array_repeat(F.lit(0.0).cast(clean.schema["v"].dataType.elementType), F.lit(b["dims"]) - F.col("n")))
+        rows = band.select("id", F.when(F.col("n") < b["dims"], filled).otherwise(F.col("v")).alias("v"),
+                           F.concat_ws(":", F.col("n"), F.col("m0").cast("string")).alias("g"))
+        part = _links_of(rows, b["dims"], threshold, block, min(grid_dims, b["dims"]))
+        linked = part if linked is None else linked.unionByName(part)
+    if linked is None:
         return base.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
-    dims = lengths[0]["dims"]
-    clean = clean.where(F.size("v") == dims)
-    # One row per distinct vector of a group.  The hash keeps the grouping key short.
-    kind = clean.schema["v"].dataType.simpleString()
-    rows = clean.select("id", "v", F.col("m0").cast("string").alias("g"))
+    linked = linked.groupBy("id").agg(F.max("n_links").alias("n_links"), F.min("component").alias("component"))
+    return base.join(linked, "id", "left").select(
+        "id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
+
+
+def _links_of(rows: DataFrame, dims: int, threshold: float, block: int, grid_dims: int) -> DataFrame:
+    """(id, n_links, component) of the rows (id, v, g) that have a group, vectors being ``dims`` long."""
+    # One row per distinct vector of a group.
+    kind = rows.schema["v"].dataType.simpleString()
     reps = stored(rows.groupBy("g", "v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     axes = principal_axes(reps, dims)
     width = math.sqrt(max(2 - 2 * threshold, 1e-12)) + 1e-6
@@ -141,7 +155,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     left = left.select("g", "c1", "b1", F.zip_with("c1", "shift", lambda x, y: x + y).alias("c2"))
     tiles = (left.join(blocks.select("g", F.col("cell").alias("c2"), F.col("blk").alias("b2")), ["g", "c2"])
              .where((F.col("c1") < F.col("c2")) | ((F.col("c1") == F.col("c2")) & (F.col("b1") <= F.col("b2")))))
-    tiles = tiles.withColumn("tile", F.xxhash64("g", "c1", "b1", "c2", "b2"))
+    # Two hashes: one alone may name two tiles where there are very many.
+    tiles = tiles.withColumn("tile", F.struct(F.xxhash64("g", "c1", "b1", "c2", "b2").alias("x"), F.xxhash64("b2", "c2", "g", "b1", "c1").alias("y")))
     tiles = stored(tiles)
     same = (F.col("c1") == F.col("c2")) & (F.col("b1") == F.col("b2"))
     sides = (tiles.select("g", F.col("c1").alias("cell"), F.col("b1").alias("blk"), "tile", F.lit(0).alias("side"), same.alias("same"))
@@ -185,9 +200,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
              .join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
              .select("g", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                      F.coalesce("component", "rep").alias("component")))
-    linked = rows.join(named, ["g", "v"]).groupBy("id").agg(F.max("n_links").alias("n_links"), F.min("component").alias("component"))
-    return base.join(linked, "id", "left").select(
-        "id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
+    return rows.join(named, ["g", "v"]).select("id", "n_links", "component")
 
 
 def _shifts(dims: int) -> list[tuple[int, ...]]:
