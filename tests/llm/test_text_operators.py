@@ -330,7 +330,65 @@ def test_fuzzy_passages_down_to_the_identity(spark, even):
 def test_passage_ends_are_aligned_with_gaps():
     a = np.arange(60)
     b = np.concatenate((a[:10], [900], a[10:30], a[31:]))
-    assert passages.align(a, b, [(12, 13)], 4)[:4] == (0, 60, 0, 60)
+    assert passages.together([passages.align(a, b, [(12, 13)], 4)])[0][:4] == (0, 60, 0, 60)
+
+
+def grown_plainly(a, b, cost, band=8):
+    """Growth of one pair by a table of cells, row by row."""
+    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    a, b = a[same:], b[same:]
+    top, best = 0.0, (0, 0, 0, 0)
+    row = {j: (-cost * j, 0, -j) for j in range(min(band, len(b)) + 1)}
+    for i in range(1, len(a) + 1) if len(b) else ():
+        new = {}
+        for j in range(max(0, i - band), min(len(b), i + band) + 1):
+            ways = [(r[0] - cost, r[1], r[2] - 1) for r in (row.get(j), new.get(j - 1)) if r]
+            if j and j - 1 in row:
+                s, m, c = row[j - 1]
+                ways.append((s + 1, m + 1, c - 1) if a[i - 1] == b[j - 1] else (s - cost, m, c - 1))
+            if ways and max(ways)[0] >= top - 10 * cost:
+                new[j] = max(ways)
+                if new[j][0] > top:
+                    top, best = new[j][0], (i, j, new[j][1], -new[j][2])
+        row = new
+        if not row:
+            break
+    return tuple(same + n for n in best)
+
+
+def test_growth_of_many_pairs_is_that_of_each():
+    rng = np.random.default_rng(7)
+    asked = [(np.zeros(0, int), np.arange(3), 2.0), (np.arange(5), np.arange(5), 1.0)]
+    for _ in range(400):
+        a = rng.integers(0, 40, rng.integers(0, 90))
+        b = [w for w in a if rng.random() > 0.04]
+        b = [99 if rng.random() < 0.08 else w for w in b] + list(rng.integers(0, 40, rng.integers(0, 20)))
+        asked.append((a, np.array(b, dtype=int), float(rng.choice([0.5, 1.0, 2.0, 4.0]))))
+    assert passages.grow(asked) == [grown_plainly(*q) for q in asked]
+
+
+def test_seeds_leave_out_only_those_of_one_document(spark):
+    rng = random.Random(3)
+    line = " ".join(f"l{rng.randrange(10**6)}" for _ in range(40))
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(0, 200))) for _ in range(60)]
+    rows = [*enumerate(texts), (100, line), (101, "start " + line.upper()), (102, None), (None, line), (103, ""), (104, "one two three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(tuple(r) for r in passages.seeds(docs, "doc_id", "text", 4, 1).where("not wide").select("hash", "id", "pos").collect())
+    every = []
+    for doc, text in rows:
+        if doc is not None:
+            every += [(h, doc, pos) for pos, h in enumerate(passages.kmer_hashes(passages.words_of(text), 4).view(np.int64).tolist())]
+    holders = {}
+    for h, doc, _ in every:
+        holders.setdefault(h, set()).add(doc)
+    needed = {row for row in every if len(holders[row[0]]) > 1}
+    assert len(got) == len(set(got)) and needed <= set(got) <= set(every)
+    assert len(got) < len(every) / 2 or len(needed) > len(every) / 3
+
+
+def test_packed_cells_come_back():
+    for cells in ([0], [65534, 65535, 65536, 131070, 131071, (1 << 24) - 1], list(range(0, 1 << 24, 70_001))):
+        assert passages._unpacked(passages._packed(np.array(cells))).tolist() == cells
 
 
 def iban(country, body):
