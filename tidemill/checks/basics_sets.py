@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from tidemill.checks.harness import check, declare
 from tidemill.functions import scalar as s
 from tidemill.operators import (
-    asof_join, band_join, count_where, distinct_where, exact_median, first_by, hop, lagged, last_by, latest_by, net_of_sums, page,
-    previous, range_frame, running_sum, sum_where, top_k, top_n, tumble, update_where, upsert, windows_holding, zero_filled,
+    asof_join, band_join, count_where, distinct_where, exact_median, exact_quantile, first_by, hop, lagged, last_by, latest_by, net_of_sums,
+    page, previous, range_frame, running_sum, sum_where, top_k, top_n, tumble, update_where, upsert, windows_holding, zero_filled,
 )
 from tidemill.session import stored
 
@@ -112,6 +112,8 @@ check("a7_stddev_pop", E, oracle="SELECT time_bucket(INTERVAL '1 day', ts) AS wi
     lambda e: tumble(e, "ts", "1 day").groupBy("window_start").agg(F.round(F.stddev_pop("value"), 6).alias("sd")))
 check("a8_exact_median", E, oracle="SELECT event_type, round(quantile_cont(value, 0.5), 9) AS median FROM events GROUP BY 1")(
     lambda e: exact_median(e, ["event_type"], "value", "median").withColumn("median", F.round("median", 9)))
+check("a8_exact_quantile", L, oracle="SELECT l_returnflag, round(quantile_cont(l_extendedprice::DOUBLE, 0.9), 6) AS p90 FROM lineitem GROUP BY 1")(
+    lambda x: exact_quantile(x, ["l_returnflag"], "l_extendedprice", "p90", 0.9, limit=2_000).withColumn("p90", F.round("p90", 6)))
 check("a9_first_last", E, oracle="SELECT user_id, arg_min(value, ts) AS first, arg_max(value, ts) AS last FROM events GROUP BY 1")(
     lambda e: e.groupBy("user_id").agg(first_by("value", "ts", "event_id").alias("first"), last_by("value", "ts", "event_id").alias("last")))
 check("a10_global_aggregate", O, oracle="SELECT max(o_orderdate) AS last, count(*) AS n FROM orders")(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.scalar import (
     event_micros, grid_id, haversine_km, int_div, moment, round_numeric, span,
 )
-from tidemill.operators import count_where, latest_by
+from tidemill.operators import Factorised, count_where, latest_by
 
 # -- warehouse stock -------------------------------------------------------------------
 
@@ -41,26 +41,44 @@ def demand_forecast(inventory: DataFrame, sales: DataFrame, as_of: Column | str
 
 # -- seven-way fleet join ---------------------------------------------------------------
 
-def fleet_assignments(drivers: DataFrame, trucks: DataFrame, shipments: DataFrame, routes: DataFrame,
-                      warehouses: DataFrame, fuel: DataFrame, maintenance: DataFrame) -> DataFrame:
-    """Every driver with the truck, its shipments, routes, destination, fuel and service logs.
+def fleet(drivers: DataFrame, trucks: DataFrame, shipments: DataFrame, routes: DataFrame,
+          warehouses: DataFrame, fuel: DataFrame, maintenance: DataFrame) -> Factorised:
+    """Every driver with the truck, its shipments, routes, destination, fuel and service logs, kept as parts by truck.
 
     The driver-to-truck join is inner: later joins need the truck in any case.
-    Declared as one chain, so Spark reorders it and picks a strategy per join.
+    Log rows of trucks without a driver are left out before the logs are shuffled.
     """
-    base = drivers.join(trucks, F.col("assigned_truck_id") == F.col("truck_id"))
     stops = shipments.join(
         warehouses.select(F.col("location").alias("warehouse_location"),
                           F.col("capacity_tons").alias("warehouse_capacity_tons")),
         F.col("destination") == F.col("warehouse_location"))
-    legs = routes.select("truck_id", "route_id", "estimated_departure_time", "distance_km")
-    return base.join(stops, "truck_id").join(legs, "truck_id").join(fuel, "truck_id").join(maintenance, "truck_id").select(
+    return Factorised(["truck_id"], {
+        "base": drivers.join(trucks, F.col("assigned_truck_id") == F.col("truck_id")), "stops": stops,
+        "legs": routes.select("truck_id", "route_id", "estimated_departure_time", "distance_km"),
+        "fuel": fuel, "service": maintenance}).reduced(["base"])
+
+
+def fleet_assignments(drivers: DataFrame, trucks: DataFrame, shipments: DataFrame, routes: DataFrame,
+                      warehouses: DataFrame, fuel: DataFrame, maintenance: DataFrame) -> DataFrame:
+    """The rows of ``fleet``: all pairs of a truck's logs, as many as the products of their counts.
+
+    Where only counts or sums are wanted, ``fleet_totals`` needs none of the pairs.
+    """
+    return fleet(drivers, trucks, shipments, routes, warehouses, fuel, maintenance).rows().select(
         "truck_id", "driver_id", "driver_name", "license_number", "truck_model", "capacity_tons", "current_location",
         "shipment_id", "origin", "warehouse_location", "warehouse_capacity_tons", "route_id",
         "estimated_departure_time", "distance_km", "fuel_log_id", "fuel_date", "liters_filled",
         "maintenance_id", "maintenance_date", "cost_usd")
 
 
+def fleet_totals(drivers: DataFrame, trucks: DataFrame, shipments: DataFrame, routes: DataFrame,
+                 warehouses: DataFrame, fuel: DataFrame, maintenance: DataFrame) -> DataFrame:
+    """Rows, distance, liters and cost over ``fleet_assignments`` per driver, without its pairs."""
+    return fleet(drivers, trucks, shipments, routes, warehouses, fuel, maintenance).totals(
+        "base", ["driver_id", "driver_name"],
+        {"distance_km": ("legs", "distance_km"), "liters_filled": ("fuel", "liters_filled"), "cost_usd": ("service", "cost_usd")})
+
+
 FUEL_PRICE = 1.2  # fixed value: price per liter
 
 
