@@ -58,7 +58,7 @@ check("q66_fleet_assignments", "drivers", "trucks", "shipments", "routes", "depo
       AND f.truck_id = t.truck_id AND m.truck_id = t.truck_id""")(g.fleet_assignments)
 _WHOLE = ("n_rows", "distance_km", "liters_filled", "cost_usd")
 check("q66_fleet_totals", "drivers", "trucks", "shipments", "routes", "depots", "fuel_logs", "service_logs", oracle="""
-    SELECT driver_id, driver_name, count(*) AS n_rows, sum(distance_km)::BIGINT AS distance_km,
+    SELECT d.driver_id, driver_name, count(*) AS n_rows, sum(distance_km)::BIGINT AS distance_km,
       sum(liters_filled)::BIGINT AS liters_filled, sum(cost_usd)::BIGINT AS cost_usd
     FROM trucks t, drivers d, shipments s, routes r, depots w, fuel_logs f, service_logs m
     WHERE d.assigned_truck_id = t.truck_id AND s.truck_id = t.truck_id AND r.truck_id = t.truck_id AND w.location = s.destination
