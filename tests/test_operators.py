@@ -54,6 +54,35 @@ def test_range_frame(spark, seed, horizon, slot):
     assert got == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("seed, horizon", [(1, 10), (2, 60), (3, 64), (4, 0)])
+def test_range_frame_of_named_aggregates(spark, seed, horizon):
+    """Running parts give what the frame itself gives, null keys, times and values and peers included."""
+    rows = [(i, k, t, None if v is None else v * 1.5) for i, k, t, v in stream(seed)]
+    i, k, t, v = zip(*rows)
+    df = spark.createDataFrame(list(zip(i, k, [when(x) for x in t], v)), "id bigint, key string, ts timestamp_ntz, value double")
+    df = df.withColumn("price", F.col("value").cast("decimal(10,2)"))
+    span = f"{horizon} seconds" if horizon else "1 microsecond"
+    named = {"n": ("count", F.lit(1)), "top": ("max", "value"), "low": ("min", "price"), "total": ("sum", "price"), "mean": ("avg", "id"),
+             "price_mean": ("avg", "price"), "sd": ("stddev_samp", "value")}
+    direct = {n: getattr(F, kind)(c) for n, (kind, c) in named.items()}
+    got, want = (range_frame(df, ["key"], "ts", span, a) for a in (named, direct))
+    assert got.schema == want.schema
+    same = [F.round("sd", 9).alias("sd"), F.round("mean", 9).alias("mean")]
+    got, want = (collect(x.select("id", "key", "ts", "value", "price", "n", "top", "low", "total", "price_mean", *same)) for x in (got, want))
+    assert got == want
+
+
+def test_rolling_prices_do_not_read_frames_again(spark):
+    """A dense asset costs no sliding frame: every window of the plans begins at the first row of its part."""
+    from tidemill.plans import markets
+
+    quotes = spark.createDataFrame([], "asset_id int, timestamp timestamp_ntz, price double, bid_price double, ask_price double, rolling_volume long, "
+                                       "trade_id long, volume long")
+    for plan in (markets.price_spike, markets.quiet_tight_spread, markets.unusual_volume, markets.price_and_spread, markets.volatility):
+        text = plan(quotes)._jdf.queryExecution().optimizedPlan().toString()
+        assert "specifiedwindowframe" in text and "RangeFrame, -" not in text
+
+
 def test_range_frame_rejects_short_slot(spark):
     with pytest.raises(ValueError):
         range_frame(frame(spark, stream(1)), ["key"], "ts", "10 seconds", {"n": F.count("*")}, "5 seconds")
