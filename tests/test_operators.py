@@ -359,3 +359,23 @@ def test_one_key_over_a_year_fills_many_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) >= 3 and max(sizes) < 24 * 365 * 0.6
     assert found.where("p <> id - 5 or (p is null and id >= 5)").count() == 0
+
+
+def test_exact_quantile_leaves_the_rows_of_few_keys_in_place(spark, monkeypatch):
+    """No round gathers the rows of a key in one task: its bounds come to the rows."""
+    from tidemill.operators import quantiles
+
+    plans, keep = [], quantiles.stored
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+
+    monkeypatch.setattr(quantiles, "stored", seen)
+    rows = [("a" if i % 3 else "b", float(i * 7919 % 5003)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "key string, value double")
+    got = quantiles.exact_quantile(df, ["key"], "value", "q", 0.9, limit=50)
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 3 and not any("SortMergeJoin" in p for p in plans[2:])
+    want = df.groupBy("key").agg(F.percentile("value", 0.9).alias("q"))
+    assert [(k, round(q, 9)) for k, q in collect(got)] == [(k, round(q, 9)) for k, q in collect(want)]
