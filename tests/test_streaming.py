@@ -353,3 +353,52 @@ def test_outer_interval_join_takes_early_nulls_back(spark, tmp_path, how):
     for i, (batch, changes) in enumerate(steps):
         got = view.process(batch, i).collect()
         assert sorted(map(str, ((r["a"], r["b"], r["op"]) for r in got))) == sorted(map(str, changes))
+
+
+def test_rows_that_come_together_wait_as_one_entry():
+    """What state is asked to do follows the batches, not the rows, and rows still leave one by one when due."""
+    import pandas as pd
+
+    from tidemill.streaming.expiry import Retention
+
+    class Fake:
+        def __init__(self):
+            self.held, self.calls, self.timers, self.now = [], 0, [], 0
+
+        def getListState(self, name, schema):
+            return self
+
+        def appendValue(self, value):
+            self.calls += 1
+            self.held.append(value)
+
+        def put(self, values):
+            self.held = list(values)
+
+        def get(self):
+            return iter(self.held)
+
+        def clear(self):
+            self.held = []
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+        def getExpiryTimeInMs(self):
+            return self.now
+
+    state = Fake()
+    kept = Retention(True)
+    kept.init(state)
+    rows = pd.DataFrame({"row": [f'{{"n":{i}}}' for i in range(1000)], "due": [100 + i % 10 for i in range(1000)]})
+    came = pd.concat(kept.handleInputRows(None, iter([rows]), state))
+    assert len(came) == 1000 and state.calls == 1 and state.timers == [100]
+    state.now = 104
+    left = pd.concat(kept.handleExpiredTimer(None, state, state))
+    assert sorted(left["row"]) == sorted(rows["row"][rows["due"] <= 104]) and state.timers == [100, 105]
+    state.now = 200
+    left = pd.concat(kept.handleExpiredTimer(None, state, state))
+    assert sorted(left["row"]) == sorted(rows["row"][rows["due"] > 104]) and state.held == []
