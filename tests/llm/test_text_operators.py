@@ -408,3 +408,13 @@ def test_ibans_beside_cards_and_each_other():
     pairs = [[s.start for s in pii.find_spans(f"{one} {two}") if s.kind == "iban"] == [0, len(one) + 1] for one, two in zip(codes, codes[1:])]
     coded = [[s.start for s in pii.find_spans("AB12 " + c) if s.kind == "iban"] == [5] for c in codes]
     assert sum(pairs) > 0.9 * len(pairs) and sum(coded) > 0.9 * len(coded)
+
+
+def test_what_the_encoder_remembers_is_bounded():
+    """As many workers as cores share an executor, so each may remember only so much, however many spellings come."""
+    t = pieces.load(MODEL_FILE)
+    r = random.Random(5)
+    for _ in range(5):
+        t.encode_many([" ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(50_000))])
+    assert len(t.known.young) + len(t.known.old) <= 200_000
+    assert len(t.near) <= 100_000 and t.agreed <= 100_000

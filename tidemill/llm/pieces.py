@@ -20,7 +20,8 @@ SPACE = "▁"
 # Fixed values of the model file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-_KEEP = 400_000  # spellings a worker remembers
+_KEEP = 100_000  # spellings a worker remembers; the worker shares an executor with as many others as it has cores
+_PART = 1_000_000  # characters encoded at a time
 _WINDOW = 6  # characters that mostly decide which pieces start at a place
 
 
@@ -402,7 +403,7 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
 
     def run(batch: pa.RecordBatch, t: Transducer) -> Iterator[pa.RecordBatch]:
         sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        step = np.cumsum(sizes) // 4_000_000
+        step = np.cumsum(sizes) // _PART
         for part in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(step)) + 1):
             ids_of, texts = (batch.column(k).slice(int(part[0]), len(part)) for k in (0, 1))
             gone = np.array(texts.is_null(), dtype=bool)
