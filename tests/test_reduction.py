@@ -111,3 +111,26 @@ def test_quantile_of_nothing(spark):
     assert exact_quantile(spark.createDataFrame([], "k string, v double"), ["k"], "v", "p").collect() == []
     with pytest.raises(ValueError):
         exact_quantile(spark.createDataFrame([], "k string, v double"), ["k"], "v", "p", 1.5)
+
+
+def test_order_revenue_stores_only_what_it_reads(spark, monkeypatch):
+    """The table of final prices is written and read twice, so it holds the key, the time and the price alone."""
+    from tidemill.checks import load_all, pricing
+
+    kept, keep = [], pricing.stored
+    monkeypatch.setattr(pricing, "stored", lambda df: (kept.append(df.columns), keep(df))[1])
+    at = "CAST(d AS TIMESTAMP_NTZ)"
+    rows = lambda values, columns, *more: spark.sql(f"SELECT {', '.join(more)} FROM VALUES {values} t({columns})")
+    inventory = rows("(1, 'one', 60, 10L, 100), (2, 'two', 30, 10L, 50)", "product_id, product_name, stock_level, reorder_threshold, p",
+                     "CAST(product_id AS BIGINT) AS product_id", "product_name", "stock_level", "reorder_threshold", "CAST(p AS DECIMAL(10,2)) AS base_price")
+    bought = rows("(1L, '2024-01-01', 5L), (2L, '2024-01-02', 5L)", "product_id, d, quantity_purchased", "product_id", f"{at} AS purchase_time", "quantity_purchased")
+    restocked = rows("(1L, '2024-01-03', 2L)", "product_id, d, quantity_restocked", "product_id", f"{at} AS restock_time", "quantity_restocked")
+    clicks = rows("(1L, '2024-01-01')", "product_id, d", "product_id", f"{at} AS event_time")
+    offers = rows("(1L, 'k', 90, '2024-01-01')", "product_id, competitor, p, d", "product_id", "competitor", "CAST(p AS DECIMAL(12,2)) AS competitor_price", f"{at} AS ts")
+    orders = rows("(1L, 1L, '2024-01-02', 2L), (2L, 2L, '2024-01-01', 3L), (3L, 3L, '2024-01-05', 4L)", "order_id, product_id, d, quantity",
+                  "order_id", "product_id", f"{at} AS order_time", "quantity")
+    found = load_all()["q62_order_revenue"].build(inventory, bought, restocked, clicks, offers, orders)
+    got = {r["product_id"]: (r["product_name"], r["total_orders"], r["revenue_estimate"]) for r in found.collect()}
+    assert kept == [["product_id", "inventory_window", "final_price"]]
+    # Product 1 has 55 left, so 90 a piece, no more than the rival's; 2 is ordered before it has a price; 3 is unknown.
+    assert got == {1: ("one", 2, 180), 2: ("two", 3, None), 3: (None, 4, None)}

@@ -114,4 +114,4 @@ check("q62_order_revenue", *_BASE, "web_clicks", "offers", "product_orders", ora
     FROM product_orders o ASOF LEFT JOIN (SELECT * FROM final WHERE inventory_window IS NOT NULL) f
       ON f.product_id = o.product_id AND o.order_time >= f.inventory_window
     LEFT JOIN product_inventory i ON i.product_id = o.product_id GROUP BY o.product_id""")(
-    lambda i, b, r, c, o, q: p.order_revenue(q, stored(_final(i, b, r, c, o)), i, SLOT))
+    lambda i, b, r, c, o, q: p.order_revenue(q, stored(_final(i, b, r, c, o).select("product_id", "inventory_window", "final_price")), i, SLOT))
