@@ -301,6 +301,23 @@ def test_passages_of_lines_that_occur_singly_before(spark, lines, size):
     assert wanted <= got
 
 
+def test_fuzzy_passages_whose_runs_have_other_holders_before_and_between(spark):
+    """Each equal run of two documents has a first and a previous holder of its own, which shares nothing else."""
+    rng, rows, wanted = random.Random(7), [], set()
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(20_000)]
+    fresh = lambda n: rng.choices(vocabulary, k=n)
+    for case in range(8):
+        runs = [fresh(5) for _ in range(12)]
+        alone = lambda: [[*fresh(40), *r, *fresh(40)] for r in runs]
+        one, other = ([w for r in runs for w in (*r, *fresh(1))] for _ in range(2))
+        texts = [*alone(), [*fresh(30), *one, *fresh(90)], *alone(), [*fresh(80), *other, *fresh(20)]]
+        rows += [(case * 100 + i, " ".join(t)) for i, t in enumerate(texts)]
+        wanted.add((case * 100 + 25, case * 100 + 12))
+    got = {(r["id"], r["ref_id"]): r for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert wanted == set(got)
+    assert all(r["similarity"] >= 0.8 and r["start"] <= 82 and r["end"] >= 148 for r in got.values())
+
+
 def test_links_go_over_the_borders_of_tasks(spark):
     every = spark.createDataFrame([(h, i, 3 * i + p, False) for h, n in ((1, 400), (2, 1), (3, 90), (9, 2)) for i in range(n)
                                    for p in range(2)], "hash long, id long, pos int, wide boolean")
