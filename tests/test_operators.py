@@ -379,3 +379,19 @@ def test_exact_quantile_leaves_the_rows_of_few_keys_in_place(spark, monkeypatch)
     assert len(plans) > 3 and not any("SortMergeJoin" in p for p in plans[2:])
     want = df.groupBy("key").agg(F.percentile("value", 0.9).alias("q"))
     assert [(k, round(q, 9)) for k, q in collect(got)] == [(k, round(q, 9)) for k, q in collect(want)]
+
+
+def test_larger_shuffles_end_in_more_parts(spark):
+    from tidemill.session import RUNTIME_CONF, SPREAD_CONF, tune
+
+    before = {k: spark.conf.get(k, None) for k in SPREAD_CONF}
+    tune(spark, RUNTIME_CONF | SPREAD_CONF)
+    try:
+        def parts(n):
+            keys = spark.range(n).select(F.md5(F.col("id").cast("string")).alias("k"))
+            return keys.groupBy("k").count().select(F.spark_partition_id().alias("p")).distinct().count()
+
+        assert parts(2_000_000) > 8 >= parts(1_000)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
