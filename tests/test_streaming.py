@@ -9,6 +9,7 @@ from types import SimpleNamespace
 import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemill.operators import latest_by, tumble
@@ -402,3 +403,30 @@ def test_rows_that_come_together_wait_as_one_entry():
     state.now = 200
     left = pd.concat(kept.handleExpiredTimer(None, state, state))
     assert sorted(left["row"]) == sorted(rows["row"][rows["due"] > 104]) and state.held == []
+
+
+def test_a_large_batch_lands_as_several_files(spark, monkeypatch):
+    from tidemill.checks import streams
+
+    monkeypatch.setattr(streams, "FILE_ROWS", 100)
+    seen = []
+    stream = streams.as_stream(spark, spark.range(1000).toDF("n"), parts=2)
+    query = stream.writeStream.foreachBatch(lambda b, i: seen.append(b.select("n", F.input_file_name().alias("f")).collect())).option(
+        "checkpointLocation", streams.scratch_dir(spark, "checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [len({r["f"] for r in rows}) for rows in seen] == [5, 5]
+    assert sorted(r["n"] for rows in seen for r in rows) == list(range(1000))
+
+
+def test_moves_take_one_aggregate_over_the_versions(spark, tmp_path):
+    view = MaintainedView(str(tmp_path), lambda rows: rows, ["k"], ["s"], keyed={"rows": Keyed(("k",), ("v",), "op")}, buckets=2)
+    schema = "k int, s string, v int, op string"
+    view._moves("rows", spark.createDataFrame([(1, "a", 1, "insert"), (2, "a", 1, "insert"), (None, "a", 1, "insert"), (4, None, 1, "insert"), (5, "a", 5, "insert")], schema), 0)
+    moved = view._moves("rows", spark.createDataFrame(
+        [(1, "b", 2, "update"), (2, "a", 2, "delete"), (None, "a", 2, "update"), (4, "c", 2, "update"), (5, "z", 1, "update"), (6, "a", 1, "delete")], schema), 1)
+    assert "LeftAnti" not in moved._jdf.queryExecution().optimizedPlan().toString()
+    # A move marks the old scope; deletes leave only the mark; a late version moves nothing.
+    assert sorted(map(str, moved.collect())) == sorted(map(str, [
+        Row(k=1, s="b", v=2, _gone=False), Row(k=1, s="a", v=1, _gone=True), Row(k=2, s="a", v=1, _gone=True),
+        Row(k=None, s="a", v=2, _gone=False), Row(k=4, s="c", v=2, _gone=False), Row(k=4, s=None, v=1, _gone=True),
+        Row(k=5, s="a", v=5, _gone=False)]))
