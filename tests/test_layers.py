@@ -72,6 +72,15 @@ def test_the_reserve_spares_the_refill(spark, tmp_path):
     assert [r["k"] for r in top.read(spark).collect()] == left
 
 
+def test_a_ranking_is_stored_and_not_cached(spark, tmp_path, monkeypatch):
+    view = scores_view(tmp_path)
+    top = TopK(f"{tmp_path}/top", view, [("n", False), ("k", True)], 2)
+    monkeypatch.setattr(type(spark.range(0)), "persist", None)
+    for batch, rows in enumerate([[(1, 5, 1, "insert"), (2, 7, 1, "insert"), (3, 6, 1, "insert")], [(2, 1, 2, "update")]]):
+        top.process({"scores": view.process({"rows": spark.createDataFrame(rows, "k int, n int, v int, op string")}, batch)}, batch)
+    assert [(r["k"], r["n"]) for r in top.read(spark).collect()] == [(3, 6), (1, 5)]
+
+
 def test_top_products_with_changed_products(spark, tmp_path):
     at = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:30"))
     sold = spark.createDataFrame([(i, i % 6, 1 + i % 4) for i in range(40)], "sale_id int, product_id int, quantity int").withColumn("sale_timestamp", at)
