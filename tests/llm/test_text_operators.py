@@ -403,6 +403,70 @@ def test_seeds_leave_out_only_those_of_one_document(spark):
     assert len(got) < len(every) / 2 or len(needed) > len(every) / 3
 
 
+def asked_plainly(pos, key, inside, span, fewest):
+    """What ``asking`` gives, a window at a time."""
+    n = len(pos)
+    anyone, rare, ask = [False] * n, [False] * n, [0] * n
+    for i in range(n):
+        some = [j for j in range(i, n) if pos[j] <= pos[i] + span]
+        free = [j for j in some if not inside[j]]
+        if len(some) < fewest:
+            continue
+        need = max(1, fewest - len(some) + len(free))
+        for j in some:
+            anyone[j] = True
+            low = sum(key[m] >= key[j] for m in some) >= fewest
+            rare[j] |= low
+            if len(free) == len(some):
+                ask[j] = max(ask[j], int(low))
+            elif not inside[j] and sum(key[m] >= key[j] for m in free) >= need:
+                ask[j] = 2
+    return [anyone, rare, ask]
+
+
+def test_places_asked_of_all_windows_are_those_of_each():
+    rng = np.random.default_rng(4)
+    for case in range(300):
+        n = int(rng.integers(0, 60))
+        pos = np.sort(rng.choice(3 * n + 40, n, replace=False))
+        key, inside = rng.integers(0, rng.integers(2, 50), n).astype(np.uint64), rng.random(n) < (0, 0.2, 0.8)[case % 3]
+        span, fewest = int(rng.choice([6, 20, 58])), int(rng.integers(1, 9))
+        assert [c.tolist() for c in passages.asking(pos, key, inside, span, fewest)] == asked_plainly(pos.tolist(), key.tolist(), inside, span, fewest)
+
+
+def test_stretches_that_lack_words_of_the_other_are_not_aligned():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        a, b = rng.integers(0, 30, rng.integers(0, 90)), rng.choice(30, rng.integers(1, 30), replace=False)
+        known = np.isin(a, b)
+        want = any(known[i:j].mean() >= 0.8 - 1e-9 for i in range(len(a)) for j in range(i + 50, len(a) + 1))
+        assert passages.promising(a, b, 50, 0.8) == want
+    line = np.arange(12)
+    one, other = np.concatenate((line, np.arange(100, 220))), np.concatenate((line, np.arange(300, 420)))
+    xs = ys = np.array([0])
+    assert passages.paths_of(one, other, xs, ys, 4, 30, 50, 7)[0] and not passages.promising(one, other, 50, 0.8)
+
+
+def test_only_places_with_a_partner_carry_their_surroundings(spark, monkeypatch):
+    """The first holder of a passage asks for all of it; nobody before has any."""
+    rng, kept = random.Random(8), []
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(20_000)]
+    first = rng.choices(vocabulary, k=300)
+    rows = [(1, " ".join(first)), (2, " ".join([*rng.choices(vocabulary, k=40), *first[100:200], *rng.choices(vocabulary, k=40)]))]
+    plain = passages.stored
+
+    def spied(df):
+        out = plain(df)
+        if "near" in out.columns:
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(passages, "stored", spied)
+    got = [tuple(r)[:6] for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert got == [(2, 40, 140, 1, 100, 200)]
+    assert kept == [0]
+
+
 def test_packed_cells_come_back():
     for cells in ([0], [65534, 65535, 65536, 131070, 131071, (1 << 24) - 1], list(range(0, 1 << 24, 70_001))):
         assert passages._unpacked(passages._packed(np.array(cells))).tolist() == cells
