@@ -467,6 +467,40 @@ def test_only_places_with_a_partner_carry_their_surroundings(spark, monkeypatch)
     assert kept == [0]
 
 
+def test_levels_ask_as_keys_do():
+    rng = np.random.default_rng(5)
+    for case in range(200):
+        n = int(rng.integers(1, 90))
+        pos = np.sort(rng.choice(3 * n + 40, n, replace=False))
+        key, inside = rng.integers(0, rng.integers(2, 20), n).astype(np.uint8), rng.random(n) < (0, 0.2, 0.8)[case % 3]
+        span, fewest = int(rng.choice([20, 58, 125])), int(rng.integers(1, 19))
+        want, got = passages.asking(pos, key, inside, span, fewest)[1:], passages.asking_by_level(pos, key, inside, span, fewest)
+        assert [c.tolist() for c in got] == [c.tolist() for c in want]
+
+
+def test_a_common_line_does_not_link_all_its_texts(spark, monkeypatch):
+    """Two of its 40 texts go on alike, by runs too short for a seed; neither is the first or the previous holder of the line."""
+    rng, linked = random.Random(12), []
+    vocabulary = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(50_000)]
+    fresh = lambda n: rng.choices(vocabulary, k=n)
+    line, runs = fresh(12), [fresh(3) for _ in range(10)]
+    texts = [[*line, *([w for r in runs for w in (*fresh(1), *r)] if i in (10, 30) else fresh(60))] for i in range(40)]
+    plain = passages.rest_links
+
+    def spied(*args):
+        out = plain(*args)
+        linked.append({tuple(r) for r in out.select("id", "ref").collect()})
+        return out
+
+    monkeypatch.setattr(passages, "rest_links", spied)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    every = sorted(tuple(r) for r in passages.repeated_passages(docs).collect())
+    monkeypatch.setattr(passages, "_HOT", 8)
+    found = sorted(tuple(r) for r in passages.repeated_passages(docs).collect())
+    assert found == every and {(r[0], r[3]) for r in found} == {(30, 10)}
+    assert len(linked[0]) == 40 * 39 // 2 and linked[1] == {(30, 10)}
+
+
 def test_packed_cells_come_back():
     for cells in ([0], [65534, 65535, 65536, 131070, 131071, (1 << 24) - 1], list(range(0, 1 << 24, 70_001))):
         assert passages._unpacked(passages._packed(np.array(cells))).tolist() == cells
